@@ -1,4 +1,6 @@
 """All registered queries. Importing the modules fills the registry."""
 
-from tracewell.plans import graph_queries, relational_queries, series_queries  # noqa: F401
+from tracewell.plans import (  # noqa: F401
+    graph_queries, relational_queries, series_queries, text_queries,
+)
 from tracewell.plans.registry import ORACLES, QUERIES  # noqa: F401
