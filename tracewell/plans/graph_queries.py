@@ -204,7 +204,7 @@ def dashboard_view(t: Tables):
     samples AS (SELECT ring_id, string_agg(p_type, ' | ' ORDER BY p_type) AS kinds FROM ranked
                 WHERE k <= 5 GROUP BY 1)
     SELECT ring_id, printf('ring=%s members=%d returns=%d rate=%.4f exposure=%.2f returned types: %s',
-        ring_id, len(members), total_returns, avg_return_rate, refund_exposure, coalesce(kinds, '-')) AS evidence
+        ring_id, len(members), total_returns, round(avg_return_rate, 4), refund_exposure, coalesce(kinds, '-')) AS evidence
     FROM rings JOIN ring_totals USING (ring_id) LEFT JOIN samples USING (ring_id)""")
 def ring_evidence_pack(t: Tables):
     """The facts a case brief is written from, one text per ring."""
@@ -222,7 +222,7 @@ def ring_evidence_pack(t: Tables):
     return found.summary.join(samples, "ring_id", "left").select(
         "ring_id",
         F.format_string("ring=%s members=%d returns=%d rate=%.4f exposure=%.2f returned types: %s",
-                        "ring_id", "n_members", "total_returns", F.round("avg_return_rate", 6),
+                        "ring_id", "n_members", "total_returns", F.round("avg_return_rate", 4),
                         F.round("refund_exposure", 2),
                         F.coalesce(F.array_join("kinds", " | "), F.lit("-"))).alias("evidence"))
 
