@@ -46,6 +46,15 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(1))
 
 
+def explode_once(values: Column) -> Column:
+    """``explode`` for an expensive array; filter out the NULL an empty array leaves.
+
+    A plain explode makes the optimizer add a filter on the array's size, which
+    computes the array a second time, often below a repartition.
+    """
+    return F.explode_outer(values)
+
+
 def number_list_text(values: Column) -> Column:
     """``[1,2,3]`` for an array of numbers."""
     return F.concat(F.lit("["), F.array_join(values.cast("array<string>"), ","), F.lit("]"))

@@ -16,11 +16,16 @@ NO_TEXT = "no text to score"
 
 @dataclass(frozen=True)
 class Term:
-    """A pattern (valid in Java and RE2 alike), its weight, and the category it speaks for."""
+    """A pattern (valid in Java and RE2 alike), its weight, and the category it speaks for.
+
+    ``needs`` is text that every match contains: looking for it first spares
+    most texts the pattern.
+    """
 
     pattern: str
     weight: float
     category: str = ""
+    needs: str = ""
 
 
 @dataclass(frozen=True)
@@ -33,7 +38,13 @@ class Rubric:
         if not terms:
             return F.lit(0.0)
         lowered = F.lower(text)
-        return total([F.regexp_count(lowered, F.lit(t.pattern)) * F.lit(t.weight) for t in terms])
+
+        def count(t: Term) -> Column:
+            hits = F.regexp_count(lowered, F.lit(t.pattern))
+            return F.when(lowered.contains(t.needs), hits).otherwise(
+                F.when(text.isNotNull(), 0)) if t.needs else hits
+
+        return total([count(t) * F.lit(t.weight) for t in terms])
 
     def score(self, text: Column) -> Column:
         """0 to 5, higher for more and heavier hits; NULL text gives NULL."""
@@ -62,12 +73,16 @@ class Rubric:
 
 @dataclass(frozen=True)
 class Field:
-    """One extracted field: first match of ``pattern`` (group 1), typed, or ``default``."""
+    """One extracted field: first match of ``pattern`` (group 1), typed, or ``default``.
+
+    ``needs`` is text that every match contains, looked for first.
+    """
 
     name: str
     type: str
     pattern: str
     default: str
+    needs: str = ""
 
 
 def extract(text: Column, fields: Sequence[Field]) -> Column:
@@ -80,7 +95,8 @@ def extract(text: Column, fields: Sequence[Field]) -> Column:
         if f.type == "boolean":
             value = F.coalesce(F.regexp_like(text, F.lit(f.pattern)), F.lit(False))
         else:
-            found = F.nullif(F.regexp_extract(text, f.pattern, 1), F.lit(""))
+            match = F.regexp_extract(text, f.pattern, 1)
+            found = F.nullif(F.when(text.contains(f.needs), match) if f.needs else match, F.lit(""))
             value = F.coalesce(found.try_cast(f.type), F.lit(f.default).cast(f.type))
         out.append(value.alias(f.name))
     return F.struct(*out, F.when(text.isNull(), NO_TEXT).otherwise("").alias("status"))

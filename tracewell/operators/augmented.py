@@ -217,6 +217,7 @@ def correlation(df: DataFrame, target_col: str, correlation_cols: Sequence[str],
     All columns come from one aggregate; rows with a NULL in a pair do not count.
     """
     if method == "spearman":
+        df = cut_lineage(df.select(*segment_cols, target_col, *correlation_cols))
         out = None
         for c in correlation_cols:
             pair = df.filter(F.col(target_col).isNotNull() & F.col(c).isNotNull())
@@ -243,8 +244,8 @@ def average_ranks(df: DataFrame, col: str, segment_cols: Sequence[str], name: st
     """Add the average rank of ``col`` within its segment, without sorting a segment in one task.
 
     Ties are counted first, so a value shared by a third of the rows is one row.
-    The distinct values are range-partitioned and sorted, fixed by a reliable
-    checkpoint, and partition totals (one row per partition and segment) carry
+    The distinct values are range-partitioned and written, which fixes the
+    partitioning, and partition totals (one row per partition and segment) carry
     the count over.
     """
     keys = [*segment_cols, col]

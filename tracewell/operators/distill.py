@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.columns import hash_bucket, words
+from tracewell.session import cut_lineage
 
 MIN_ROWS = 3000
 
@@ -26,7 +27,6 @@ def classify(df: DataFrame, key: str, text: str, labels: DataFrame, *, min_rows:
     rerun makes the same choice.
     """
     tokens = df.select(key, words(F.col(text)).alias("words"))
-    labelled = tokens.join(labels, key)
     answers = df.select(key).join(labels, key, "left")
     own = answers.select(
         key, F.coalesce("label", F.lit(fallback)).alias("prediction"),
@@ -34,6 +34,7 @@ def classify(df: DataFrame, key: str, text: str, labels: DataFrame, *, min_rows:
     if df.count() < min_rows:
         return own
 
+    labelled = cut_lineage(tokens.join(labels, key))
     held = hash_bucket(100, F.col(key)) < holdout_percent
     model = Pipeline(stages=[
         HashingTF(inputCol="words", outputCol="tf", numFeatures=features, binary=True),

@@ -67,22 +67,39 @@ class PropertyGraph:
         links = e.rows.select(F.col(e.source_key).alias("_s"), F.col(e.target_key).alias("_t"))
         return links.join(left, "_s").join(right, "_t").select(*source.values(), *target.values())
 
-    def links(self, labels: Sequence[str], check_ends: bool = True) -> DataFrame:
+    def links(self, labels: Sequence[str], members: DataFrame | None = None,
+              check_ends: bool = True) -> DataFrame:
         """Edges of several labels as (entity_type, entity_id, member).
 
         The target label is part of the entity, so equal ids of different node
         tables stay apart. All labels must start at the same node table.
+        ``members`` (member) keeps only those sources. Labels that share one
+        DataFrame are read from it in a single pass.
         """
-        out = None
+        by_rows: dict[tuple[int, str], list[EdgeTable]] = {}
         for label in labels:
             e = self.edges[label]
-            rows = e.rows.select(F.col(e.target_key).alias("_t"), F.col(e.source_key).alias("member"))
+            by_rows.setdefault((id(e.rows), e.source_key), []).append(e)
+        out = None
+        for edges in by_rows.values():
+            rows = edges[0].rows.withColumn("member", F.col(edges[0].source_key))
+            if members is not None:
+                rows = rows.join(members.select("member"), "member", "left_semi")
             if check_ends:
-                s, t = self.nodes[e.source], self.nodes[e.target]
+                s = self.nodes[edges[0].source]
                 rows = rows.join(s.rows.select(F.col(s.key).alias("member")), "member", "left_semi")
-                rows = rows.join(t.rows.select(F.col(t.key).alias("_t")), "_t", "left_semi")
-            rows = rows.select(F.lit(e.target).alias("entity_type"),
-                               F.col("_t").cast("string").alias("entity_id"), "member")
+            ends = F.array(*[F.struct(F.lit(e.target).alias("entity_type"),
+                                      F.col(e.target_key).cast("string").alias("entity_id")) for e in edges])
+            rows = rows.select("member", F.inline(ends)).filter("entity_id IS NOT NULL")
+            if check_ends:
+                known = None
+                for e in edges:
+                    t = self.nodes[e.target]
+                    keys = t.rows.select(F.lit(e.target).alias("entity_type"),
+                                         F.col(t.key).cast("string").alias("entity_id"))
+                    known = keys if known is None else known.union(keys)
+                rows = rows.join(known, ENTITY, "left_semi")
+            rows = rows.select(*ENTITY, "member")
             out = rows if out is None else out.unionByName(rows)
         return out
 
@@ -116,7 +133,7 @@ def top_shared_pairs(links: DataFrame, limit: int, probe_degree: int = 1000) ->
        popular ones (prefix filter), so the popular entities form no pairs.
     3. Exact counts for the candidates, probing from the smaller side.
     """
-    edges = links.distinct()
+    edges = cut_lineage(links.distinct())
     degree = edges.groupBy(*ENTITY).agg(F.count(F.lit(1)).alias("degree")).filter("degree > 1")
     edges = edges.join(degree, ENTITY)
     size = edges.groupBy("member").agg(F.count(F.lit(1)).alias("size"))
@@ -194,11 +211,12 @@ class Rings:
         return arrays.join(self.summary, "ring_id")
 
 
-def detect_rings(links: DataFrame, stats: DataFrame, *, min_rate: float, min_returns: int,
-                 min_members: int = 3, label_members: int = 1000) -> Rings:
+def detect_rings(graph: PropertyGraph, labels: Sequence[str], stats: DataFrame, *, min_rate: float,
+                 min_returns: int, min_members: int = 3, label_members: int = 1000,
+                 check_ends: bool = True) -> Rings:
     """Groups of entities that the same set of flagged members uses.
 
-    ``stats`` has one row per member: member, n_returns, return_rate,
+    The entities are the targets of the edges ``labels``. ``stats`` has one row per member: member, n_returns, return_rate,
     total_refunds. A member is flagged by its rate and count; a ring is the set
     of entities with identical flagged member sets of at least ``min_members``.
 
@@ -206,9 +224,10 @@ def detect_rings(links: DataFrame, stats: DataFrame, *, min_rate: float, min_ret
     which combine map-side: no entity's members meet in one task. Rings are
     numbered in text order of the member list (its first ``label_members``).
     """
-    flagged = stats.filter((F.col("return_rate") >= min_rate) & (F.col("n_returns") >= min_returns))
-    linked = cut_lineage(
-        links.join(flagged.select("member"), "member", "left_semi").select(*ENTITY, "member").distinct())
+    flagged = cut_lineage(
+        stats.select("member", "n_returns", "return_rate", "total_refunds")
+        .filter((F.col("return_rate") >= min_rate) & (F.col("n_returns") >= min_returns)))
+    linked = cut_lineage(graph.links(labels, flagged, check_ends).distinct())
 
     key = ["n_members", "f1", "f2", "lo", "hi"]
     member_sets = (
@@ -234,7 +253,7 @@ def detect_rings(links: DataFrame, stats: DataFrame, *, min_rate: float, min_ret
         F.concat(F.lit("RING-"), F.col("ring_number").cast("string")).alias("ring_id"))
 
     totals = (
-        membership.join(stats.select("member", "n_returns", "return_rate", "total_refunds"), "member")
+        membership.join(flagged, "member")
         .groupBy(*key)
         .agg(F.sum("n_returns").alias("total_returns"), F.avg("return_rate").alias("avg_return_rate"),
              F.sum("total_refunds").alias("refund_exposure"))
@@ -272,6 +291,7 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     links). Alternating large-star and small-star rounds then contract the
     edges; a hub's rows are combined map-side and joined back against one row.
     """
+    links = cut_lineage(links.select(*ENTITY, "member"))
     lowest = links.groupBy(*ENTITY).agg(F.min("member").alias("v"))
     edges = cut_lineage(
         links.join(lowest, ENTITY).filter("member <> v")

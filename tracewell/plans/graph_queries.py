@@ -50,7 +50,7 @@ RINGS_SQL = f"""
   ring_members AS (SELECT ring_id, unnest(members) AS customer FROM rings),
   ring_totals AS (
     SELECT ring_id, sum(n_returns)::BIGINT AS total_returns, round(avg(return_rate), 6) AS avg_return_rate,
-           round(sum(total_refunds), 2) AS refund_exposure
+           round(sum(total_refunds), 4) AS refund_exposure
     FROM ring_members JOIN cust_stats USING (customer) GROUP BY 1)"""
 
 SAME_DAY_SQL = """
@@ -109,9 +109,8 @@ def trade_graph(t: Tables) -> PropertyGraph:
 
 def rings(t: Tables) -> Rings:
     # The edges come straight from foreign keys, so their ends need no check.
-    links = trade_graph(t).links(["BOUGHT", "BUYS_FROM", "BELONGS_TO"], check_ends=False)
-    return detect_rings(links, customer_stats(t), min_rate=MIN_RATE, min_returns=MIN_RETURNS,
-                        min_members=MIN_MEMBERS)
+    return detect_rings(trade_graph(t), ["BOUGHT", "BUYS_FROM", "BELONGS_TO"], customer_stats(t),
+                        min_rate=MIN_RATE, min_returns=MIN_RETURNS, min_members=MIN_MEMBERS, check_ends=False)
 
 
 def same_day_links(t: Tables) -> DataFrame:
@@ -145,7 +144,7 @@ def ring_detection(t: Tables):
         F.array_join(F.transform("shared_entities", lambda e: F.concat_ws(":", e["entity_type"], e["entity_id"])),
                      "|").alias("shared_entities"),
         "total_returns", F.round("avg_return_rate", 6).alias("avg_return_rate"),
-        F.round("refund_exposure", 2).alias("refund_exposure"))
+        F.round("refund_exposure", 4).alias("refund_exposure"))
 
 
 @query("ring_member_explode", sql=f"""{RINGS_SQL},
@@ -190,7 +189,7 @@ def dashboard_view(t: Tables):
     return found.summary.join(scored, "ring_id", "left").select(
         "ring_id", "n_members", "n_entities", "total_returns",
         F.round("avg_return_rate", 6).alias("avg_return_rate"),
-        F.round("refund_exposure", 2).alias("refund_exposure"), "scored_returns", "flagged_returns",
+        F.round("refund_exposure", 4).alias("refund_exposure"), "scored_returns", "flagged_returns",
         F.format_string("%s: %d members, %d shared entities, %d returns", "ring_id", "n_members",
                         "n_entities", "total_returns").alias("brief"))
 
@@ -203,8 +202,8 @@ def dashboard_view(t: Tables):
     ranked AS (SELECT *, row_number() OVER (PARTITION BY ring_id ORDER BY p_type) AS k FROM kinds),
     samples AS (SELECT ring_id, string_agg(p_type, ' | ' ORDER BY p_type) AS kinds FROM ranked
                 WHERE k <= 5 GROUP BY 1)
-    SELECT ring_id, printf('ring=%s members=%d returns=%d rate=%.4f exposure=%.2f returned types: %s',
-        ring_id, len(members), total_returns, round(avg_return_rate, 4), refund_exposure, coalesce(kinds, '-')) AS evidence
+    SELECT ring_id, printf('ring=%s members=%d returns=%d rate=%.4f exposure=%d returned types: %s',
+        ring_id, len(members), total_returns, round(avg_return_rate, 4), floor(refund_exposure)::BIGINT, coalesce(kinds, '-')) AS evidence
     FROM rings JOIN ring_totals USING (ring_id) LEFT JOIN samples USING (ring_id)""")
 def ring_evidence_pack(t: Tables):
     """The facts a case brief is written from, one text per ring."""
@@ -221,9 +220,9 @@ def ring_evidence_pack(t: Tables):
     samples = top_n_list(kinds, ["ring_id"], "p_type", [F.asc("p_type")], 5, "kinds")
     return found.summary.join(samples, "ring_id", "left").select(
         "ring_id",
-        F.format_string("ring=%s members=%d returns=%d rate=%.4f exposure=%.2f returned types: %s",
+        F.format_string("ring=%s members=%d returns=%d rate=%.4f exposure=%d returned types: %s",
                         "ring_id", "n_members", "total_returns", F.round("avg_return_rate", 4),
-                        F.round("refund_exposure", 2),
+                        F.floor(F.round("refund_exposure", 4)),
                         F.coalesce(F.array_join("kinds", " | "), F.lit("-"))).alias("evidence"))
 
 
@@ -265,14 +264,14 @@ def multi_entity_pairs(t: Tables):
     """Customers sharing most shipments, by part and day or by supplier and day."""
     shipped = t.orders.select("o_orderkey", "o_custkey").join(
         t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_suppkey",
-                          F.col("l_shipdate").cast("date").cast("string").alias("day")), "o_orderkey")
+                          F.col("l_shipdate").cast("date").cast("string").alias("day")), "o_orderkey").withColumns(
+        {"part_day": F.concat_ws("@", F.col("l_partkey").cast("string"), "day"),
+         "supplier_day": F.concat_ws("@", F.col("l_suppkey").cast("string"), "day")})
     graph = PropertyGraph(
         nodes=[NodeTable("Customer", t.customer, "c_custkey"),
                NodeTable("Part", t.part, "p_partkey"), NodeTable("Supplier", t.supplier, "s_suppkey")],
-        edges=[EdgeTable("PART_DAY", shipped.withColumn("id", F.concat_ws("@", F.col("l_partkey").cast("string"), "day")),
-                         "Customer", "o_custkey", "Part", "id"),
-               EdgeTable("SUPPLIER_DAY", shipped.withColumn("id", F.concat_ws("@", F.col("l_suppkey").cast("string"), "day")),
-                         "Customer", "o_custkey", "Supplier", "id")])
+        edges=[EdgeTable("PART_DAY", shipped, "Customer", "o_custkey", "Part", "part_day"),
+               EdgeTable("SUPPLIER_DAY", shipped, "Customer", "o_custkey", "Supplier", "supplier_day")])
     links = graph.links(["PART_DAY", "SUPPLIER_DAY"], check_ends=False)
     return top_shared_pairs(links, 50).select(
         F.col("a").alias("customer_a"), F.col("b").alias("customer_b"), "shared_entities")

@@ -9,7 +9,7 @@ from tracewell.operators.augmented import causal_effect, detect_change_points, k
 from tracewell.operators.relational import pending, priority_batch
 from tracewell.operators.timeseries import bucket_series, regularize
 from tracewell.plans.registry import query
-from tracewell.plans.text_queries import RUBRIC, SCORE_SQL
+from tracewell.plans.text_queries import RUBRIC, SCORE_SQL, documents
 from tracewell.session import cut_lineage, new_path
 from tracewell.sources.tables import Tables, TableStore
 from tracewell.streaming.incremental import (
@@ -59,9 +59,10 @@ def rubric_score(rows: DataFrame, number: int) -> DataFrame:
 def incremental_score(t: Tables):
     """Labelled documents first; the second run scores only what is new, a third nothing."""
     store = TableStore(t.spark, new_path(t.spark, "incremental"))
-    first = t.documents.join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    all_documents = documents(t)
+    first = all_documents.join(t.labels.select("doc_id"), "doc_id", "left_semi")
     score_pending(first, "doc_id", rubric_score, store, "scored")
-    score_pending(t.documents, "doc_id", rubric_score, store, "scored")
+    score_pending(all_documents, "doc_id", rubric_score, store, "scored")
     return current_state(store.read("scored"), "doc_id").select(
         "doc_id", F.col("pass").alias("last_pass"), "result", "status")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.rubric import Field, Rubric, Term, extract
@@ -9,22 +10,22 @@ from tracewell.operators import distill
 from tracewell.operators import text as tx
 from tracewell.operators.relational import first_per_key
 from tracewell.plans.registry import query
-from tracewell.sources.tables import Tables
+from tracewell.sources.tables import Tables, spread
 
 TERMS = (
     Term(r"token\s*=|api[_-]?key", 4.0, "secret"),
-    Term(r"[a-z0-9_.+-]+@[a-z0-9-]+\.[a-z.]+", 2.0, "contact"),
+    Term(r"[a-z0-9_.+-]+@[a-z0-9-]+\.[a-z.]+", 2.0, "contact", needs="@"),
     Term(r"[0-9]{13,16}", 3.0, "card"),
-    Term(r"licen[cs]e", 1.5, "license"),
+    Term(r"licen[cs]e", 1.5, "license", needs="licen"),
     Term(r"stupid|worthless|idiot", 1.0, "abuse"),
-    Term(r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", 2.5, "contact"),
+    Term(r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", 2.5, "contact", needs="."),
 )
 RUBRIC = Rubric(TERMS)
 CATEGORIES = ("secret", "card", "contact", "license", "abuse", "none")
 
 FIELDS = (
-    Field("email", "string", r"([A-Za-z0-9_.+-]+@[A-Za-z0-9-]+\.[a-z]+)", "N/A"),
-    Field("ip_address", "string", r"\b([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})\b", "N/A"),
+    Field("email", "string", r"([A-Za-z0-9_.+-]+@[A-Za-z0-9-]+\.[a-z]+)", "N/A", needs="@"),
+    Field("ip_address", "string", r"\b([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})\b", "N/A", needs="."),
     Field("first_number", "bigint", r"\b([0-9]{1,9})\b", "-1"),
     Field("mentions_license", "boolean", r"[Ll]icen[cs]e", "false"),
 )
@@ -60,23 +61,27 @@ EXTRACT_SQL = r"""
     regexp_matches(text, '[Ll]icen[cs]e') AS mentions_license, '' AS status"""
 
 
+def documents(t: Tables, *columns: str) -> DataFrame:
+    return spread(t.documents.select("doc_id", "text", *columns), "doc_id")
+
+
 @query("text_predicate", sql=f"""
     SELECT doc_id, source, lang FROM documents WHERE {SCORE_SQL} >= 2.0""")
 def text_predicate(t: Tables):
-    return t.documents.filter(RUBRIC.holds(F.col("text"), 2.0)).select("doc_id", "source", "lang")
+    return documents(t, "source", "lang").filter(RUBRIC.holds(F.col("text"), 2.0)).select("doc_id", "source", "lang")
 
 
 @query("text_classify", sql=f"""
     SELECT doc_id, {classify_sql()} AS category FROM documents""")
 def text_classify(t: Tables):
-    return t.documents.select("doc_id", RUBRIC.classify(F.col("text"), CATEGORIES).alias("category"))
+    return documents(t).select("doc_id", RUBRIC.classify(F.col("text"), CATEGORIES).alias("category"))
 
 
 @query("text_rank_topk", sql=f"""
     SELECT doc_id, source, round({SCORE_SQL}, 2) AS score FROM documents
     ORDER BY score DESC, doc_id LIMIT 25""")
 def text_rank_topk(t: Tables):
-    scored = t.documents.select("doc_id", "source", F.round(RUBRIC.score(F.col("text")), 2).alias("score"))
+    scored = documents(t, "source").select("doc_id", "source", F.round(RUBRIC.score(F.col("text")), 2).alias("score"))
     return scored.orderBy(F.desc("score"), "doc_id").limit(25)
 
 
@@ -106,7 +111,7 @@ def typed_score(t: Tables):
 
 @query("typed_extract", sql=f"SELECT doc_id, {EXTRACT_SQL} FROM documents")
 def typed_extract(t: Tables):
-    return t.documents.select("doc_id", extract(F.col("text"), FIELDS).alias("x")).select("doc_id", "x.*")
+    return documents(t).select("doc_id", extract(F.col("text"), FIELDS).alias("x")).select("doc_id", "x.*")
 
 
 @query("sample_then_extract", sql=f"""
@@ -125,7 +130,7 @@ def sample_then_extract(t: Tables):
     FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2""")
 def score_vs_truth(t: Tables):
     return (
-        t.documents.join(t.labels.select("doc_id", "toxic"), "doc_id")
+        documents(t).join(t.labels.select("doc_id", "toxic"), "doc_id")
         .groupBy("toxic", RUBRIC.holds(F.col("text")).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -139,7 +144,7 @@ def score_vs_truth(t: Tables):
 def text_similarity_topk(t: Tables):
     """Documents closest to a given passage (the first benchmark item)."""
     passage = t.benchmark.orderBy("item_id").limit(1).select("text").scalar()
-    docs = t.documents.select("doc_id", "text", passage.alias("passage"))
+    docs = documents(t).select("doc_id", "text", passage.alias("passage"))
     score = F.round(tx.set_cosine(F.col("text"), F.col("passage")), 6)
     return tx.most_similar(docs, score, [F.asc("doc_id")], 10).select("doc_id", "similarity")
 
@@ -171,7 +176,7 @@ TOKENS_SQL = r"list_distinct(list_filter(regexp_extract_all(lower(text), '\p{L}+
     SELECT item_id, doc_id, round(score, 6) AS score FROM scored WHERE score >= 0.6""")
 def semantic_join(t: Tables):
     """Benchmark passages and the documents that describe the same thing."""
-    pairs = tx.semantic_join(t.benchmark, "item_id", "text", t.documents, "doc_id", "text", 0.6)
+    pairs = tx.semantic_join(t.benchmark, "item_id", "text", documents(t), "doc_id", "text", 0.6)
     return pairs.select("item_id", "doc_id", F.round("score", 6).alias("score"))
 
 
@@ -188,7 +193,7 @@ def semantic_join(t: Tables):
     SELECT a AS doc_id, min(least(a, b)) AS original FROM reach GROUP BY 1""")
 def near_duplicate_pairs(t: Tables):
     """Each document with a near copy, tied to the first document of its group."""
-    return tx.near_duplicate_groups(t.documents, "doc_id", "text", threshold=0.8)
+    return tx.near_duplicate_groups(documents(t), "doc_id", "text", threshold=0.8)
 
 
 @query("text_digest", sql=f"""
@@ -205,7 +210,7 @@ def near_duplicate_pairs(t: Tables):
            arg_max(doc_id, (h, -doc_id)) AS exemplar, max(h) AS hits FROM hits GROUP BY 1""")
 def text_digest(t: Tables):
     """What the documents of each language are about, without reading them on the driver."""
-    out = tx.digest(t.documents, ["lang"], "doc_id", "text")
+    out = tx.digest(documents(t, "lang"), ["lang"], "doc_id", "text")
     return out.withColumn("terms", F.array_join("terms", " "))
 
 
@@ -230,5 +235,5 @@ def catalog_normalize(t: Tables):
 def distilled_classifier(t: Tables):
     """Quality labels for all documents from a model trained on the labelled ones."""
     labelled = t.labels.select("doc_id", F.col("quality").cast("double").alias("label"))
-    served = distill.classify(t.documents.select("doc_id", "text"), "doc_id", "text", labelled)
+    served = distill.classify(documents(t), "doc_id", "text", labelled)
     return served.groupBy("served_by", "prediction").agg(F.count(F.lit(1)).alias("n_docs"))

@@ -40,6 +40,12 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives lost executors and stops plan growth."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` to the shared folder and go on from the files.
+
+    Lost executors cost a re-read and no recomputation, the plan stays short,
+    and later steps see real sizes, read only the columns they need, and can
+    push filters into the scan.
+    """
+    path = new_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,12 +23,23 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        table = self.__dict__[name] = self.spark.read.parquet(self.path(name))  # read the footer once
+        return table
 
     def path(self, name: str) -> str:
         return f"{self.directory}/{name}.parquet"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows over all cores when a scan has fewer splits than that.
+
+    For CPU-heavy work per row on small inputs, such as one file with a single
+    row group. Large inputs have splits enough and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """Typed seed rows, as ``INSERT ... VALUES`` into a declared table would give."""
     return spark.createDataFrame(list(rows), schema)
