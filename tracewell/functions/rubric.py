@@ -48,7 +48,7 @@ class Rubric:
 
     def score(self, text: Column) -> Column:
         """0 to 5, higher for more and heavier hits; NULL text gives NULL."""
-        return F.least(F.lit(MAX_SCORE), self._hits(text, self.terms))
+        return F.when(text.isNotNull(), F.least(F.lit(MAX_SCORE), self._hits(text, self.terms)))
 
     def holds(self, text: Column, threshold: float = 1.0) -> Column:
         """Whether the score reaches the threshold, usable in filters and joins."""

@@ -47,19 +47,24 @@ def score_pending(source: DataFrame, key: str, score: Score, store: TableStore,
     later call tries the rest again. A pass writes its own folder, so a repeated
     pass replaces its own rows and no others.
     """
+    log = store.read(table) if store.exists(table) else None
+    number = 0 if log is None else log.agg(F.max("pass")).first()[0] or 0
+    rows = source if log is None else pending(source, settled(log, key), key)
     made = 0
     while made < max_attempts:
-        log = store.read(table) if store.exists(table) else None
-        number = 1 if log is None else (log.agg(F.max("pass")).first()[0] or 0) + 1
-        rows = source if log is None else pending(source, settled(log, key), key)
-        if batch_size is not None:
-            rows = priority_batch(rows, order, batch_size)
-        outcome = score(rows, number).withColumn("scored_at", F.current_timestamp())
-        outcome.write.mode("overwrite").parquet(f"{store.path(table)}/pass={number}")
         made += 1
-        done = store.spark.read.parquet(f"{store.path(table)}/pass={number}")
-        if done.filter(is_retryable(F.col("status"))).isEmpty():
+        number += 1
+        path = f"{store.path(table)}/pass={number}"
+        batch = rows if batch_size is None else priority_batch(rows, order, batch_size)
+        outcome = score(batch, number).withColumn("scored_at", F.current_timestamp())
+        outcome.write.mode("overwrite").parquet(path)
+        again = store.spark.read.parquet(path).filter(is_retryable(F.col("status"))).select(key)
+        if again.isEmpty():
             break
+        if batch_size is None:  # all else is settled, so the next pass needs only these
+            rows = source.join(again, key, "left_semi")
+        else:
+            rows = pending(source, settled(store.read(table), key), key)
     return made
 
 
