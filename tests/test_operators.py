@@ -10,6 +10,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tracewell.functions import sql
+from tracewell.functions.columns import md5_bucket
+from tracewell.functions.farmhash import farm_fingerprint
 from tracewell.functions.rubric import Field, Rubric, Term, extract
 from tracewell.operators import augmented as aa
 from tracewell.operators import distill
@@ -215,6 +218,25 @@ def test_rubric(spark):
     assert [(r.j.result, r.j.status) for r in rows] == [(5, ""), (1, ""), (0, ""), (None, "no text to score")]
 
 
+def test_sql_functions(spark):
+    sql.register(spark, {"hazard_score": RUBRIC}, {"hazard_class": (RUBRIC, ["hazard", "water", "none"])})
+    texts = ["Fire and smoke and FIRE", "a leak", "nothing", None]
+    df = sql.table(spark, "reports", spark.createDataFrame([(t,) for t in texts], "t string"))
+    by_sql = spark.sql("""
+        SELECT t, hazard_score(t) AS s, hazard_class(t) AS c, text_similarity(t, 'fire leak') AS m,
+               stable_bucket(t, 10) AS b, farm_fingerprint(t) AS f FROM reports""").collect()
+    t = F.col("t")
+    native = df.select(t, RUBRIC.score(t).alias("s"), RUBRIC.classify(t, ["hazard", "water", "none"]).alias("c"),
+                       tx.set_cosine(t, F.lit("fire leak")).alias("m"), md5_bucket(10, t).alias("b"),
+                       farm_fingerprint(t).alias("f")).collect()
+    assert sorted(map(str, by_sql)) == sorted(map(str, native))
+    urgent = spark.sql(
+        "SELECT t, hazard_score(t) AS s FROM reports WHERE hazard_score(t) >= 1 ORDER BY s DESC").collect()
+    assert [r.t for r in urgent] == texts[:2]
+    row = spark.sql("SELECT sunday_week(date '2025-11-19') AS w, safe_ratio(1, 0) AS r").first()
+    assert str(row.w) == "2025-11-16" and row.r is None
+
+
 def test_extraction_fills_every_field(spark):
     fields = [Field("mail", "string", r"([a-z]+@[a-z]+\.com)", "N/A", needs="@"), Field("n", "bigint", r"n=([0-9]+)", "-1"),
               Field("urgent", "boolean", "now", "false")]

@@ -63,6 +63,24 @@ class Rubric:
         return F.when(best > 0, labels[(F.array_position(scores, best) - 1).cast("int")]).when(
             text.isNotNull(), none)
 
+    def _hits_sql(self, text: str, terms: Sequence[Term]) -> str:
+        parts = [f"regexp_count(lower({text}), r'{t.pattern}') * {t.weight}D" for t in terms]
+        return " + ".join(parts) or "0D"
+
+    def sql(self, text: str) -> str:
+        """SQL text of :meth:`score` for a column called ``text``."""
+        return f"CASE WHEN {text} IS NOT NULL THEN least({MAX_SCORE}D, {self._hits_sql(text, self.terms)}) END"
+
+    def classify_sql(self, text: str, categories: Sequence[str], none: str = "none") -> str:
+        """SQL text of :meth:`classify`."""
+        named = [c for c in categories if c != none]
+        scores = "array(" + ", ".join(
+            self._hits_sql(text, [t for t in self.terms if t.category == c]) for c in named) + ")"
+        labels = "array(" + ", ".join(f"'{c}'" for c in named) + ")"
+        return (f"CASE WHEN array_max({scores}) > 0 THEN element_at({labels}, "
+                f"CAST(array_position({scores}, array_max({scores})) AS INT)) "
+                f"WHEN {text} IS NOT NULL THEN '{none}' END")
+
     def judge(self, text: Column, kind: str, threshold: float = 1.0) -> Column:
         """``struct<result, status>`` with a bool, int or double result; status '' on success."""
         score = self.score(text)

@@ -16,7 +16,7 @@ MIN_ROWS = 3000
 
 def classify(df: DataFrame, key: str, text: str, labels: DataFrame, *, min_rows: int = MIN_ROWS,
              min_agreement: float = 0.7, holdout_percent: int = 20,
-             fallback: float = 0.0, features: int = 1 << 14) -> DataFrame:
+             fallback: float = 0.0, features: int = 1 << 12) -> DataFrame:
     """(key, prediction, served_by) for every row.
 
     ``labels`` (key, label) is the labeller's answer for a sample. With fewer
@@ -39,7 +39,7 @@ def classify(df: DataFrame, key: str, text: str, labels: DataFrame, *, min_rows:
     model = Pipeline(stages=[
         HashingTF(inputCol="words", outputCol="tf", numFeatures=features, binary=True),
         IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(maxIter=20, regParam=0.01),
+        LogisticRegression(maxIter=10, regParam=0.01),
     ]).fit(labelled.filter(~held))
     checked = model.transform(labelled.filter(held))
     agreement = checked.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]

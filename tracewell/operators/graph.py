@@ -258,11 +258,13 @@ def detect_rings(graph: PropertyGraph, labels: Sequence[str], stats: DataFrame,
         .agg(F.sum("n_returns").alias("total_returns"), F.avg("return_rate").alias("avg_return_rate"),
              F.sum("total_refunds").alias("refund_exposure"))
     )
+    summary = cut_lineage(numbered.join(totals, key))
+    names = summary.select(*key, "ring_id")
     return Rings(
-        summary=numbered.join(totals, key).select(
-            "ring_id", "n_members", "n_entities", "total_returns", "avg_return_rate", "refund_exposure"),
-        members=membership.join(numbered.select(*key, "ring_id"), key).select("ring_id", "member"),
-        entities=member_sets.join(numbered.select(*key, "ring_id"), key).select("ring_id", *ENTITY),
+        summary=summary.select("ring_id", "n_members", "n_entities", "total_returns", "avg_return_rate",
+                               "refund_exposure"),
+        members=membership.join(names, key).select("ring_id", "member"),
+        entities=member_sets.join(names, key).select("ring_id", *ENTITY),
     )
 
 
@@ -292,7 +294,8 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     edges; a hub's rows are combined map-side and joined back against one row.
     """
     links = cut_lineage(links.select(*ENTITY, "member"))
-    lowest = links.groupBy(*ENTITY).agg(F.min("member").alias("v"))
+    lowest = (links.groupBy(*ENTITY).agg(F.min("member").alias("v"), F.max("member").alias("_hi"))
+              .filter("v < _hi").drop("_hi"))
     edges = cut_lineage(
         links.join(lowest, ENTITY).filter("member <> v")
         .select(F.col("member").alias("u"), "v").distinct())

@@ -12,7 +12,7 @@ from tracewell.operators.graph import (
 )
 from tracewell.operators.relational import top_n_list
 from tracewell.plans.registry import query
-from tracewell.sources.tables import Tables
+from tracewell.sources.tables import Tables, spread
 
 MIN_RATE, MIN_RETURNS, MIN_MEMBERS = 0.5, 3, 3
 
@@ -83,11 +83,15 @@ def customer_stats(t: Tables) -> DataFrame:
     )
 
 
+def order_lines(t: Tables, *columns: str) -> DataFrame:
+    """Line items with the customer of their order."""
+    lines = spread(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), *columns), "o_orderkey")
+    return t.orders.select("o_orderkey", "o_custkey").join(lines, "o_orderkey")
+
+
 def trade_graph(t: Tables) -> PropertyGraph:
     """Customers linked to the parts, suppliers and cohorts they share."""
-    bought = t.orders.select("o_orderkey", "o_custkey").join(
-        t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_suppkey",
-                          "l_returnflag"), "o_orderkey")
+    bought = order_lines(t, "l_partkey", "l_suppkey", "l_returnflag")
     cohort = F.concat_ws("/", F.col("c_nationkey").cast("string"), "c_mktsegment")
     in_cohort = t.customer.select("c_custkey", cohort.alias("cohort"))
     return PropertyGraph(
@@ -115,9 +119,7 @@ def rings(t: Tables) -> Rings:
 
 def same_day_links(t: Tables) -> DataFrame:
     """Customers who were shipped the same part on the same day."""
-    shipped = t.orders.select("o_orderkey", "o_custkey").join(
-        t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_shipdate"), "o_orderkey")
-    return shipped.select(
+    return order_lines(t, "l_partkey", "l_shipdate").select(
         F.lit("shipment").alias("entity_type"),
         F.concat_ws("@", F.col("l_partkey").cast("string"), F.col("l_shipdate").cast("date").cast("string"))
         .alias("entity_id"),
@@ -262,11 +264,10 @@ def shared_entity_pairs(t: Tables):
     GROUP BY 1, 2 ORDER BY shared_entities DESC, customer_a, customer_b LIMIT 50""")
 def multi_entity_pairs(t: Tables):
     """Customers sharing most shipments, by part and day or by supplier and day."""
-    shipped = t.orders.select("o_orderkey", "o_custkey").join(
-        t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_suppkey",
-                          F.col("l_shipdate").cast("date").cast("string").alias("day")), "o_orderkey").withColumns(
-        {"part_day": F.concat_ws("@", F.col("l_partkey").cast("string"), "day"),
-         "supplier_day": F.concat_ws("@", F.col("l_suppkey").cast("string"), "day")})
+    day = F.col("l_shipdate").cast("date").cast("string")
+    shipped = order_lines(t, "l_partkey", "l_suppkey", "l_shipdate").select(
+        "o_custkey", F.concat_ws("@", F.col("l_partkey").cast("string"), day).alias("part_day"),
+        F.concat_ws("@", F.col("l_suppkey").cast("string"), day).alias("supplier_day"))
     graph = PropertyGraph(
         nodes=[NodeTable("Customer", t.customer, "c_custkey"),
                NodeTable("Part", t.part, "p_partkey"), NodeTable("Supplier", t.supplier, "s_suppkey")],
