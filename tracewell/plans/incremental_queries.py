@@ -9,6 +9,7 @@ from tracewell.operators.augmented import causal_effect, detect_change_points, k
 from tracewell.operators.relational import pending, priority_batch
 from tracewell.operators.timeseries import bucket_series, regularize
 from tracewell.plans.registry import query
+from tracewell.plans.series_queries import drivers_sql, fit_sql, segments_sql, x_sql
 from tracewell.plans.text_queries import RUBRIC, SCORE_SQL, documents
 from tracewell.session import cut_lineage, new_path
 from tracewell.sources.tables import Tables, TableStore
@@ -166,7 +167,25 @@ def stream_session(t: Tables):
                              ["window_start", "window_end", "user_id"], mode="complete"))
 
 
-@query("chained_investigation")
+_CHAIN_X = x_sql("ts", 1)
+
+
+@query("chained_investigation", sql=f"""
+    WITH present AS (SELECT o_orderdate::DATE AS ts, sum(o_totalprice) AS revenue FROM orders GROUP BY 1),
+    spine AS (SELECT unnest(generate_series(min(ts)::TIMESTAMP, max(ts)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS ts FROM present),
+    daily AS (SELECT 0 AS k, ts, coalesce(revenue, 0) AS revenue FROM spine LEFT JOIN present USING (ts)),
+    {segments_sql("daily", "k", "revenue", 0.5, 7, 3)},
+    regimes AS (SELECT min(ts) AS begin_ts, avg(y) AS level FROM seg3 GROUP BY seg),
+    jumps AS (SELECT begin_ts, abs(level - lag(level) OVER (ORDER BY begin_ts)) AS jump FROM regimes),
+    shift AS (SELECT begin_ts AS shift_day FROM jumps ORDER BY jump DESC NULLS LAST, begin_ts LIMIT 1),
+    facts AS (SELECT o_orderpriority, c_mktsegment, o_totalprice, o_orderdate::DATE >= shift_day AS is_after
+              FROM orders JOIN customer ON c_custkey = o_custkey, shift),
+    drivers AS (WITH {drivers_sql("facts", ["o_orderpriority", "c_mktsegment"], "o_totalprice", "is_after", 0.1, 3)}),
+    {fit_sql("daily", "k", "revenue", "ts < (SELECT shift_day FROM shift)", 1)},
+    effect AS (SELECT sum(revenue - (a + b * {_CHAIN_X})) / sum(a + b * {_CHAIN_X}) AS rel
+               FROM daily JOIN fit USING (k) WHERE ts >= (SELECT shift_day FROM shift))
+    SELECT 'driver' AS step, drivers AS item, relative_difference AS value FROM drivers
+    UNION ALL SELECT 'effect', (SELECT shift_day::VARCHAR FROM shift), round(rel, 6) FROM effect""")
 def chained_investigation(t: Tables):
     """Largest level shift of daily revenue, what drove it, and what it was worth.
 

@@ -446,3 +446,41 @@ def correlation(t: Tables):
 def correlation_spearman(t: Tables):
     out = aa.correlation(customer_stats(t), "n_returns", ["n_orders", "total_refunds"], method="spearman")
     return rounded(out, 8, "correlation")
+
+
+DAY_SPLIT = "2024-01-24"
+
+
+@query("daily_error_anomalies", sql=f"""
+    WITH {EVENTS_SQL}, s AS (SELECT 0 AS k, day AS ts, errors FROM quality),
+    {fit_sql("s", "k", "errors", f"ts < DATE '{DAY_SPLIT}'", 1)},
+    scored AS (SELECT ts, errors AS y, a + b * {x_sql("ts", 1)} AS e,
+                      sigma * sqrt(1 + 1.0 / n + ({x_sql("ts", 1)} - xm) ** 2 / sxx) AS se
+               FROM s JOIN fit USING (k) WHERE ts >= DATE '{DAY_SPLIT}'),
+    p AS (SELECT *, {probability_sql("(y - e) / se")} AS probability FROM scored)
+    SELECT ts::VARCHAR AS day, y AS errors, round(e - {normal_half_width(0.70)!r} * se, 5) AS expected_min,
+           round(e + {normal_half_width(0.70)!r} * se, 5) AS expected_max,
+           round(probability, 6) AS anomaly_probability FROM p WHERE probability > 0.7""")
+def daily_error_anomalies(t: Tables):
+    """Days with more or fewer errors than the earlier days led to expect."""
+    out = ts.detect_anomalies(daily_events(t), "errors", "day", F.expr(f"day < date '{DAY_SPLIT}'"),
+                              F.expr(f"day >= date '{DAY_SPLIT}'"), 0.70)
+    return out.filter("is_anomaly").select(
+        F.col("time_series_timestamp").cast("string").alias("day"), F.col("time_series_data").alias("errors"),
+        F.round("lower_bound", 5).alias("expected_min"), F.round("upper_bound", 5).alias("expected_max"),
+        F.round("anomaly_probability", 6).alias("anomaly_probability"))
+
+
+@query("daily_error_evaluate", sql=f"""
+    WITH {EVENTS_SQL}, s AS (SELECT 0 AS k, day AS ts, errors FROM quality),
+    {fit_sql("s", "k", "errors", f"ts < DATE '{DAY_SPLIT}'", 1)},
+    pairs AS (SELECT errors AS y, a + b * {x_sql("ts", 1)} AS g FROM s JOIN fit USING (k) WHERE ts >= DATE '{DAY_SPLIT}')
+    SELECT round(avg(abs(y - g)), 5) AS mae, round(avg((y - g) ** 2), 5) AS mse, round(sqrt(avg((y - g) ** 2)), 5) AS rmse,
+           round(100 * avg(2 * abs(y - g) / (abs(y) + abs(g))), 5) AS smape_pct, '' AS ai_evaluate_status FROM pairs""")
+def daily_error_evaluate(t: Tables):
+    out = ts.evaluate(daily_events(t), "errors", "day", F.expr(f"day < date '{DAY_SPLIT}'"),
+                      F.expr(f"day >= date '{DAY_SPLIT}'"))
+    return out.select(
+        F.round("mean_absolute_error", 5).alias("mae"), F.round("mean_squared_error", 5).alias("mse"),
+        F.round("root_mean_squared_error", 5).alias("rmse"),
+        F.round("symmetric_mean_absolute_percentage_error", 5).alias("smape_pct"), "ai_evaluate_status")

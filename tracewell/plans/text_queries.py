@@ -149,6 +149,23 @@ def text_similarity_topk(t: Tables):
     return tx.most_similar(docs, score, [F.asc("doc_id")], 10).select("doc_id", "similarity")
 
 
+@query("text_tfidf_topk", sql=r"""
+    WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM documents),
+    q AS (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM (SELECT text FROM benchmark ORDER BY item_id LIMIT 1)),
+    tf AS (SELECT doc_id, ('0x' || substr(md5(w), 1, 8))::BIGINT % 4096 AS b, count(*) AS tf FROM t GROUP BY 1, 2),
+    qf AS (SELECT ('0x' || substr(md5(w), 1, 8))::BIGINT % 4096 AS b, count(*) AS q FROM q GROUP BY 1),
+    idf AS (SELECT b, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)::DOUBLE) + 1 AS idf FROM tf GROUP BY 1),
+    len AS (SELECT sqrt(sum((q * idf) ** 2)) AS l FROM qf JOIN idf USING (b)),
+    s AS (SELECT doc_id, sum(tf * idf * q * idf) AS dot, sum((tf * idf) ** 2) AS sq
+          FROM tf JOIN idf USING (b) LEFT JOIN qf USING (b) GROUP BY 1)
+    SELECT doc_id, round(dot / (sqrt(sq) * l), 6) AS similarity FROM s, len WHERE dot IS NOT NULL
+    ORDER BY similarity DESC, doc_id LIMIT 10""")
+def text_tfidf_topk(t: Tables):
+    """Documents closest to the first benchmark item by hashed TF-IDF."""
+    passage = t.benchmark.orderBy("item_id").limit(1).select("text")
+    return tx.tfidf_similar(documents(t), "doc_id", "text", passage, 10)
+
+
 @query("embedding_topk", sql="""
     WITH q AS (SELECT embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id = 0)
     SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[], e), 6) AS similarity
