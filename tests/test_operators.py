@@ -55,6 +55,13 @@ def test_top_shared_pairs(links):
     assert found == expected
 
 
+def test_top_shared_pairs_with_one_hot_entity(spark):
+    rows = [("k", "hot", m) for m in range(1, 400)] + [("k", f"s{i}", m) for i in range(4) for m in (300 + i, 301 + i)]
+    df = spark.createDataFrame(rows, "entity_type string, entity_id string, member long")
+    found = [tuple(r) for r in top_shared_pairs(df, 10).collect()]
+    assert found == [(300 + i, 301 + i, 2) for i in range(4)] + [(1, b, 1) for b in range(2, 8)]
+
+
 def test_first_shared_pairs(links):
     df, rows = links
     expected = sorted((e[1], a, b) for e, a, b in all_pairs(rows))[:70]
@@ -345,13 +352,13 @@ def test_seasonality_sums_to_zero_and_trend_extends(series):
 
 
 def test_key_drivers_published_example(spark):
-    rows = ([("heating_element", "ThermoCore", 1.0, True)] * 17 + [("heating_element", "ThermoCore", 1.0, False)]
-            + [("thermostat", "SwissTherm", 1.0, True)] * 3 + [("motor", "Dynamotor", 1.0, False)] * 6
+    rows = ([("heating_element", "maker1", 1.0, True)] * 17 + [("heating_element", "maker1", 1.0, False)]
+            + [("thermostat", "maker2", 1.0, True)] * 3 + [("motor", "maker3", 1.0, False)] * 6
             + [("motor", None, 0.0, False)] * 3)
     df = spark.createDataFrame(rows, "component_type string, supplier string, defect double, at_station boolean")
     out = aa.key_drivers(df, "defect", ["component_type", "supplier"], "at_station", top_k=10, min_support=0.0).collect()
     top = {tuple(r.drivers): r for r in out}
-    best = top["component_type=heating_element", "supplier=ThermoCore"]
+    best = top["component_type=heating_element", "supplier=maker1"]
     assert (best.metric_interest, best.metric_reference, best.relative_difference) == (17.0, 1.0, 16.0)
     singles = [r for r in out if len(r.drivers) == 1 and r.drivers[0].startswith("component_type")]
     assert sum(r.metric_interest for r in singles) == 20.0

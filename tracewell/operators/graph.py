@@ -125,13 +125,15 @@ def first_shared_pairs(links: DataFrame, entity: str, member: str, limit: int) -
 def top_shared_pairs(links: DataFrame, limit: int, probe_degree: int = 1000) -> DataFrame:
     """The ``limit`` member pairs sharing most entities: (a, b, shared_entities).
 
-    Ordered by the count descending, then a, b. Works in three exact steps:
+    Ordered by the count descending, then a, b. Works in exact steps:
 
     1. A lower bound t for the last reported count, from neighbouring members
        of entities with at most ``probe_degree`` members (linear work).
-    2. A pair sharing t entities must share one outside each side's t-1 most
-       popular ones (prefix filter), so the popular entities form no pairs.
+    2. A pair sharing t entities (at least two) must share one outside each
+       side's t-1 most popular ones (prefix filter), so an entity that a third
+       of the members use forms no pairs.
     3. Exact counts for the candidates, probing from the smaller side.
+    4. Room left in the report goes to the first pairs that share one entity.
     """
     edges = cut_lineage(links.distinct())
     degree = edges.groupBy(*ENTITY).agg(F.count(F.lit(1)).alias("degree")).filter("degree > 1")
@@ -148,13 +150,25 @@ def top_shared_pairs(links: DataFrame, limit: int, probe_degree: int = 1000) ->
         .agg(F.count(F.lit(1)).alias("pairs"), F.min("n").alias("bound")).first()
     )
     bound = neighbours["bound"] if neighbours["pairs"] == limit else 1
+    order = [F.desc("shared_entities"), F.asc("a"), F.asc("b")]
+    several = _pairs_sharing(edges, max(bound, 2)).orderBy(*order).limit(limit)
+    if bound >= 2:
+        return several
+    several = cut_lineage(several)
+    single = (
+        _first_pairs(edges, 2 * limit).join(several, ["a", "b"], "left_anti")
+        .withColumn("shared_entities", F.lit(1).cast("bigint"))
+    )
+    return several.unionByName(single).orderBy(*order).limit(limit)
+
 
-    rest = edges.filter(F.col("size") >= bound)
-    if bound > 1:
-        popular = top_n_per_key(
-            rest, ["member"], [F.desc("degree"), F.asc("entity_type"), F.asc("entity_id")],
-            bound - 1, "_rank").select(*ENTITY, "member")
-        rest = rest.join(popular, [*ENTITY, "member"], "left_anti")
+def _pairs_sharing(edges: DataFrame, least: int) -> DataFrame:
+    """All pairs sharing at least ``least`` (two or more) entities, with the exact count."""
+    rest = edges.filter(F.col("size") >= least)
+    popular = top_n_per_key(
+        rest, ["member"], [F.desc("degree"), F.asc("entity_type"), F.asc("entity_id")],
+        least - 1, "_rank").select(*ENTITY, "member")
+    rest = rest.join(popular, [*ENTITY, "member"], "left_anti")
     a = rest.select(*ENTITY, F.col("member").alias("a"), F.col("size").alias("size_a"))
     b = rest.select(*ENTITY, F.col("member").alias("b"), F.col("size").alias("size_b"))
     candidates = (
@@ -169,10 +183,26 @@ def top_shared_pairs(links: DataFrame, limit: int, probe_degree: int = 1000) ->
     return (
         candidates.join(small, "small").join(large, ["large", *ENTITY], "left_semi")
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared_entities"))
-        .orderBy(F.desc("shared_entities"), "a", "b").limit(limit)
+        .filter(F.col("shared_entities") >= least)
     )
 
 
+def _first_pairs(edges: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` distinct pairs (a, b) that share an entity, in order of a, b.
+
+    They come from the entities with the ``n`` lowest distinct pairs of two
+    lowest members, and there from the first ``n + 1`` members.
+    """
+    first = top_n_per_key(edges, ENTITY, [F.asc("member")], n + 1, "_rank")
+    lowest = first.filter("_rank <= 2").groupBy(*ENTITY).agg(
+        F.min("member").alias("m1"), F.max("member").alias("m2"))
+    heads = lowest.select("m1", "m2").distinct().orderBy("m1", "m2").limit(n)
+    chosen = lowest.join(F.broadcast(heads), ["m1", "m2"], "left_semi").select(*ENTITY)
+    low = first.join(chosen, ENTITY, "left_semi").select(*ENTITY, "member")
+    a, b = low.withColumnRenamed("member", "a"), low.withColumnRenamed("member", "b")
+    return a.join(b, ENTITY).filter("a < b").select("a", "b").distinct().orderBy("a", "b").limit(n)
+
+
 @dataclass(frozen=True)
 class Rings:
     """Rings in long form, so a ring may be of any size.
