@@ -53,7 +53,8 @@ def priority_batch(df: DataFrame, order: Sequence[Column], size: int) -> DataFra
 def global_row_number(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """1-based position in a total order, without moving all rows to one task.
 
-    Rows are range-partitioned and sorted; writing them fixes the partitioning, and the partition sizes (one row per partition) give offsets.
+    Rows are range-partitioned and sorted; writing them fixes the partitioning,
+    and the partition sizes (one row per partition) give offsets.
     """
     position_mask = (1 << 33) - 1
     fixed = cut_lineage(
