@@ -8,13 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe, language, topk
+from tracewell.llm import bpe, language, mixing, topk, winnowing
 from tracewell.llm.common import read_table
 from tracewell.session import prepare
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all sources takes of every document, and when."""
+    return mixing.taken(read_table(prepare(spark), sf_dir, "documents"))
+
+
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of every document and of its edited text."""
+    return winnowing.fingerprint_edits(read_table(prepare(spark), sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by hyperdimensional profiles."""
     return language.identify(read_table(prepare(spark), sf_dir, "documents"))
@@ -33,7 +43,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_language_id, op9_exact_top_k, op10_byte_bpe)
+    f.__name__: f for f in (op5_source_mix, op6_winnowing, op8_language_id, op9_exact_top_k, op10_byte_bpe)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_source_mix": mixing.ORACLE_SQL,
+}
