@@ -8,13 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe, language, mixing, topk, winnowing
+from tracewell.llm import bpe, language, mixing, quality, sharding, topk, winnowing
 from tracewell.llm.common import read_table
 from tracewell.session import prepare
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+SHARDS = tuple(f"shard-{i:02d}" for i in range(64))
+
+
+def op1_permutation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document in a permutation-filled lookup table."""
+    return sharding.place(read_table(prepare(spark), sf_dir, "documents"), SHARDS)
+
+
+def op2_hierarchical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; a source is its host and a language its path there."""
+    prepare(spark)
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all sources takes of every document, and when."""
     return mixing.taken(read_table(prepare(spark), sf_dir, "documents"))
@@ -43,7 +57,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_source_mix, op6_winnowing, op8_language_id, op9_exact_top_k, op10_byte_bpe)
+    f.__name__: f for f in (op1_permutation_table, op2_hierarchical_quality, op5_source_mix, op6_winnowing, op8_language_id, op9_exact_top_k, op10_byte_bpe)
 }
 
 ORACLES: dict[str, str] = {
