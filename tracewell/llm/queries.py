@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe, language, mixing, quality, sharding, topk, toxicity, winnowing
+from tracewell.llm import bpe, jaccard, language, mixing, quality, sharding, topk, toxicity, winnowing
 from tracewell.llm.common import read_table
 from tracewell.session import prepare
 
@@ -29,6 +29,11 @@ def op2_hierarchical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similar shingle sets."""
+    return jaccard.join(read_table(prepare(spark), sf_dir, "documents"))
+
+
 def op4_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by class-conditional Kneser-Ney models."""
     prepare(spark)
@@ -63,7 +68,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_permutation_table, op2_hierarchical_quality, op4_kneser_ney_toxicity, op5_source_mix, op6_winnowing, op8_language_id, op9_exact_top_k, op10_byte_bpe)
+    f.__name__: f for f in (op1_permutation_table, op2_hierarchical_quality, op3_ngram_jaccard, op4_kneser_ney_toxicity, op5_source_mix, op6_winnowing, op8_language_id, op9_exact_top_k, op10_byte_bpe)
 }
 
 ORACLES: dict[str, str] = {
