@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -64,3 +65,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
     return x
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    Spark deletes them when the driver's JVM collects what refers to them, which
+    may be much later.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe, jaccard, language, mixing, quality, sharding, topk, toxicity, winnowing
+from tracewell.llm import bpe, jaccard, language, mixing, quality, sharding, suffixes, topk, toxicity, winnowing
 from tracewell.llm.common import read_table
 from tracewell.session import prepare
 
@@ -50,6 +50,11 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprint_edits(read_table(prepare(spark), sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that smaller documents hold."""
+    return suffixes.digests(read_table(prepare(spark), sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by hyperdimensional profiles."""
     return language.identify(read_table(prepare(spark), sf_dir, "documents"))
@@ -68,7 +73,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_permutation_table, op2_hierarchical_quality, op3_ngram_jaccard, op4_kneser_ney_toxicity, op5_source_mix, op6_winnowing, op8_language_id, op9_exact_top_k, op10_byte_bpe)
+    f.__name__: f for f in (op1_permutation_table, op2_hierarchical_quality, op3_ngram_jaccard, op4_kneser_ney_toxicity, op5_source_mix, op6_winnowing, op7_suffix_dedup, op8_language_id, op9_exact_top_k, op10_byte_bpe)
 }
 
 ORACLES: dict[str, str] = {
