@@ -323,13 +323,19 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", name
     return kept.mapInArrow(run, f"{schema}, `{name}` binary")
 
 
-def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str = "doc_id",
-            text: str = "text") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) after encoding and decoding back."""
+def with_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str = "doc_id",
+                 text: str = "text") -> DataFrame:
+    """(key, n_tokens, ids, ids_sha256, decoded_sha256) after encoding and decoding back."""
     tokens = decode(encode(docs, ranks, pattern, key=key, text=text), ranks)
     return tokens.select(
         key,
-        F.size("ids").cast("long").alias("n_tokens"),
+        F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str = "doc_id",
+            text: str = "text") -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256)."""
+    return with_digests(docs, ranks, pattern, key=key, text=text).drop("ids")

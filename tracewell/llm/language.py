@@ -151,8 +151,8 @@ def text_vectors(contents: list[tuple[np.ndarray, np.ndarray]], letters: np.ndar
 
 
 def predict(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, key: str = "doc_id", text: str = "text",
-            seed: int = 8) -> DataFrame:
-    """(key, lang_pred, score) for every whole text.
+            seed: int = 8, keep_rows: bool = False) -> DataFrame:
+    """(key, lang_pred, score) for every whole text, with ``keep_rows`` also ``row``, the input row.
 
     ``score`` is the cosine with the predicted language's profile, not below 0.
     A null text, one without a letter, or any text while no language was
@@ -181,12 +181,13 @@ def predict(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, key: s
                             if len(codes):
                                 label[i], score[i] = names[best[i]], min(1.0, max(0.0, cosines[i, best[i]]))
                     yield pa.record_batch(
-                        [batch.column(0).slice(start, stop - start), pa.array(label, pa.string()), pa.array(score)],
-                        names=["key", "lang_pred", "score"])
+                        [*[c.slice(start, stop - start) for c in (batch.column(0), *batch.columns[2:])],
+                         pa.array(label, pa.string()), pa.array(score)], names=schema.names)
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        run, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+    whole = [F.struct("*").alias("row")] if keep_rows else []
+    used = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *whole)
+    schema = used.drop("text").schema.add("lang_pred", "string").add("score", "double")
+    return used.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def identify(docs: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", folds: int = 4,

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tracewell.llm import bpe, jaccard, language, mixing, quality, sharding, suffixes, topk, toxicity, winnowing
 from tracewell.llm.common import read_table
+from tracewell.llm.stages import VOCABULARY
 from tracewell.session import prepare
 
-VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 SHARDS = tuple(f"shard-{i:02d}" for i in range(64))

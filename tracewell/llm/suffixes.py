@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewell.llm.common import mix64, ragged, release
 from tracewell.session import cut_lineage
@@ -434,8 +435,10 @@ def group_strings(blocks: DataFrame) -> DataFrame:
             .select("doc", "from", (F.col("from") + LENGTH).alias("to")))
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_bytes, kept binary, spans array<struct<from, to>>) per document.
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep_rows: bool = False) -> DataFrame:
+    """(key, n_bytes, kept binary, spans array<struct<from, to>>) per document, with
+    ``keep_rows`` also ``row``, the input row, and ``kept_text``, of which a
+    character that lost some of its bytes is no part.
 
     ``spans`` are the maximal runs of removed bytes of the UTF-8 text and ``kept``
     the others. Strings are judged on the input, overlaps count, and no string
@@ -465,9 +468,17 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
              .union(runs.select("doc", "from", "to", F.lit(2)))
              .groupBy("doc").agg(F.collect_list(F.struct("a", "b", "kind")).alias("marks")))
     kind = docs.schema[key].dataType
-    joined = source.join(marks, "doc", "left").select("doc", "text", "marks")
-    return joined.mapInArrow(_apply, "doc long, n_bytes long, kept binary, spans array<struct<`from`:long,`to`:long>>").select(
-        F.when(F.col("doc") != NO_ID, F.col("doc")).cast(kind).alias(key), "n_bytes", "kept", "spans")
+    whole = ["row"] if keep_rows else []
+    if keep_rows:
+        source = docs.select(number.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                             F.struct("*").alias("row"))
+    joined = source.join(marks, "doc", "left").select("doc", "text", "marks", *whole)
+    span = T.StructType().add("from", "long").add("to", "long")
+    schema = (joined.drop("text", "marks").schema.add("n_bytes", "long").add("kept", "binary")
+              .add("spans", T.ArrayType(span)).add("kept_text", "string"))
+    return joined.mapInArrow(_apply, schema).select(
+        F.when(F.col("doc") != NO_ID, F.col("doc")).cast(kind).alias(key), "n_bytes", "kept", "spans",
+        *(["row", "kept_text"] if keep_rows else []))
 
 
 def _names(batches) -> Iterator[pa.RecordBatch]:
@@ -519,11 +530,15 @@ def _apply(batches) -> Iterator[pa.RecordBatch]:
             spans = pa.StructArray.from_arrays(
                 [pa.array(starts - bounds[holder]), pa.array(stops - bounds[holder])], names=["from", "to"])
             places = np.searchsorted(holder, np.arange(n + 1)).astype(np.int32)
+            rest = [c.slice(start, n) for c in (batch.column(0), *batch.columns[3:])]
             yield pa.record_batch(
-                [batch.column(0).slice(start, n), pa.array(lengths.astype(np.int64)),
+                [*rest, pa.array(lengths.astype(np.int64)),
                  pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(sizes.astype(np.int32).tobytes()),
                                                         pa.py_buffer(kept.tobytes())]),
-                 pa.ListArray.from_arrays(pa.array(places), spans)], names=["doc", "n_bytes", "kept", "spans"])
+                 pa.ListArray.from_arrays(pa.array(places), spans),
+                 pa.array([kept[x:y].tobytes().decode("utf-8", "ignore") for x, y in zip(sizes[:-1], sizes[1:])]
+                          if batch.num_columns > 3 else [None] * n, pa.string())],
+                names=["doc", *batch.schema.names[3:], "n_bytes", "kept", "spans", "kept_text"])
 
 
 def digests(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
