@@ -27,7 +27,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Keep the document with the smallest id of each group of near copies."""
     groups = jaccard.join(docs)
     others = groups.filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
