@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.functions.farmhash import farm_fingerprint
+from pyspark import cloudpickle
+
+import farmhash
+from farmhash import farm_fingerprint
+
+cloudpickle.register_pickle_by_value(farmhash)  # workers do not see the tests folder
 
 # Fixed values of the published data set: cohorts by customer id, with the
 # share of orders returned, and the planted groups' order rules.

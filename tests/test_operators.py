@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import sql
 from tracewell.functions.columns import md5_bucket
-from tracewell.functions.farmhash import farm_fingerprint
 from tracewell.functions.rubric import Field, Rubric, Term, extract
 from tracewell.operators import augmented as aa
 from tracewell.operators import distill
@@ -22,7 +21,10 @@ from tracewell.operators.graph import (
     EdgeTable, NodeTable, PropertyGraph, connected_components, detect_rings, first_shared_pairs,
     k_hop_reach, top_shared_pairs,
 )
-from tracewell.operators.relational import first_per_key, global_row_number, running_before, top_n_list
+from tracewell.operators.relational import (
+    first_per_key, global_row_number, running_before, top_n_list, top_n_per_key,
+)
+from tracewell.sources.tables import TableStore
 
 
 def hot(rng, n):
@@ -100,8 +102,8 @@ def test_k_hop_reach(spark):
     assert {(r.member, r.hop) for r in k_hop_reach(df, seeds, 3).collect()} == {(1, 0), (2, 1), (3, 2), (4, 3)}
 
 
-def test_rings_continue_in_chunks_and_graph_drops_dangling_edges(spark):
-    people = spark.range(1, 31).withColumnRenamed("id", "p")
+def test_large_ring_is_one_row_and_graph_drops_dangling_edges(spark):
+    people = spark.range(1, 12_001).withColumnRenamed("id", "p")
     uses = people.select("p", F.lit("x").alias("e")).union(people.filter("p <= 4").select("p", F.lit("y"))).union(
         people.filter("p <= 4").select("p", F.lit("z"))).union(spark.createDataFrame([(99, "x"), (1, "gone")], "p long, e string"))
     graph = PropertyGraph(
@@ -111,11 +113,10 @@ def test_rings_continue_in_chunks_and_graph_drops_dangling_edges(spark):
                           F.lit(1.0).alias("total_refunds"))
     rings = detect_rings(graph, ["USES"], stats, min_rate=0.4, min_returns=3)
     assert {r.ring_id: (r.n_members, r.n_entities) for r in rings.summary.collect()} == {
-        "RING-1": (30, 1), "RING-2": (4, 2)}
-    report = rings.report(array_limit=10).collect()
-    big = [r for r in report if r.ring_id == "RING-1"]
-    assert len(big) > 1 and sorted(m for r in big for m in r.members) == list(range(1, 31))
-    assert [r.members for r in report if r.ring_id == "RING-2"] == [[1, 2, 3, 4]]
+        "RING-1": (12_000, 1), "RING-2": (4, 2)}
+    assert rings.members.filter("ring_id = 'RING-1'").count() == 12_000
+    assert sorted(r.member for r in rings.members.filter("ring_id = 'RING-2'").collect()) == [1, 2, 3, 4]
+    assert sorted(r.entity_id for r in rings.entities.filter("ring_id = 'RING-2'").collect()) == ["y", "z"]
     with pytest.raises(ValueError):
         PropertyGraph([NodeTable("Person", people, "nope")], [])
 
@@ -231,11 +232,10 @@ def test_sql_functions(spark):
     df = sql.table(spark, "reports", spark.createDataFrame([(t,) for t in texts], "t string"))
     by_sql = spark.sql("""
         SELECT t, hazard_score(t) AS s, hazard_class(t) AS c, text_similarity(t, 'fire leak') AS m,
-               stable_bucket(t, 10) AS b, farm_fingerprint(t) AS f FROM reports""").collect()
+               stable_bucket(t, 10) AS b FROM reports""").collect()
     t = F.col("t")
     native = df.select(t, RUBRIC.score(t).alias("s"), RUBRIC.classify(t, ["hazard", "water", "none"]).alias("c"),
-                       tx.set_cosine(t, F.lit("fire leak")).alias("m"), md5_bucket(10, t).alias("b"),
-                       farm_fingerprint(t).alias("f")).collect()
+                       tx.set_cosine(t, F.lit("fire leak")).alias("m"), md5_bucket(10, t).alias("b")).collect()
     assert sorted(map(str, by_sql)) == sorted(map(str, native))
     urgent = spark.sql(
         "SELECT t, hazard_score(t) AS s FROM reports WHERE hazard_score(t) >= 1 ORDER BY s DESC").collect()
@@ -281,11 +281,13 @@ def test_distilled_classifier_serves_or_falls_back(spark):
     rows = [(i, ("good fine nice " if i % 2 else "bad poor weak ") + rng.choice(["alpha", "beta"]), float(i % 2)) for i in range(400)]
     df = spark.createDataFrame([r[:2] for r in rows], "id long, t string")
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows[:150]], "id long, label double")
-    served = distill.classify(df, "id", "t", labels, min_rows=100, features=256)
+    served = distill.classify(df, "id", "t", labels, features=256)
     assert {r.id: r.prediction for r in served.collect()} == {r[0]: r[2] for r in rows}
     assert {r.served_by for r in served.select("served_by").distinct().collect()} == {"labeller", "model"}
-    small = distill.classify(df, "id", "t", labels, min_rows=1000)
-    assert {r.served_by for r in small.select("served_by").distinct().collect()} == {"labeller", "unlabelled"}
+    few = distill.classify(df.limit(40), "id", "t", labels.filter("id < 20"), features=256)
+    assert {r.served_by for r in few.select("served_by").distinct().collect()} == {"labeller", "model"}
+    refused = distill.classify(df, "id", "t", labels, min_agreement=1.1).collect()
+    assert {(r.served_by, r.prediction is None) for r in refused} == {("labeller", False), ("unlabelled", True)}
 
 
 @pytest.fixture(scope="module")
@@ -346,7 +348,7 @@ def test_seasonality_sums_to_zero_and_trend_extends(series):
     for key in "pq":
         values = [r.weekly for r in phases if r.k == key]
         assert len(values) == 7 and abs(sum(values)) < 1e-9
-    out = aa.trend(series, "y", "ts", 7, adjust_step_changes=True, series_cols=["k"])
+    out = aa.trend(series, "y", "ts", 7, adjust_step_changes=True, series_cols=["k"], fit_rows=28)
     assert out.filter("time_series_type = 'forecast'").count() == 14
     assert out.filter("time_series_type = 'history'").count() == 240
 
@@ -372,3 +374,83 @@ def test_causal_effect_finds_the_jump(series):
     points = aa.causal_effect(series, "y", "ts", at, ["k"], output_time_series=True)
     last = points.filter("k = 'p'").orderBy(F.desc("ts")).first()
     assert math.isclose(last.cumulative_effect, rows["p"].absolute_effect, rel_tol=1e-9)
+
+
+def test_all_change_points_are_found(spark):
+    day = datetime.date(2020, 1, 1)
+    rng = np.random.default_rng(5)
+    levels = [100.0 * ((i * 7) % 16) for i in range(16)]
+    rows = [("k", day + datetime.timedelta(days=20 * i + j), level + float(rng.normal()))
+            for i, level in enumerate(levels) for j in range(20)]
+    df = spark.createDataFrame(rows, "k string, ts date, y double")
+    found = aa.detect_change_points(df, "y", "ts", ["k"]).orderBy("begin_timestamp").collect()
+    assert [r.begin_timestamp for r in found] == [day + datetime.timedelta(days=20 * i) for i in range(16)]
+
+
+def test_trend_of_a_short_series_has_no_weekly_bias(spark):
+    day = datetime.date(2024, 1, 1)
+    for n in (10, 5):
+        rows = [(day + datetime.timedelta(days=i), float(i)) for i in range(n)]
+        out = aa.trend(spark.createDataFrame(rows, "ts date, y double"), "y", "ts", 3, fit_rows=28).orderBy("ts").collect()
+        assert all(r.trend is not None for r in out)
+        assert out[n // 2].trend == pytest.approx(n // 2, abs=1.01)
+
+
+def test_three_way_driver(spark):
+    rows = [(a, b, c, 100.0 if (a, b, c) == ("a1", "b1", "c1") and after else 10.0, after)
+            for a in ("a1", "a2") for b in ("b1", "b2") for c in ("c1", "c2") for after in (True, False)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, m double, after boolean")
+    out = aa.key_drivers(df, "m", ["a", "b", "c"], "after", top_k=20, min_support=0.0).collect()
+    assert out[0].drivers == ["a=a1", "b=b1", "c=c1"]
+
+
+def test_null_keys_are_kept(spark):
+    day = datetime.date(2024, 1, 1)
+    series = spark.createDataFrame([(None, day, 5.0), (None, day + datetime.timedelta(days=2), 7.0)], "k string, ts date, y double")
+    filled = ts.regularize(series, "ts", ["y"], ["k"]).orderBy("ts").collect()
+    assert [(r.y, r.is_filled) for r in filled] == [(5.0, False), (0.0, True), (7.0, False)]
+    pairs = spark.createDataFrame([(None, float(i), float(i * i)) for i in range(5)] + [("s", 1.0, 2.0), ("s", 2.0, None)],
+                                  "g string, x double, y double")
+    ranked = {r.g: (r.correlation, r.segment_size) for r in aa.correlation(pairs, "x", ["y"], ["g"], "spearman").collect()}
+    assert ranked[None] == (pytest.approx(1.0), 5) and ranked["s"][1] == 1
+    docs = spark.createDataFrame([(1, None, "some words here"), (2, None, "more words"), (3, "g", "other text")],
+                                 "id long, g string, t string")
+    assert {r.g: r.n_docs for r in tx.digest(docs, ["g"], "id", "t").collect()} == {None: 2, "g": 1}
+    start = datetime.datetime(2024, 1, 1)
+    moves = spark.createDataFrame([(None, start + datetime.timedelta(minutes=i), 1.0) for i in range(3)], "k long, t timestamp, v double")
+    out = running_before(moves, ["k"], "t", F.date_trunc("hour", "t"), {"n": F.lit(1)}).collect()
+    assert sorted(r.n for r in out) == [0, 1, 2]
+
+
+def test_top_n_per_key_for_a_large_n(spark):
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    top = top_n_per_key(df, ["k"], [F.desc("v")], 1001)
+    assert sorted(r.v for r in top.collect()) == list(range(3999, 5000))
+    assert [r.rank for r in top.orderBy("rank").collect()] == list(range(1, 1002))
+
+
+def test_first_row_of_null_keys(spark):
+    df = spark.createDataFrame([(None, 2, "b"), (None, 1, "a"), (7, 5, "c")], "k long, o int, v string")
+    assert {(r.k, r.v) for r in first_per_key(df, ["k"], F.col("o"), ["v"]).collect()} == {(None, "a"), (7, "c")}
+
+
+def test_sql_functions_with_quotes(spark):
+    rubric = Rubric((Term(r"it's \d+", 2.0, "o'clock"),))
+    sql.register(spark, {"late": rubric}, {"kind": (rubric, ["o'clock", "none"])}, {"is_late": (rubric, 2.0)},
+                 {"parts": (Field("hour", "bigint", r"it's (\d+)", "-1"),)})
+    spark.createDataFrame([("it's 5",), ("no",), (None,)], "t string").createOrReplaceTempView("said")
+    rows = spark.sql("SELECT late(t) AS a, kind(t) AS b, is_late(t) AS c, parts(t).hour AS d, "
+                     "context_of('x', t, NULL, '!') AS e FROM said").collect()
+    assert [tuple(r) for r in rows] == [(2.0, "o'clock", True, 5, "xit's 5!"), (0.0, "none", False, -1, "xno!"),
+                                        (None, None, None, -1, "x!")]
+
+
+def test_table_store_exists_only_tells_about_the_path(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    assert not store.exists("none")
+    store.replace("some", spark.range(3))
+    assert store.exists("some")
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        store.create_if_missing("broken", spark.range(1))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import retail_fixture
 from tracewell.functions.columns import ratio
-from tracewell.functions.farmhash import fingerprints
+from farmhash import fingerprints
 from tracewell.operators import augmented as aa
 from tracewell.operators import timeseries as ts
 from tracewell.operators.graph import EdgeTable, NodeTable, PropertyGraph, detect_rings, top_shared_pairs
@@ -62,8 +62,12 @@ def test_row_counts(tables):
 def test_rings(graph, stats):
     assert stats.filter("return_rate >= 0.4 AND n_returns >= 3").count() == 75
     found = detect_rings(graph, ALL, stats, min_rate=0.4, min_returns=3)
-    rows = found.report().orderBy("ring_id").collect()
-    assert [(r.ring_id, r.members, len(r.shared_entities), r.total_returns) for r in rows] == [
+    rows = found.summary.orderBy("ring_id").collect()
+    members = {}
+    for r in found.members.orderBy("member").collect():
+        members.setdefault(r.ring_id, []).append(r.member)
+    assert found.entities.count() == 5
+    assert [(r.ring_id, members[r.ring_id], r.n_entities, r.total_returns) for r in rows] == [
         ("RING-1", [9001, 9002, 9003, 9004, 9005, 9006], 3, 102),
         ("RING-2", [9101, 9102, 9103, 9104], 1, 33),
         ("RING-3", [9201, 9202, 9203, 9204, 9205], 1, 42)]

@@ -28,6 +28,11 @@ class Term:
     needs: str = ""
 
 
+def _literal(text: str) -> str:
+    """SQL string literal, with quotes and backslashes escaped."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Rubric:
     """Scores whole texts. No model, no randomness, no shuffle."""
@@ -64,7 +69,7 @@ class Rubric:
             text.isNotNull(), none)
 
     def _hits_sql(self, text: str, terms: Sequence[Term]) -> str:
-        parts = [f"regexp_count(lower({text}), r'{t.pattern}') * {t.weight}D" for t in terms]
+        parts = [f"regexp_count(lower({text}), {_literal(t.pattern)}) * {t.weight}D" for t in terms]
         return " + ".join(parts) or "0D"
 
     def sql(self, text: str) -> str:
@@ -76,10 +81,10 @@ class Rubric:
         named = [c for c in categories if c != none]
         scores = "array(" + ", ".join(
             self._hits_sql(text, [t for t in self.terms if t.category == c]) for c in named) + ")"
-        labels = "array(" + ", ".join(f"'{c}'" for c in named) + ")"
+        labels = "array(" + ", ".join(map(_literal, named)) + ")"
         return (f"CASE WHEN array_max({scores}) > 0 THEN element_at({labels}, "
                 f"CAST(array_position({scores}, array_max({scores})) AS INT)) "
-                f"WHEN {text} IS NOT NULL THEN '{none}' END")
+                f"WHEN {text} IS NOT NULL THEN {_literal(none)} END")
 
     def judge(self, text: Column, kind: str, threshold: float = 1.0) -> Column:
         """``struct<result, status>`` with a bool, int or double result; status '' on success."""
@@ -118,3 +123,16 @@ def extract(text: Column, fields: Sequence[Field]) -> Column:
             value = F.coalesce(found.try_cast(f.type), F.lit(f.default).cast(f.type))
         out.append(value.alias(f.name))
     return F.struct(*out, F.when(text.isNull(), NO_TEXT).otherwise("").alias("status"))
+
+
+def extract_sql(text: str, fields: Sequence[Field]) -> str:
+    """SQL text of the fields of :func:`extract`, without its status."""
+    out = []
+    for f in fields:
+        if f.type == "boolean":
+            value = f"coalesce(regexp_like({text}, {_literal(f.pattern)}), false)"
+        else:
+            found = f"nullif(regexp_extract({text}, {_literal(f.pattern)}, 1), '')"
+            value = f"coalesce(try_cast({found} AS {f.type}), CAST({_literal(f.default)} AS {f.type}))"
+        out.append(f"{_literal(f.name)}, {value}")
+    return f"named_struct({', '.join(out)})"

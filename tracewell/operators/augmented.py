@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.functions.columns import day_index, ratio, two_sided_probability
+from tracewell.operators.relational import join_null_safe
 from tracewell.operators.timeseries import with_fit
 from tracewell.session import cut_lineage
 
@@ -22,13 +23,14 @@ SEASONS = {
 
 
 def segment_series(df: DataFrame, data_col: str, timestamp_col: str, series_cols: Sequence[str] = (),
-                   penalty: float = 3.0, min_length: int = 7, max_rounds: int = 3) -> DataFrame:
+                   penalty: float = 3.0, min_length: int = 7) -> DataFrame:
     """Add ``segment``, the regime of constant level each row belongs to.
 
     Binary segmentation, all segments of all series in step: prefix sums give
     the gain of every split, the best one per segment is taken when it beats
     ``penalty * noise * ln(n)``; noise is half the mean squared difference of
-    neighbours. Rounds share one shuffle, by series.
+    neighbours. Rounds go on until no segment splits; each is written, so the
+    plan does not grow. A segment is named by the number of rows before it.
     """
     whole = Window.partitionBy(*series_cols)
     in_order = whole.orderBy(timestamp_col)
@@ -38,13 +40,14 @@ def segment_series(df: DataFrame, data_col: str, timestamp_col: str, series_cols
         .withColumn("_diff", F.col("_y") - F.lag("_y").over(in_order))
         .withColumn("_n_all", F.count("_y").over(whole))
         .withColumn("_limit", F.lit(penalty) * F.sum(F.col("_diff") * F.col("_diff")).over(whole)
-                    / (2.0 * (F.col("_n_all") - 1)) * F.log("_n_all"))
+                    / F.nullif(2.0 * (F.col("_n_all") - 1), F.lit(0.0)) * F.log("_n_all"))
         .withColumn("segment", F.lit(0).cast("bigint"))
+        .drop("_diff", "_n_all")
     )
-    for _ in range(max_rounds):
+    while True:
         part = Window.partitionBy(*series_cols, "segment")
         left = part.orderBy(timestamp_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = (
+        out = cut_lineage(
             out.withColumn("_n", F.count("_y").over(part)).withColumn("_s", F.sum("_y").over(part))
             .withColumn("_c", F.count("_y").over(left)).withColumn("_p", F.sum("_y").over(left))
             .withColumn("_gain", F.when(
@@ -53,10 +56,13 @@ def segment_series(df: DataFrame, data_col: str, timestamp_col: str, series_cols
                 * F.pow(F.col("_p") / F.col("_c") - (F.col("_s") - F.col("_p")) / (F.col("_n") - F.col("_c")), 2)))
             .withColumn("_best", F.max("_gain").over(part))
             .withColumn("_cut", F.min(F.when(F.col("_gain") == F.col("_best"), F.col("_c"))).over(part))
-            .withColumn("segment", F.col("segment") * 2 + F.coalesce(
-                ((F.col("_best") > F.col("_limit")) & (F.col("_c") > F.col("_cut"))).cast("bigint"), F.lit(0)))
-        )
-    return out.drop("_y", "_diff", "_n_all", "_limit", "_n", "_s", "_c", "_p", "_gain", "_best", "_cut")
+            .withColumn("_split", F.coalesce(F.col("_best") > F.col("_limit"), F.lit(False)))
+            .withColumn("segment", F.col("segment") + F.when(
+                F.col("_split") & (F.col("_c") > F.col("_cut")), F.col("_cut")).otherwise(0))
+            .drop("_n", "_s", "_c", "_p", "_gain", "_best", "_cut"))
+        if out.filter("_split").isEmpty():
+            return out.drop("_y", "_limit", "_split")
+        out = out.drop("_split")
 
 
 def detect_change_points(df: DataFrame, data_col: str, timestamp_col: str,
@@ -101,20 +107,22 @@ def seasonality(df: DataFrame, data_col: str, timestamp_col: str, series_cols: S
 
 def trend(df: DataFrame, data_col: str, timestamp_col: str, horizon: int,
           smoothing_window_size: int = 7, adjust_step_changes: bool = False,
-          series_cols: Sequence[str] = (), step_days: int = 1, fit_rows: int = 28) -> DataFrame:
+          series_cols: Sequence[str] = (), step_days: int = 1, *, fit_rows: int) -> DataFrame:
     """History and ``horizon`` forecast rows: timestamp, time_series_type, data, trend.
 
     The trend is the centred mean of the series without its weekly component;
     with ``adjust_step_changes`` the regime levels are taken out before
     smoothing and put back. A line through the last ``fit_rows`` trend values
-    extends it.
+    extends it: the window of the model, which the caller states. A weekday that
+    never has a full window around it has no weekly component.
     """
     w = Window.partitionBy(*series_cols)
     half = smoothing_window_size // 2
     around = w.orderBy(timestamp_col).rowsBetween(-half, half)
     y = F.col(data_col).cast("double")
 
-    out = seasonality(df, data_col, timestamp_col, series_cols)
+    out = seasonality(df, data_col, timestamp_col, series_cols).withColumn(
+        "weekly", F.coalesce("weekly", F.lit(0.0)))
     if adjust_step_changes:
         out = segment_series(out, data_col, timestamp_col, series_cols)
         level = F.avg(y).over(Window.partitionBy(*series_cols, "segment"))
@@ -147,8 +155,8 @@ def trend(df: DataFrame, data_col: str, timestamp_col: str, horizon: int,
 
 
 def key_drivers(df: DataFrame, metric_col: str, dimension_cols: Sequence[str], interest_label_col: str,
-                top_k: int = 10, max_order: int = 2, min_support: float = 0.1) -> DataFrame:
-    """Segments of one to ``max_order`` dimensions whose metric moved most.
+                top_k: int = 10, min_support: float = 0.1) -> DataFrame:
+    """Segments of one or more dimensions, in all combinations, whose metric moved most.
 
     Facts are reduced to one row per combination of all dimensions before they
     are expanded into grouping sets, so the expansion never touches raw rows.
@@ -157,8 +165,7 @@ def key_drivers(df: DataFrame, metric_col: str, dimension_cols: Sequence[str], i
     cells = df.groupBy(*dimension_cols).agg(
         F.sum(F.when(label, metric).otherwise(0.0)).alias("i"),
         F.sum(F.when(label, 0.0).otherwise(metric)).alias("r"))
-    orders = range(1, min(max_order, len(dimension_cols)) + 1)
-    sets = [[F.col(c) for c in combo] for k in orders
+    sets = [[F.col(c) for c in combo] for k in range(1, len(dimension_cols) + 1)
             for combo in itertools.combinations(dimension_cols, k)]
     named = [F.when(F.grouping(d) == 0,
                     F.concat(F.lit(f"{d}="), F.coalesce(F.col(d).cast("string"), F.lit("NULL"))))
@@ -217,12 +224,15 @@ def correlation(df: DataFrame, target_col: str, correlation_cols: Sequence[str],
     All columns come from one aggregate; rows with a NULL in a pair do not count.
     """
     if method == "spearman":
-        df = cut_lineage(df.select(*segment_cols, target_col, *correlation_cols))
+        # The target is ranked anew only for columns that lack some of its rows.
+        df = cut_lineage(df.select(*segment_cols, target_col, *correlation_cols).filter(F.col(target_col).isNotNull()))
+        gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in correlation_cols]).first()
+        ranked_once = cut_lineage(average_ranks(df, target_col, segment_cols, "_rt"))
         out = None
         for c in correlation_cols:
-            pair = df.filter(F.col(target_col).isNotNull() & F.col(c).isNotNull())
-            ranked = average_ranks(average_ranks(pair, target_col, segment_cols, "_rt"), c, segment_cols, "_rc")
-            rows = ranked.groupBy(*segment_cols).agg(
+            base = ranked_once if not gaps[c] else average_ranks(
+                df.filter(F.col(c).isNotNull()), target_col, segment_cols, "_rt")
+            rows = average_ranks(base, c, segment_cols, "_rc").groupBy(*segment_cols).agg(
                 F.lit(c).alias("corr_col"), F.lit(target_col).alias("target_col"),
                 F.corr("_rt", "_rc").alias("correlation"), F.count(F.lit(1)).alias("segment_size"))
             out = rows if out is None else out.unionByName(rows)
@@ -257,7 +267,7 @@ def average_ranks(df: DataFrame, col: str, segment_cols: Sequence[str], name: st
                            F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_off"))
     inside = (Window.partitionBy(*segment_cols, "_part").orderBy(col)
               .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = fixed.withColumn("_before", F.coalesce(F.sum("_ties").over(inside), F.lit(0))).join(
-        offsets, [*segment_cols, "_part"]).select(
+    ranks = join_null_safe(fixed.withColumn("_before", F.coalesce(F.sum("_ties").over(inside), F.lit(0))),
+                           offsets, [*segment_cols, "_part"]).select(
         *keys, (F.col("_off") + F.col("_before") + (F.col("_ties") + 1) / 2.0).alias(name))
-    return df.join(ranks, keys)
+    return join_null_safe(df, ranks, keys)

@@ -1,50 +1,57 @@
-"""Serve most rows from a small model trained on a labelled sample."""
+"""Serve unlabelled rows from a small model counted on a labelled sample."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewell.functions.columns import hash_bucket, words
+from tracewell.functions.columns import explode_once, md5_bucket, words
 from tracewell.session import cut_lineage
 
-MIN_ROWS = 3000
 
+def classify(df: DataFrame, key: str, text: str, labels: DataFrame, *, min_agreement: float = 0.7,
+             holdout_percent: int = 20, features: int = 1 << 12) -> DataFrame:
+    """(key, prediction, served_by) for every row, at every size.
 
-def classify(df: DataFrame, key: str, text: str, labels: DataFrame, *, min_rows: int = MIN_ROWS,
-             min_agreement: float = 0.7, holdout_percent: int = 20,
-             fallback: float = 0.0, features: int = 1 << 12) -> DataFrame:
-    """(key, prediction, served_by) for every row.
-
-    ``labels`` (key, label) is the labeller's answer for a sample. With fewer
-    than ``min_rows`` rows, or when the model agrees with held-out labels less
-    than ``min_agreement`` of the time, labelled rows keep their label and the
-    rest get ``fallback`` with served_by ``unlabelled``. Otherwise rows without
-    a label are served by the model. The held-out fifth is chosen by hash, so a
-    rerun makes the same choice.
+    ``labels`` (key, label) is the labeller's answer for a sample; labelled rows
+    keep it. The others are served by naive Bayes over the ``features`` hashed
+    words a text holds, whose fit is sums. A part of the labels, chosen by hash
+    of the key, is held out: when the model agrees with less than
+    ``min_agreement`` of it, or none is held out, the other rows get NULL and
+    served_by ``unlabelled``. Equal likelihoods go to the smaller label.
     """
-    tokens = df.select(key, words(F.col(text)).alias("words"))
-    answers = df.select(key).join(labels, key, "left")
-    own = answers.select(
-        key, F.coalesce("label", F.lit(fallback)).alias("prediction"),
-        F.when(F.col("label").isNotNull(), "labeller").otherwise("unlabelled").alias("served_by"))
-    if df.count() < min_rows:
-        return own
-
-    labelled = cut_lineage(tokens.join(labels, key))
-    held = hash_bucket(100, F.col(key)) < holdout_percent
-    model = Pipeline(stages=[
-        HashingTF(inputCol="words", outputCol="tf", numFeatures=features, binary=True),
-        IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(maxIter=10, regParam=0.01),
-    ]).fit(labelled.filter(~held))
-    checked = model.transform(labelled.filter(held))
-    agreement = checked.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-    if agreement is None or agreement < min_agreement:
-        return own
-    rest = model.transform(tokens.join(labels, key, "left_anti")).select(
-        key, "prediction", F.lit("model").alias("served_by"))
-    return own.filter("served_by = 'labeller'").unionByName(rest)
+    answers = df.select(key).join(labels.filter("label IS NOT NULL"), key, "left")
+    held = md5_bucket(100, F.col(key).cast("string")) < holdout_percent
+    marked = cut_lineage(
+        df.select(key, F.transform(words(F.col(text)), lambda w: md5_bucket(features, w)).alias("_w"))
+        .select(key, F.array_distinct(F.coalesce("_w", F.array().cast("array<bigint>"))).alias("_features"))
+        .join(answers, key).withColumn("_held", held))
+    fitted = marked.filter("label IS NOT NULL AND NOT _held")
+    seen = fitted.select("label", explode_once(F.col("_features")).alias("_f")).filter("_f IS NOT NULL")
+    cells = seen.groupBy("label", "_f").agg(F.count(F.lit(1)).alias("_n"))
+    per_label = fitted.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"))
+    sums = cells.groupBy("label").agg(F.sum("_n").alias("_all"))
+    priors = per_label.join(sums, "label", "left").select(
+        "label", F.log("_rows").alias("_prior"), F.log(F.coalesce("_all", F.lit(0)) + features).alias("_log_all"))
+    # At most ``features`` rows per label; a word a label lacks counts one.
+    weights = cells.select("label", "_f", F.log(F.col("_n") + 1.0).alias("_weight"))
+
+    asked = marked.filter("label IS NULL OR _held").select(key, "_features")
+    each = asked.select(key, explode_once(F.col("_features")).alias("_f")).filter("_f IS NOT NULL")
+    found = each.join(weights, "_f").groupBy(key, "label").agg(F.sum("_weight").alias("_sum"))
+    scores = (asked.select(key, F.size("_features").alias("_size"))
+              .withColumn("label", F.explode(priors.agg(F.collect_list("label").alias("l")).scalar()))
+              .join(priors, "label").join(found, [key, "label"], "left")
+              .withColumn("_score", F.round(F.col("_prior") + F.coalesce("_sum", F.lit(0.0))
+                                            - F.col("_size") * F.col("_log_all"), 6)))
+    best = Window.partitionBy(key).orderBy(F.desc("_score"), "label")
+    model = cut_lineage(scores.withColumn("_k", F.row_number().over(best)).filter("_k = 1").select(
+        key, F.col("label").alias("_model")))
+    checked = marked.filter("_held AND label IS NOT NULL").join(model, key)
+    agreement = checked.agg(F.avg((F.col("_model") == F.col("label")).cast("double"))).first()[0]
+    accepted = agreement is not None and agreement >= min_agreement
+    served = F.when(F.col("label").isNotNull(), "labeller")
+    if not accepted:
+        return marked.select(key, F.col("label").alias("prediction"), served.otherwise("unlabelled").alias("served_by"))
+    return marked.join(model, key, "left").select(
+        key, F.coalesce("label", "_model").alias("prediction"), served.otherwise("model").alias("served_by"))

@@ -115,7 +115,7 @@ def first_shared_pairs(links: DataFrame, entity: str, member: str, limit: int) -
         links.groupBy(entity).agg(F.min(member).alias("_lo"), F.max(member).alias("_hi"))
         .filter("_lo < _hi").select(entity).orderBy(entity).limit(limit)
     )
-    few = links.join(F.broadcast(shared), entity, "left_semi").select(entity, member).distinct()
+    few = links.join(shared, entity, "left_semi").select(entity, member).distinct()
     low = top_n_per_key(few, [entity], [F.asc(member)], limit + 1, "_rank").drop("_rank")
     a = low.select(entity, F.col(member).alias("a"))
     b = low.select(entity, F.col(member).alias("b"))
@@ -197,7 +197,7 @@ def _first_pairs(edges: DataFrame, n: int) -> DataFrame:
     lowest = first.filter("_rank <= 2").groupBy(*ENTITY).agg(
         F.min("member").alias("m1"), F.max("member").alias("m2"))
     heads = lowest.select("m1", "m2").distinct().orderBy("m1", "m2").limit(n)
-    chosen = lowest.join(F.broadcast(heads), ["m1", "m2"], "left_semi").select(*ENTITY)
+    chosen = lowest.join(heads, ["m1", "m2"], "left_semi").select(*ENTITY)
     low = first.join(chosen, ENTITY, "left_semi").select(*ENTITY, "member")
     a, b = low.withColumnRenamed("member", "a"), low.withColumnRenamed("member", "b")
     return a.join(b, ENTITY).filter("a < b").select("a", "b").distinct().orderBy("a", "b").limit(n)
@@ -207,7 +207,8 @@ def _first_pairs(edges: DataFrame, n: int) -> DataFrame:
 class Rings:
     """Rings in long form, so a ring may be of any size.
 
-    summary: ring_id, n_members, n_entities, total_returns, avg_return_rate, refund_exposure
+    summary: ring_id, n_members, first_member, last_member, n_entities, total_returns,
+    avg_return_rate, refund_exposure
     members: ring_id, member; entities: ring_id, entity_type, entity_id
     """
 
@@ -215,35 +216,9 @@ class Rings:
     members: DataFrame
     entities: DataFrame
 
-    def report(self, array_limit: int = 10_000) -> DataFrame:
-        """Summary with ``members`` and ``shared_entities`` arrays.
-
-        A ring with more than ``array_limit`` members or entities continues in
-        further rows (``chunk`` 1, 2, ...), so no row grows without bound.
-        """
-        sizes = self.summary.select("ring_id", "n_members", "n_entities")
-
-        def chunk(size, item):
-            chunks = F.ceil(F.col(size) / F.lit(array_limit))
-            return F.when(F.col(size) <= array_limit, F.lit(0)).otherwise(
-                F.pmod(F.xxhash64(item), chunks)).cast("int")
-
-        members = self.members.join(sizes, "ring_id").select(
-            "ring_id", chunk("n_members", "member").alias("chunk"), "member",
-            F.lit(None).cast("struct<entity_type:string,entity_id:string>").alias("entity"))
-        entities = self.entities.join(sizes, "ring_id").select(
-            "ring_id", chunk("n_entities", F.concat_ws(":", *ENTITY)).alias("chunk"),
-            F.lit(None).cast(self.members.schema["member"].dataType).alias("member"),
-            F.struct(*ENTITY).alias("entity"))
-        arrays = members.unionByName(entities).groupBy("ring_id", "chunk").agg(
-            F.array_sort(F.collect_list("member")).alias("members"),
-            F.array_sort(F.collect_list("entity")).alias("shared_entities"))
-        return arrays.join(self.summary, "ring_id")
-
 
 def detect_rings(graph: PropertyGraph, labels: Sequence[str], stats: DataFrame, *, min_rate: float,
-                 min_returns: int, min_members: int = 3, label_members: int = 1000,
-                 check_ends: bool = True) -> Rings:
+                 min_returns: int, min_members: int = 3, check_ends: bool = True) -> Rings:
     """Groups of entities that the same set of flagged members uses.
 
     The entities are the targets of the edges ``labels``. ``stats`` has one row per member: member, n_returns, return_rate,
@@ -252,7 +227,8 @@ def detect_rings(graph: PropertyGraph, labels: Sequence[str], stats: DataFrame,
 
     Member sets are compared by size, extremes and two 64-bit XOR fingerprints,
     which combine map-side: no entity's members meet in one task. Rings are
-    numbered in text order of the member list (its first ``label_members``).
+    numbered by their smallest member, then by their first entity, which no two
+    rings share.
     """
     flagged = cut_lineage(
         stats.select("member", "n_returns", "return_rate", "total_refunds")
@@ -275,10 +251,7 @@ def detect_rings(graph: PropertyGraph, labels: Sequence[str], stats: DataFrame,
     )
     membership = linked.join(one_entity, ENTITY).select(*key, "n_entities", "member")
 
-    first = top_n_per_key(membership, key, [F.asc("member")], label_members, "_rank")
-    labels = first.groupBy(*key, "n_entities").agg(
-        number_list_text(F.array_sort(F.collect_list("member"))).alias("member_text"))
-    numbered = global_row_number(labels, ["member_text", *key], "ring_number").select(
+    numbered = global_row_number(one_entity, ["lo", *ENTITY], "ring_number").select(
         *key, "n_entities",
         F.concat(F.lit("RING-"), F.col("ring_number").cast("string")).alias("ring_id"))
 
@@ -291,8 +264,9 @@ def detect_rings(graph: PropertyGraph, labels: Sequence[str], stats: DataFrame,
     summary = cut_lineage(numbered.join(totals, key))
     names = summary.select(*key, "ring_id")
     return Rings(
-        summary=summary.select("ring_id", "n_members", "n_entities", "total_returns", "avg_return_rate",
-                               "refund_exposure"),
+        summary=summary.select("ring_id", "n_members", F.col("lo").alias("first_member"),
+                               F.col("hi").alias("last_member"), "n_entities", "total_returns",
+                               "avg_return_rate", "refund_exposure"),
         members=membership.join(names, key).select("ring_id", "member"),
         entities=member_sets.join(names, key).select("ring_id", *ENTITY),
     )
@@ -316,12 +290,13 @@ def k_hop_reach(links: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     return reached
 
 
-def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(member, component): component is the smallest member reachable.
 
     Each entity's members are first tied to its smallest member (linear in the
     links). Alternating large-star and small-star rounds then contract the
-    edges; a hub's rows are combined map-side and joined back against one row.
+    edges until a round changes nothing; a hub's rows are combined map-side and
+    joined back against one row.
     """
     links = cut_lineage(links.select(*ENTITY, "member"))
     lowest = (links.groupBy(*ENTITY).agg(F.min("member").alias("v"), F.max("member").alias("_hi"))
@@ -329,17 +304,13 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     edges = cut_lineage(
         links.join(lowest, ENTITY).filter("member <> v")
         .select(F.col("member").alias("u"), "v").distinct())
-    state = None
-    for _ in range(max_rounds):
+    state, summary = None, ()
+    while state != summary:
+        state = summary
         edges = cut_lineage(_small_star(_large_star(edges)))
         summary = edges.agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
-        if state == summary:
-            break
-        state = summary
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     tied = edges.select(F.col("u").alias("member"), F.col("v").alias("component"))
     everyone = links.select("member").distinct()
     return everyone.join(tied, "member", "left").select(

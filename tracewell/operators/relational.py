@@ -10,25 +10,42 @@ from pyspark.sql import functions as F
 from tracewell.session import cut_lineage
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL matches NULL; the keys come from the left side."""
+    named = right.select(*[F.col(k).alias(f"_right_{k}") if k in keys else F.col(k) for k in right.columns])
+    on = [left[k].eqNullSafe(named[f"_right_{k}"]) for k in keys]
+    return left.join(named, on, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Column,
                   columns: Sequence[str]) -> DataFrame:
-    """First row per key by ``order``, as an aggregate.
+    """First row per key by ``order``, one of equal ones.
 
-    ``min_by`` combines map-side, so a key that owns a third of the rows costs
-    one partial row per task instead of one long sort.
+    Only keys and positions are ranked; whole rows are found by a join, so wide
+    columns are never sorted with their key.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*columns), order).alias("_row"))
-        .select(*keys, "_row.*")
-    )
+    base = df.select(*dict.fromkeys([*keys, *columns]), order.alias("_order"))
+    lowest = top_n_per_key(base.select(*keys, "_order"), keys, [F.col("_order")], 1, "_rank").drop("_rank")
+    at_lowest = join_null_safe(base, lowest, [*keys, "_order"])
+    return at_lowest.drop("_order").dropDuplicates(list(keys)).select(*dict.fromkeys([*keys, *columns]))
+
+
+SALTS = 32
 
 
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
                   rank: str = "rank") -> DataFrame:
-    """First ``n`` rows per key; the rank filter is also applied before the shuffle."""
+    """First ``n`` rows per key, for any ``n``.
+
+    Rows are ranked in SALTS parts of each key first, so that a key with a third
+    of the rows is never sorted in one task; only the first ``n`` of each part
+    are ranked again.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    part = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    firsts = salted.withColumn(rank, F.row_number().over(part)).filter(F.col(rank) <= n).drop("_salt", rank)
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
+    return firsts.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
 
 def top_n_list(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[Column], n: int,
@@ -101,7 +118,7 @@ def running_before(df: DataFrame, keys: Sequence[str], ts: str, bucket: Column,
     for n, c in inputs.items():
         local = local.withColumn(
             f"_local_{n}", F.sum(c).over(in_bucket) - F.sum(c).over(same_ts))
-    out = local.join(carried, [*keys, "_bucket"])
+    out = join_null_safe(local, carried, [*keys, "_bucket"])
     for n in measures:
         out = out.withColumn(n, F.coalesce(f"_carry_{n}", F.lit(0)) + F.col(f"_local_{n}"))
     return out.drop("_bucket", *inputs.values(),

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewell.operators.relational import join_null_safe
 from tracewell.functions.columns import (
     day_index, normal_half_width, sunday_week, two_sided_probability,
 )
@@ -38,7 +39,7 @@ def regularize(df: DataFrame, timestamp_col: str, value_cols: Sequence[str],
     )
     present = df.select(*series_cols, timestamp_col, *value_cols, F.lit(True).alias("_present"))
     values = [F.when(F.col("_present"), F.col(v)).otherwise(F.lit(fill)).alias(v) for v in value_cols]
-    return spine.join(present, [*series_cols, timestamp_col], "left").select(
+    return join_null_safe(spine, present, [*series_cols, timestamp_col], "left").select(
         *series_cols, timestamp_col, *values, F.col("_present").isNull().alias("is_filled"))
 
 

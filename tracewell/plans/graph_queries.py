@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.functions.columns import number_list_text, ratio
+from tracewell.functions.columns import ratio
 from tracewell.operators.graph import (
     EdgeTable, NodeTable, PropertyGraph, Rings, connected_components, detect_rings,
     first_shared_pairs, k_hop_reach, top_shared_pairs,
 )
 from tracewell.operators.relational import top_n_list
 from tracewell.plans.registry import query
+from tracewell.session import cut_lineage
 from tracewell.sources.tables import Tables, spread
 
 MIN_RATE, MIN_RETURNS, MIN_MEMBERS = 0.5, 3, 3
@@ -27,31 +28,29 @@ STATS_SQL = """
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1)"""
 
 RINGS_SQL = f"""
-  WITH {STATS_SQL},
-  shared AS (
-    SELECT 'Part' AS entity_type, l_partkey::VARCHAR AS entity_id, o_custkey AS customer
-    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-    UNION ALL SELECT 'Supplier', l_suppkey::VARCHAR, o_custkey
-    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-    UNION ALL SELECT 'Cohort', c_nationkey || '/' || c_mktsegment, c_custkey FROM customer),
-  flagged AS (
-    SELECT DISTINCT entity_type, entity_id, customer FROM shared JOIN cust_stats USING (customer)
-    WHERE return_rate >= {MIN_RATE} AND n_returns >= {MIN_RETURNS}),
-  grp AS (
-    SELECT entity_type, entity_id, list(customer ORDER BY customer) AS members FROM flagged
-    GROUP BY 1, 2 HAVING count(*) >= {MIN_MEMBERS}),
-  merged AS (
-    SELECT members, '[' || array_to_string(members, ',') || ']' AS member_text,
-           count(*) AS n_entities,
-           string_agg(entity_type || ':' || entity_id, '|' ORDER BY entity_type, entity_id) AS shared_entities
-    FROM grp GROUP BY 1),
-  rings AS (
-    SELECT 'RING-' || row_number() OVER (ORDER BY member_text) AS ring_id, * FROM merged),
-  ring_members AS (SELECT ring_id, unnest(members) AS customer FROM rings),
-  ring_totals AS (
-    SELECT ring_id, sum(n_returns)::BIGINT AS total_returns, round(avg(return_rate), 6) AS avg_return_rate,
-           round(sum(total_refunds), 4) AS refund_exposure
-    FROM ring_members JOIN cust_stats USING (customer) GROUP BY 1)"""
+  WITH line AS (
+    SELECT o_custkey AS customer, l_partkey, l_suppkey, l_returnflag = 'R' AS back,
+           CASE WHEN l_returnflag = 'R' THEN l_extendedprice * (1 - l_discount) ELSE 0 END AS refund
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+  risky AS (
+    SELECT customer, count_if(back) AS n_back, count_if(back) / count(*)::DOUBLE AS rate, round(sum(refund), 4) AS refunds
+    FROM line GROUP BY customer HAVING count_if(back) >= {MIN_RETURNS} AND count_if(back) / count(*)::DOUBLE >= {MIN_RATE}),
+  touch AS (
+    SELECT DISTINCT u.* FROM (
+      SELECT customer, unnest([{{'kind': 'Part', 'id': l_partkey::VARCHAR}}, {{'kind': 'Supplier', 'id': l_suppkey::VARCHAR}}],
+                              recursive := true) FROM line
+      UNION ALL SELECT c_custkey, 'Cohort', c_nationkey || '/' || c_mktsegment FROM customer) u
+    SEMI JOIN risky USING (customer)),
+  clientele AS (
+    SELECT kind, id, array_agg(customer ORDER BY customer) AS who FROM touch GROUP BY ALL HAVING count(*) >= {MIN_MEMBERS}),
+  ring AS (
+    SELECT 'RING-' || row_number() OVER (ORDER BY who[1], min(kind || ':' || id)) AS ring_id, who, count(*) AS n_entities
+    FROM clientele GROUP BY who),
+  ring_user AS (SELECT ring_id, unnest(who) AS customer FROM ring),
+  ring_sum AS (
+    SELECT ring_id, sum(n_back)::BIGINT AS total_returns, round(avg(rate), 6) AS avg_return_rate,
+           round(sum(refunds), 4) AS refund_exposure
+    FROM ring_user JOIN risky USING (customer) GROUP BY ring_id)"""
 
 SAME_DAY_SQL = """
   links AS (SELECT DISTINCT l_partkey || '@' || l_shipdate::DATE AS entity, o_custkey AS member
@@ -89,9 +88,10 @@ def order_lines(t: Tables, *columns: str) -> DataFrame:
     return t.orders.select("o_orderkey", "o_custkey").join(lines, "o_orderkey")
 
 
-def trade_graph(t: Tables) -> PropertyGraph:
+def trade_graph(t: Tables, bought: DataFrame | None = None) -> PropertyGraph:
     """Customers linked to the parts, suppliers and cohorts they share."""
-    bought = order_lines(t, "l_partkey", "l_suppkey", "l_returnflag")
+    if bought is None:
+        bought = order_lines(t, "l_partkey", "l_suppkey", "l_returnflag")
     cohort = F.concat_ws("/", F.col("c_nationkey").cast("string"), "c_mktsegment")
     in_cohort = t.customer.select("c_custkey", cohort.alias("cohort"))
     return PropertyGraph(
@@ -112,8 +112,15 @@ def trade_graph(t: Tables) -> PropertyGraph:
 
 
 def rings(t: Tables) -> Rings:
+    """Rings of customers; order lines are joined once, for the rates and for the edges."""
+    refund = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    lines = cut_lineage(order_lines(t, "l_partkey", "l_suppkey", "l_returnflag", refund.alias("refund")))
+    back = F.col("l_returnflag") == "R"
+    stats = lines.groupBy(F.col("o_custkey").alias("member")).agg(
+        F.count_if(back).alias("n_returns"), (F.count_if(back) / F.count(F.lit(1))).alias("return_rate"),
+        F.round(F.sum(F.when(back, F.col("refund")).otherwise(0.0)), 4).alias("total_refunds"))
     # The edges come straight from foreign keys, so their ends need no check.
-    return detect_rings(trade_graph(t), ["BOUGHT", "BUYS_FROM", "BELONGS_TO"], customer_stats(t),
+    return detect_rings(trade_graph(t, lines), ["BOUGHT", "BUYS_FROM", "BELONGS_TO"], stats,
                         min_rate=MIN_RATE, min_returns=MIN_RETURNS, min_members=MIN_MEMBERS, check_ends=False)
 
 
@@ -137,23 +144,31 @@ def customer_return_stats(t: Tables):
 
 
 @query("ring_detection", sql=f"""{RINGS_SQL}
-    SELECT ring_id, member_text AS members, len(members) AS n_members, n_entities, shared_entities,
+    SELECT ring_id, len(who) AS n_members, list_min(who) AS first_member, list_max(who) AS last_member, n_entities,
            total_returns, avg_return_rate, refund_exposure
-    FROM rings JOIN ring_totals USING (ring_id)""")
+    FROM ring JOIN ring_sum USING (ring_id)""")
 def ring_detection(t: Tables):
-    return rings(t).report().select(
-        "ring_id", number_list_text(F.col("members")).alias("members"), "n_members", "n_entities",
-        F.array_join(F.transform("shared_entities", lambda e: F.concat_ws(":", e["entity_type"], e["entity_id"])),
-                     "|").alias("shared_entities"),
-        "total_returns", F.round("avg_return_rate", 6).alias("avg_return_rate"),
-        F.round("refund_exposure", 4).alias("refund_exposure"))
+    """One row per ring, whatever its size; its members and entities are in long form."""
+    return rings(t).summary.withColumns({
+        "avg_return_rate": F.round("avg_return_rate", 6), "refund_exposure": F.round("refund_exposure", 4)})
+
+
+@query("ring_members", sql=f"""{RINGS_SQL} SELECT ring_id, customer FROM ring_user""")
+def ring_members(t: Tables):
+    return rings(t).members.select("ring_id", F.col("member").alias("customer"))
+
+
+@query("ring_entities", sql=f"""{RINGS_SQL}
+    SELECT ring_id, kind AS entity_type, id AS entity_id FROM ring JOIN clientele USING (who)""")
+def ring_entities(t: Tables):
+    return rings(t).entities
 
 
 @query("ring_member_explode", sql=f"""{RINGS_SQL},
     truth AS (SELECT c_custkey AS customer, 'overdrawn' AS scheme FROM customer WHERE c_acctbal < 0)
     SELECT ring_id, count(*) AS n_members, count(scheme) AS n_in_truth,
            min(customer) FILTER (scheme IS NOT NULL) AS first_in_truth
-    FROM ring_members LEFT JOIN truth USING (customer) GROUP BY 1""")
+    FROM ring_user LEFT JOIN truth USING (customer) GROUP BY 1""")
 def ring_member_explode(t: Tables):
     """Ring members checked against a separate list the detection never reads."""
     truth = t.customer.filter("c_acctbal < 0").select(
@@ -176,12 +191,12 @@ def line_scores(t: Tables) -> DataFrame:
       SELECT o_custkey AS customer, l_quantity >= 25 AND l_discount >= 0.05 AS is_suspicious
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'),
     ai AS (SELECT ring_id, count(*) AS scored_returns, count(*) FILTER (is_suspicious) AS flagged_returns
-           FROM ring_members JOIN scores USING (customer) GROUP BY 1)
-    SELECT ring_id, len(members) AS n_members, n_entities, total_returns, avg_return_rate, refund_exposure,
+           FROM ring_user JOIN scores USING (customer) GROUP BY 1)
+    SELECT ring_id, len(who) AS n_members, n_entities, total_returns, avg_return_rate, refund_exposure,
            scored_returns, flagged_returns,
-           printf('%s: %d members, %d shared entities, %d returns', ring_id, len(members), n_entities,
+           printf('%s: %d members, %d shared entities, %d returns', ring_id, len(who), n_entities,
                   total_returns) AS brief
-    FROM rings JOIN ring_totals USING (ring_id) LEFT JOIN ai USING (ring_id)""")
+    FROM ring JOIN ring_sum USING (ring_id) LEFT JOIN ai USING (ring_id)""")
 def dashboard_view(t: Tables):
     found = rings(t)
     per_member = line_scores(t).groupBy("member").agg(
@@ -198,15 +213,15 @@ def dashboard_view(t: Tables):
 
 @query("ring_evidence_pack", sql=f"""{RINGS_SQL},
     kinds AS (
-      SELECT DISTINCT ring_id, p_type FROM ring_members JOIN orders ON o_custkey = customer
+      SELECT DISTINCT ring_id, p_type FROM ring_user JOIN orders ON o_custkey = customer
         JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
       WHERE l_returnflag = 'R'),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY ring_id ORDER BY p_type) AS k FROM kinds),
     samples AS (SELECT ring_id, string_agg(p_type, ' | ' ORDER BY p_type) AS kinds FROM ranked
                 WHERE k <= 5 GROUP BY 1)
     SELECT ring_id, printf('ring=%s members=%d returns=%d rate=%.4f exposure=%d returned types: %s',
-        ring_id, len(members), total_returns, round(avg_return_rate, 4), floor(refund_exposure)::BIGINT, coalesce(kinds, '-')) AS evidence
-    FROM rings JOIN ring_totals USING (ring_id) LEFT JOIN samples USING (ring_id)""")
+        ring_id, len(who), total_returns, round(avg_return_rate, 4), floor(refund_exposure)::BIGINT, coalesce(kinds, '-')) AS evidence
+    FROM ring JOIN ring_sum USING (ring_id) LEFT JOIN samples USING (ring_id)""")
 def ring_evidence_pack(t: Tables):
     """The facts a case brief is written from, one text per ring."""
     found = rings(t)

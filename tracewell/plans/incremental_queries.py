@@ -19,34 +19,43 @@ from tracewell.streaming.incremental import (
 from tracewell.streaming.windows import drain, sessions, windowed
 
 
-def flaky_score(rows: DataFrame, number: int) -> DataFrame:
-    """A scorer with planned failures: some go away on a later pass, some never do."""
-    key = F.col("o_orderkey")
-    temporary = F.pmod(key * 7 + number, F.lit(5)) == 0
-    permanent = F.pmod(key, F.lit(41)) == 1
-    status = (F.when(permanent, "invalid input").when(temporary, f"{RETRYABLE}: pass {number}").otherwise(""))
-    return rows.select(key, status.alias("status")).withColumn(
-        "result", F.when(F.col("status") == "", F.pmod(key, F.lit(3)) == 0))
+FIRST_LIMIT = 1000  # characters a first pass takes; each further pass takes twice as many
+
+
+def bounded_score(rows: DataFrame, number: int) -> DataFrame:
+    """Rubric scores of texts up to a length that doubles with each pass.
+
+    A longer text is put off to a later pass; one without a word never scores.
+    """
+    text = F.col("text")
+    status = (F.when(~F.coalesce(F.regexp_like(text, F.lit("[a-zA-Z]{2}")), F.lit(False)), "invalid input")
+              .when(F.length(text) > FIRST_LIMIT * 2 ** (number - 1), f"{RETRYABLE}: pass {number}").otherwise(""))
+    return rows.select("doc_id", status.alias("status"), RUBRIC.score(text).alias("score")).select(
+        "doc_id", "status", F.when(F.col("status") == "", F.col("score")).alias("result"))
 
 
 OUTCOME_SQL = """
-    CASE WHEN o_orderkey % 41 = 1 THEN 'invalid input'
-         WHEN (o_orderkey * 7 + {p}) % 5 = 0 THEN 'A retryable error occurred: pass {p}' ELSE '' END"""
+    CASE WHEN NOT coalesce(regexp_matches(text, '[a-zA-Z]{{2}}'), false) THEN 'invalid input'
+         WHEN length(text) > {limit} THEN 'A retryable error occurred: pass {p}' ELSE '' END"""
+
+
+def outcome_sql(number: int) -> str:
+    return OUTCOME_SQL.format(p=number, limit=FIRST_LIMIT * 2 ** (number - 1))
 
 
 @query("retry_failed_rows", sql=f"""
-    WITH p1 AS (SELECT o_orderkey, 1 AS last_pass, {OUTCOME_SQL.format(p=1)} AS status FROM orders),
-    p2 AS (SELECT o_orderkey, CASE WHEN status LIKE '%A retryable%' THEN 2 ELSE last_pass END AS last_pass,
-             CASE WHEN status LIKE '%A retryable%' THEN {OUTCOME_SQL.format(p=2)} ELSE status END AS status FROM p1),
-    p3 AS (SELECT o_orderkey, CASE WHEN status LIKE '%A retryable%' THEN 3 ELSE last_pass END AS last_pass,
-             CASE WHEN status LIKE '%A retryable%' THEN {OUTCOME_SQL.format(p=3)} ELSE status END AS status FROM p2)
-    SELECT o_orderkey, last_pass, status, CASE WHEN status = '' THEN o_orderkey % 3 = 0 END AS result FROM p3""")
+    WITH p1 AS (SELECT *, 1 AS last_pass, {outcome_sql(1)} AS status FROM documents),
+    p2 AS (SELECT * REPLACE (CASE WHEN status LIKE '%A retryable%' THEN 2 ELSE last_pass END AS last_pass,
+             CASE WHEN status LIKE '%A retryable%' THEN {outcome_sql(2)} ELSE status END AS status) FROM p1),
+    p3 AS (SELECT * REPLACE (CASE WHEN status LIKE '%A retryable%' THEN 3 ELSE last_pass END AS last_pass,
+             CASE WHEN status LIKE '%A retryable%' THEN {outcome_sql(3)} ELSE status END AS status) FROM p2)
+    SELECT doc_id, last_pass, status, CASE WHEN status = '' THEN {SCORE_SQL} END AS result FROM p3""")
 def retry_failed_rows(t: Tables):
-    """All orders scored with up to three passes; only retryable failures are repeated."""
+    """All documents scored with up to three passes; only retryable failures are repeated."""
     store = TableStore(t.spark, new_path(t.spark, "retry"))
-    score_pending(t.orders, "o_orderkey", flaky_score, store, "scored", max_attempts=3)
-    return current_state(store.read("scored"), "o_orderkey").select(
-        "o_orderkey", F.col("pass").alias("last_pass"), "status", "result")
+    score_pending(documents(t), "doc_id", bounded_score, store, "scored", max_attempts=3)
+    return current_state(store.read("scored"), "doc_id").select(
+        "doc_id", F.col("pass").alias("last_pass"), "status", "result")
 
 
 def rubric_score(rows: DataFrame, number: int) -> DataFrame:
@@ -69,15 +78,16 @@ def incremental_score(t: Tables):
 
 
 @query("status_monitor", sql=f"""
-    WITH s AS (SELECT o_orderkey, {OUTCOME_SQL.format(p=1)} AS status FROM orders WHERE o_orderstatus <> 'P')
-    SELECT count(s.o_orderkey) AS n_scored, count(*) FILTER (status = '') AS n_ok,
+    WITH s AS (SELECT doc_id, {outcome_sql(1)} AS status FROM documents WHERE lang <> 'es')
+    SELECT count(s.doc_id) AS n_scored, count(*) FILTER (status = '') AS n_ok,
            count(*) FILTER (status LIKE '%A retryable error occurred%') AS n_retryable,
            count(*) FILTER (status <> '' AND status NOT LIKE '%A retryable error occurred%') AS n_failed,
-           count(*) FILTER (s.o_orderkey IS NULL) AS n_waiting
-    FROM orders o LEFT JOIN s ON s.o_orderkey = o.o_orderkey""")
+           count(*) FILTER (s.doc_id IS NULL) AS n_waiting
+    FROM documents o LEFT JOIN s ON s.doc_id = o.doc_id""")
 def status_monitor(t: Tables):
-    scored = flaky_score(t.orders.filter("o_orderstatus <> 'P'"), 1)
-    return monitor(t.orders, scored, "o_orderkey")
+    """How far scoring has come when one language is still waiting."""
+    scored = bounded_score(documents(t, "lang").filter("lang <> 'es'"), 1)
+    return monitor(t.documents, scored, "doc_id")
 
 
 @query("simulate_arrivals", sql="""
@@ -171,12 +181,12 @@ _CHAIN_X = x_sql("ts", 1)
 
 
 @query("chained_investigation", sql=f"""
-    WITH present AS (SELECT o_orderdate::DATE AS ts, sum(o_totalprice) AS revenue FROM orders GROUP BY 1),
+    WITH RECURSIVE present AS (SELECT o_orderdate::DATE AS ts, sum(o_totalprice) AS revenue FROM orders GROUP BY 1),
     spine AS (SELECT unnest(generate_series(min(ts)::TIMESTAMP, max(ts)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS ts FROM present),
     daily AS (SELECT 0 AS k, ts, coalesce(revenue, 0) AS revenue FROM spine LEFT JOIN present USING (ts)),
-    {segments_sql("daily", "k", "revenue", 0.5, 7, 3)},
-    regimes AS (SELECT min(ts) AS begin_ts, avg(y) AS level FROM seg3 GROUP BY seg),
-    jumps AS (SELECT begin_ts, abs(level - lag(level) OVER (ORDER BY begin_ts)) AS jump FROM regimes),
+    {segments_sql("daily", "k", "revenue", 0.5, 7)},
+    levels AS (SELECT min(ts) AS begin_ts, avg(y) AS level FROM leveled GROUP BY seg),
+    jumps AS (SELECT begin_ts, abs(level - lag(level) OVER (ORDER BY begin_ts)) AS jump FROM levels),
     shift AS (SELECT begin_ts AS shift_day FROM jumps ORDER BY jump DESC NULLS LAST, begin_ts LIMIT 1),
     facts AS (SELECT o_orderpriority, c_mktsegment, o_totalprice, o_orderdate::DATE >= shift_day AS is_after
               FROM orders JOIN customer ON c_custkey = o_custkey, shift),

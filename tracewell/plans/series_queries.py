@@ -230,31 +230,35 @@ def ts_evaluate(t: Tables):
     return rounded(out, 6, "mean_absolute_percentage_error", "symmetric_mean_absolute_percentage_error")
 
 
-def segments_sql(source: str, key: str, y: str, penalty: float, min_length: int, rounds: int) -> str:
-    """Unrolled rounds of binary segmentation."""
-    parts = [f"""
-    noise AS (SELECT {key}, sum(d * d) AS ss, count(*) AS n FROM (
-      SELECT {key}, {y} - lag({y}) OVER (PARTITION BY {key} ORDER BY ts) AS d FROM {source}) GROUP BY 1),
-    limits AS (SELECT {key}, {penalty} * ss / (2.0 * (n - 1)) * ln(n) AS lim FROM noise),
-    seg0 AS (SELECT {key}, ts, {y} AS y, 0 AS seg FROM {source})"""]
-    for i in range(rounds):
-        parts.append(f"""
-    sums{i} AS (SELECT *, count(*) OVER w AS n, sum(y) OVER w AS s, row_number() OVER (w ORDER BY ts) AS c,
-        sum(y) OVER (w ORDER BY ts ROWS UNBOUNDED PRECEDING) AS p FROM seg{i} WINDOW w AS (PARTITION BY {key}, seg)),
-    gains{i} AS (SELECT *, CASE WHEN c >= {min_length} AND n - c >= {min_length}
-        THEN c * (n - c) / n * (p / c - (s - p) / (n - c)) ** 2 END AS gain FROM sums{i}),
-    cuts{i} AS (SELECT {key}, seg, arg_min(c, (-gain, c)) AS cut, max(gain) AS gain FROM gains{i}
-                WHERE gain IS NOT NULL GROUP BY 1, 2),
-    seg{i + 1} AS (SELECT g.{key} AS {key}, ts, y, g.seg * 2 + coalesce((k.gain > lim AND c > cut)::INT, 0) AS seg
-        FROM gains{i} g JOIN limits USING ({key}) LEFT JOIN cuts{i} k ON k.{key} = g.{key} AND k.seg = g.seg)""")
-    return ",".join(parts)
+def segments_sql(source: str, key: str, y: str, penalty: float, min_length: int) -> str:
+    """Binary segmentation to the end, by recursion over segments (lo, hi] of row numbers: ``regimes``, ``leveled``."""
+    return f"""
+    numbered AS (SELECT {key}, ts, {y} AS y, row_number() OVER w AS i, sum({y}) OVER (w ROWS UNBOUNDED PRECEDING) AS upto,
+                        {y} - lag({y}) OVER w AS d FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY ts)),
+    sums AS (SELECT {key}, i, upto FROM numbered UNION ALL SELECT DISTINCT {key}, 0, 0 FROM numbered),
+    limits AS (SELECT {key}, {penalty} * sum(d * d) / (2.0 * (count(*) - 1)) * ln(count(*)) AS lim, max(i) AS n
+               FROM numbered GROUP BY 1),
+    segment AS (
+      SELECT {key}, 0::BIGINT AS lo, n AS hi FROM limits
+      UNION ALL
+      SELECT {key}, CASE WHEN side = 0 THEN lo ELSE cut END, CASE WHEN side = 0 THEN cut ELSE hi END
+      FROM (SELECT {key}, lo, hi, arg_min(i, (-gain, i)) AS cut, max(gain) AS gain FROM (
+              SELECT g.{key} AS {key}, g.lo AS lo, g.hi AS hi, m.i AS i,
+                     (m.i - g.lo) * (g.hi - m.i) / (g.hi - g.lo)::DOUBLE
+                     * ((m.upto - a.upto) / (m.i - g.lo) - (b.upto - m.upto) / (g.hi - m.i)) ** 2 AS gain
+              FROM segment g JOIN sums a ON a.{key} = g.{key} AND a.i = g.lo JOIN sums b ON b.{key} = g.{key} AND b.i = g.hi
+                JOIN sums m ON m.{key} = g.{key} AND m.i >= g.lo + {min_length} AND m.i <= g.hi - {min_length})
+            GROUP BY 1, 2, 3) JOIN limits USING ({key}), (VALUES (0), (1)) v(side) WHERE gain > lim),
+    regimes AS (SELECT {key}, lo, min(hi) AS hi FROM segment GROUP BY 1, 2),
+    leveled AS (SELECT r.{key} AS {key}, lo AS seg, ts, y, avg(y) OVER (PARTITION BY r.{key}, lo) AS level
+                FROM regimes r JOIN numbered m ON m.{key} = r.{key} AND i > lo AND i <= hi)"""
 
 
 @query("ts_change_points", sql=f"""
-    WITH {DAILY_SQL}, {segments_sql("daily", "priority", "revenue", 1.0, 7, 3)}
+    WITH RECURSIVE {DAILY_SQL}, {segments_sql("daily", "priority", "revenue", 1.0, 7)}
     SELECT priority, min(ts)::VARCHAR AS begin_timestamp, max(ts)::VARCHAR AS end_timestamp, count(*) AS n_days,
            round(avg(y), 3) AS mean_value, min(y) AS min_value, max(y) AS max_value
-    FROM seg3 GROUP BY priority, seg""")
+    FROM leveled GROUP BY priority, seg""")
 def ts_change_points(t: Tables):
     out = aa.detect_change_points(daily_orders(t), "revenue", "ts", ["priority"], penalty=1.0)
     return date_text(out, "begin_timestamp", "end_timestamp").select(
@@ -285,9 +289,8 @@ def ts_seasonality(t: Tables):
 
 
 @query("ts_trend", sql=f"""
-    WITH {DAILY_SQL}, {season_sql("weekly", "dayofweek(ts)", 7)},
-    {segments_sql("daily", "priority", "revenue", 3.0, 7, 3)},
-    leveled AS (SELECT priority, ts, y, avg(y) OVER (PARTITION BY priority, seg) AS level FROM seg3),
+    WITH RECURSIVE {DAILY_SQL}, {season_sql("weekly", "dayofweek(ts)", 7)},
+    {segments_sql("daily", "priority", "revenue", 3.0, 7)},
     smooth AS (SELECT l.priority AS priority, ts, y, level + avg(y - s - level) OVER (PARTITION BY l.priority ORDER BY ts
                  ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS trend,
                  row_number() OVER (PARTITION BY l.priority ORDER BY ts DESC) AS recent
@@ -302,7 +305,7 @@ def ts_seasonality(t: Tables):
     FROM ahead a JOIN weekly_s s ON s.priority = a.priority AND s.phase = dayofweek(f)""")
 def ts_trend(t: Tables):
     out = aa.trend(daily_orders(t), "revenue", "ts", horizon=7, smoothing_window_size=7,
-                   adjust_step_changes=True, series_cols=["priority"])
+                   adjust_step_changes=True, series_cols=["priority"], fit_rows=28)
     return rounded(date_text(out, "ts"), 3, "revenue", "trend")
 
 
@@ -318,13 +321,11 @@ DRIVER_FACTS_SQL = """
 
 
 def drivers_sql(source: str, dims: list[str], metric: str, label: str, support: float, top: int) -> str:
-    sets = [(d,) for d in dims] + [(a, b) for i, a in enumerate(dims) for b in dims[i + 1:]]
-    sets_text = ", ".join("(" + ", ".join(s) + ")" for s in sets)
     names = ", ".join(f"CASE WHEN grouping({d}) = 0 THEN '{d}=' || {d} END" for d in dims)
     return f"""
     sums AS (SELECT list_sort(list_filter([{names}], lambda v: v IS NOT NULL)) AS drivers,
                sum(CASE WHEN {label} THEN {metric} ELSE 0 END) AS mi, sum(CASE WHEN {label} THEN 0 ELSE {metric} END) AS mr
-             FROM {source} GROUP BY GROUPING SETS ({sets_text})),
+             FROM {source} GROUP BY CUBE ({", ".join(dims)}) HAVING {" + ".join(f"grouping({d})" for d in dims)} < {len(dims)}),
     totals AS (SELECT sum(CASE WHEN {label} THEN {metric} ELSE 0 END) AS ti,
                       sum(CASE WHEN {label} THEN 0 ELSE {metric} END) AS tr FROM {source}),
     scored AS (SELECT drivers, mi, mr, (mi - mr) / nullif(mr, 0) AS rel,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.functions import sql as sql_functions
 from tracewell.functions.rubric import Field, Rubric, Term, extract
 from tracewell.operators import distill
 from tracewell.operators import text as tx
@@ -178,7 +179,7 @@ def embedding_topk(t: Tables):
     return tx.most_similar(rows, score, [F.asc("vec_id")], 10).select("vec_id", "label", "similarity")
 
 
-TOKENS_SQL = r"list_distinct(list_filter(regexp_extract_all(lower(text), '\p{L}+'), lambda w: length(w) >= 4))"
+TOKENS_SQL = r"list_distinct(regexp_extract_all(lower(text), '\p{L}+'))"
 
 
 @query("semantic_join", sql=f"""
@@ -187,7 +188,7 @@ TOKENS_SQL = r"list_distinct(list_filter(regexp_extract_all(lower(text), '\p{L}+
     df AS (SELECT token, count(*) AS df FROM rt GROUP BY 1),
     w AS (SELECT item_id, token, ln(((SELECT count(*) FROM documents) + 1) / (coalesce(df, 0) + 1)::DOUBLE) AS w
           FROM lt LEFT JOIN df USING (token)),
-    totals AS (SELECT item_id, sum(w) AS total FROM w GROUP BY 1),
+    totals AS (SELECT item_id, sum(w) AS total FROM w GROUP BY 1 HAVING sum(w) > 1e-9),
     scored AS (SELECT item_id, doc_id, sum(w) / max(total) AS score
                FROM w JOIN rt USING (token) JOIN totals USING (item_id) GROUP BY 1, 2)
     SELECT item_id, doc_id, round(score, 6) AS score FROM scored WHERE score >= 0.6""")
@@ -248,9 +249,51 @@ def catalog_normalize(t: Tables):
         "description", tx.normalize_catalog(F.col("raw_description"), ABBREVIATIONS, REFERENCE_CODE))
 
 
-@query("distilled_classifier")
+NAIVE_BAYES_SQL = r"""
+    f AS (SELECT doc_id, list_distinct(list_transform(regexp_extract_all(lower(text), '\p{L}+'),
+            lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT % 4096)) AS fs FROM documents),
+    marked AS (SELECT doc_id, fs, quality::DOUBLE AS label, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 100 < 20 AS held
+               FROM f LEFT JOIN labels USING (doc_id)),
+    fitted AS (SELECT * FROM marked WHERE label IS NOT NULL AND NOT held),
+    cells AS (SELECT label, w, count(*) AS n FROM (SELECT label, unnest(fs) AS w FROM fitted) GROUP BY 1, 2),
+    priors AS (SELECT label, ln(count(*)) AS prior FROM fitted GROUP BY 1),
+    totals AS (SELECT label, ln(sum(n) + 4096) AS log_all FROM cells GROUP BY 1),
+    asked AS (SELECT doc_id, fs FROM marked WHERE label IS NULL OR held),
+    hits AS (SELECT doc_id, label, sum(ln(n + 1)) AS hit FROM (SELECT doc_id, unnest(fs) AS w FROM asked) JOIN cells USING (w) GROUP BY 1, 2),
+    scored AS (SELECT a.doc_id AS doc_id, p.label AS label,
+                 round(prior + coalesce(hit, 0) - len(fs) * log_all, 6) AS score
+               FROM asked a CROSS JOIN priors p JOIN totals t ON t.label = p.label
+                 LEFT JOIN hits h ON h.doc_id = a.doc_id AND h.label = p.label),
+    model AS (SELECT doc_id, arg_min(label, (-score, label)) AS guess FROM scored GROUP BY 1),
+    agreement AS (SELECT avg((guess = label)::INT) AS share FROM marked JOIN model USING (doc_id) WHERE held AND label IS NOT NULL)"""
+
+
+@query("distilled_classifier", sql=f"""
+    WITH {NAIVE_BAYES_SQL}
+    SELECT doc_id, coalesce(label, CASE WHEN share >= 0.7 THEN guess END) AS prediction,
+           CASE WHEN label IS NOT NULL THEN 'labeller' WHEN share >= 0.7 THEN 'model' ELSE 'unlabelled' END AS served_by
+    FROM marked LEFT JOIN model USING (doc_id) CROSS JOIN agreement""")
 def distilled_classifier(t: Tables):
-    """Quality labels for all documents from a model trained on the labelled ones."""
+    """Quality of all documents: the label where there is one, else a model of the labelled ones."""
     labelled = t.labels.select("doc_id", F.col("quality").cast("double").alias("label"))
-    served = distill.classify(documents(t), "doc_id", "text", labelled)
-    return served.groupBy("served_by", "prediction").agg(F.count(F.lit(1)).alias("n_docs"))
+    return distill.classify(documents(t), "doc_id", "text", labelled)
+
+
+SQL_FIELDS = (Field("first_number", "bigint", r"\b([0-9]{1,9})\b", "-1"),)
+
+
+@query("sql_text_functions", sql=rf"""
+    SELECT doc_id, {classify_sql()} AS category, round({SCORE_SQL}, 6) AS score,
+           coalesce(try_cast(nullif(regexp_extract(text, '\b([0-9]{{1,9}})\b', 1), '') AS BIGINT), -1) AS first_number,
+           'lang ' || coalesce(lang, '') || ', ' || coalesce(source, '') AS context
+    FROM documents WHERE {SCORE_SQL} >= 2.0""")
+def sql_text_functions(t: Tables):
+    """Predicate, class, score, extraction and null-safe context, all called from SQL over a view."""
+    sql_functions.register(
+        t.spark, {"doc_score": RUBRIC}, {"doc_class": (RUBRIC, CATEGORIES)},
+        predicates={"needs_review": (RUBRIC, 2.0)}, extractors={"doc_fields": SQL_FIELDS})
+    sql_functions.table(t.spark, "reviewed_documents", documents(t, "source", "lang"))
+    return t.spark.sql("""
+        SELECT doc_id, doc_class(text) AS category, round(doc_score(text), 6) AS score,
+               doc_fields(text).first_number AS first_number, context_of('lang ', lang, ', ', source) AS context
+        FROM reviewed_documents WHERE needs_review(text)""")

@@ -17,9 +17,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder. On a
-    cluster a machine-local folder would lose data with its executor, so the
-    missing setting is an error there.
+    A machine-local folder would lose data with its executor, so outside a
+    local session, which has one machine only, the missing setting is an error.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")

@@ -62,7 +62,9 @@ class TableStore:
     def exists(self, name: str) -> bool:
         try:
             self.spark.read.parquet(self.path(name))
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return False
         return True
 
