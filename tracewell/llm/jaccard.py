@@ -1,10 +1,10 @@
 """N-gram Jaccard join with prefix filters under several global orders of the shingles.
 
 If two sets are similar enough, then under any one order of all shingles their
-prefixes share a shingle. The first order puts frequent shingles last, so that a
-passage that many texts share brings no candidates; texts that share a prefix
-shingle under it are candidates. They are verified only if their prefixes also
-meet under two further orders.
+prefixes share some shingles; the longer the prefixes, the more. The first order
+puts frequent shingles last, so that a passage that many texts share brings no
+candidates; texts that share enough prefix shingles under it are candidates.
+They are verified only if their prefixes also meet under two further orders.
 
 Equal sets are one class throughout. Classes in one component already need not
 be compared again, so a large group of near copies is tied together by
@@ -20,17 +20,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.common import mix64, text_slices
+from tracewell.llm.common import mix64, release, text_slices
 from tracewell.operators.graph import connected_components
 from tracewell.session import cut_lineage
 
 WORDS = 5
 PERCENT = 80  # similar: 100 * intersection >= PERCENT * union
-FREQUENT = 4  # prefix occurrences from which a shingle counts as frequent
-FREQUENT_SLOTS = 1 << 20  # frequent shingles that are broadcast at most
+SHARED_PER = 40  # prefixes are longer than one shingle in common needs by one in so many
+FREQUENT = 2  # prefix occurrences from which a shingle counts as frequent
+FREQUENT_SLOTS = 1 << 22  # frequent shingles that are broadcast at most
 BLOOM_BITS = 1 << 26
 OTHER_ORDERS = (0x5BF03635, 0x2545F491)  # salts of the second and third order
-PAIRS_PER_ROW = 4  # candidate pairs per prefix row that are compared at once
+PAIRS_PER_ROW = 4  # pairs per prefix row that are compared at once without a further round
+FEW_FOUND = 0.05  # share of similar pairs in a round from which on another one is no use
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -69,7 +71,8 @@ def shingle_sets(texts: Sequence[str | None], words: int = WORDS) -> list[np.nda
     for first, last in zip(bounds[:-1], bounds[1:]):
         n = last - first
         if n >= words:
-            out.append(np.unique(run[first:last - words + 1]))
+            own = np.sort(run[first:last - words + 1])
+            out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif n:
             short = (word[first:last] * factors[:n]).sum(dtype=np.uint64, keepdims=True)
             out.append(mix64(short ^ factors[n:n + 1]))
@@ -80,12 +83,23 @@ def shingle_sets(texts: Sequence[str | None], words: int = WORDS) -> list[np.nda
 
 def class_key(shingles: np.ndarray) -> int:
     """Signed 64-bit name of a set; with the set's size it identifies the set."""
-    return int(mix64(np.array([mix64(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))])).view(np.int64)[0])
+    total = shingles.sum(dtype=np.uint64, keepdims=True) + np.uint64(len(shingles))
+    return int(mix64(total).view(np.int64)[0])
 
 
-def prefix_length(n, percent: int = PERCENT):
-    """Shingles of a set of ``n`` one of which any similar set must share, under any order."""
-    return n - -(-percent * n // 100) + 1
+def prefix_shared(n):
+    """Prefix shingles that a set of ``n`` and any similar set of no smaller size have in common, at least."""
+    return 1 + n // SHARED_PER
+
+
+def prefix_length(n):
+    """Length of the prefix of a set of ``n`` under any order.
+
+    A similar set shares ceil(PERCENT n / 100) of the shingles. If the prefixes
+    shared fewer than ``prefix_shared``, then what follows the one that ends
+    first would have to make up for it, and it is too short for that.
+    """
+    return np.minimum(n - -(-PERCENT * n // 100) + prefix_shared(n), n)
 
 
 class Orders:
@@ -99,8 +113,8 @@ class Orders:
         rank = rank >> np.uint64(6)
         if len(self.codes):
             at = np.minimum(np.searchsorted(self.codes, shingles), len(self.codes) - 1)
-            rank |= np.where(self.codes[at] == shingles, self.classes[at], np.uint64(0)) << np.uint64(58)
-        p = prefix_length(len(shingles))
+            rank |= np.where(self.codes[at] == shingles, self.classes[at], 0).astype(np.uint64) << np.uint64(58)
+        p = int(prefix_length(len(shingles)))
         return shingles[np.argpartition(rank, p - 1)[:p]] if p < len(shingles) else shingles
 
 
@@ -146,7 +160,7 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """
 
     def fn(keys, sets):
-        orders = Orders((np.empty(0, np.uint64), np.empty(0, np.uint64)))
+        orders = Orders((np.empty(0, np.uint64), np.empty(0, np.uint8)))
         prefixes = [orders.prefix(s, 0) for _, s in _once(sets)]
         shingles = np.concatenate(prefixes) if prefixes else np.empty(0, np.uint64)
         found, counts = np.unique(shingles, return_counts=True)
@@ -162,7 +176,7 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     table = counted.filter(F.col("n") >= bound).toPandas()
     codes = table["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(codes)
-    classes = np.log2(table["n"].to_numpy(np.float64)).astype(np.uint64)
+    classes = np.log2(table["n"].to_numpy(np.float64)).astype(np.uint8)
     return codes[order], classes[order]
 
 
@@ -280,7 +294,8 @@ def verified(pairs: DataFrame, sets: DataFrame, frequent) -> DataFrame:
                     b = np.frombuffer(batch.column(3)[row].as_py(), np.uint64)
                     last = b_key, b, [np.sort(orders.prefix(b, salt)) for salt in OTHER_ORDERS]
                 _, b, prefixes = last
-                meet = all(np.isin(orders.prefix(a, salt), p).any() for salt, p in zip(OTHER_ORDERS, prefixes))
+                least = prefix_shared(min(len(a), len(b)))
+                meet = all(np.isin(orders.prefix(a, salt), p).sum() >= least for salt, p in zip(OTHER_ORDERS, prefixes))
                 if meet and similar(a, b):
                     keep.append(row)
             yield pa.record_batch([c.take(pa.array(keep, pa.int64())) for c in batch.columns[:2]], names=["a", "b"])
@@ -289,9 +304,18 @@ def verified(pairs: DataFrame, sets: DataFrame, frequent) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def close_in_size(a: str, b: str):
-    """A set may be similar only to one of which it has PERCENT of the size at least."""
-    return 100 * F.least(F.col(a), F.col(b)) >= PERCENT * F.greatest(F.col(a), F.col(b))
+def shared_enough(n, m, shared):
+    """Whether sets of ``n`` and ``m`` shingles that share so many in their prefixes may be similar."""
+    least = F.least(n, m)
+    return (100 * least >= PERCENT * F.greatest(n, m)) & (shared >= 1 + F.floor(least / SHARED_PER))
+
+
+def promising(rows: DataFrame) -> DataFrame:
+    """Rows of the classes with enough shared prefix shingles to be similar to any other."""
+    per_class = rows.groupBy("class").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("shared"))
+    smallest = F.ceil(F.col("n") * PERCENT / 100)
+    enough = per_class.filter(F.col("shared") >= 1 + F.floor(smallest / SHARED_PER)).select("class")
+    return rows.join(enough, "class", "left_semi")
 
 
 def linked_classes(rows: DataFrame, sets: DataFrame, frequent) -> DataFrame:
@@ -299,13 +323,14 @@ def linked_classes(rows: DataFrame, sets: DataFrame, frequent) -> DataFrame:
 
     Rounds compare the classes of a prefix shingle's group with one leader
     each, a different one every round, and join what is similar into
-    components. When what is still apart makes few pairs, or a round joins
-    nothing, all pairs of a group from different components are compared.
+    components. When what is still apart makes few pairs, or a round finds
+    next to nothing, all pairs of a group from different components are
+    compared that share enough prefix shingles.
     """
     spark = rows.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     component = spark.createDataFrame([], "class long, component long")
-    n_rows, turn = rows.count(), 0
+    n_rows, turn, last_round = rows.count(), 0, False
     while True:
         state = cut_lineage(rows.join(component, "class", "left").withColumn(
             "component", F.coalesce("component", "class")))
@@ -319,28 +344,32 @@ def linked_classes(rows: DataFrame, sets: DataFrame, frequent) -> DataFrame:
         away = F.col("component") != F.col("b_component")
         possible = apart.agg(F.sum(F.when(away, F.col("size")))).first()[0] or 0
         if not possible:
-            break
-        final = possible <= PAIRS_PER_ROW * n_rows or turn == -1
-        if final:
-            other = apart.select("shingle", F.col("class").alias("d"), F.col("n").alias("d_n"),
-                                 F.col("component").alias("d_component"))
-            pairs = (apart.select("shingle", "class", "n", "component").join(other, "shingle")
-                     .filter((F.col("component") < F.col("d_component")) & close_in_size("n", "d_n"))
-                     .select(F.col("class").alias("a"), F.col("d").alias("b")))
+            return component
+        last_round |= possible <= PAIRS_PER_ROW * n_rows
+        if last_round:
+            other = apart.select("shingle", F.col("class").alias("b"), F.col("n").alias("b_n"),
+                                 F.col("component").alias("other_component"))
+            met = (apart.select("shingle", "class", "n", "component").join(other, "shingle")
+                   .filter(F.col("component") < F.col("other_component")))
         else:
-            pairs = apart.filter(away & close_in_size("n", "b_n")).select(F.col("class").alias("a"), "b")
-        found = cut_lineage(verified(pairs.distinct(), sets, frequent))
-        n_found = found.count()
+            met = apart.filter(away)
+        pairs = cut_lineage(
+            met.groupBy(F.col("class").alias("a"), "b")
+            .agg(F.first("n").alias("n"), F.first("b_n").alias("b_n"), F.count(F.lit(1)).alias("shared"))
+            .filter(shared_enough(F.col("n"), F.col("b_n"), F.col("shared"))).select("a", "b"))
+        found = cut_lineage(verified(pairs, sets, frequent))
+        release(spark)
+        n_found, n_pairs = found.count(), pairs.count()
         if n_found:
             links = links.union(found)
             ends = links.select(F.lit("link").alias("entity_type"), F.col("b").alias("entity_id"),
                                 F.explode(F.array("a", "b")).alias("member"))
             component = cut_lineage(connected_components(ends).select(
                 F.col("member").alias("class"), "component"))
-        if final:
-            break
-        turn = turn + 1 if n_found else -1
-    return component
+        if last_round:
+            return component
+        turn += 1
+        last_round = n_found <= FEW_FOUND * n_pairs
 
 
 def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -355,14 +384,17 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFra
     other columns are not read; an empty table gives no rows.
 
     Shingles of 64 bits stand for word runs. Texts are never shuffled: prefixes
-    (a fifth of the shingles) and the sets of candidates are. All driver reads
+    (some 22 % of the shingles) and the sets of candidates are. All driver reads
     have a fixed bound (FREQUENT_SLOTS, BLOOM_BITS).
     """
     source = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     classes = cut_lineage(classes_of(source))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(source))
-    rows = cut_lineage(shared_only(prefix_rows(source, frequent)))
+    release(docs.sparkSession)
+    rows = cut_lineage(promising(cut_lineage(shared_only(prefix_rows(source, frequent)))))
+    release(docs.sparkSession)
     sets = cut_lineage(needed_sets(source, rows))
+    release(docs.sparkSession)
     component = linked_classes(rows, sets, frequent)
 
     named = classes.filter("class IS NOT NULL").join(component, "class", "left").withColumn(
