@@ -9,7 +9,7 @@ from tracewell.sources.tables import TableStore, literal_rows
 from tracewell.streaming.incremental import (
     RETRYABLE, current_state, monitor, score_new_files, score_pending,
 )
-from tracewell.streaming.windows import drain, sessions, windowed
+from tracewell.streaming.windows import drain, dropped_rows, sessions, windowed
 
 
 @pytest.fixture
@@ -90,6 +90,25 @@ def test_drained_windows_equal_batch(spark, store, tmp_path):
     assert sorted(out.select(*columns).collect()) == sorted(expected.select(*columns).collect())
 
 
+def test_late_rows_are_counted(spark, store, tmp_path):
+    schema, folder = "u int, ts timestamp, v double", str(tmp_path / "events")
+    measures = {"n": F.count(F.lit(1))}
+    day = datetime.datetime(2024, 1, 10)
+
+    def run(ts):
+        spark.createDataFrame([(1, ts, 1.0)], schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        return drain(windowed(stream, "ts", "1 hour", "1 day", None, ["u"], measures), store, "w",
+                     str(tmp_path / "c"), ["window_start", "window_end", "u"])
+
+    run(day)
+    run(day + datetime.timedelta(days=3))
+    assert dropped_rows(store, "w") == 0
+    out = run(day)  # far behind the watermark by now
+    assert dropped_rows(store, "w") == 1
+    assert sum(r.n for r in out.collect()) == 2
+
+
 def test_table_store(spark, store):
     assert not store.exists("t")
     assert store.create_if_missing("t", "id long, name string").count() == 0

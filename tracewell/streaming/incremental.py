@@ -82,13 +82,14 @@ def monitor(source: DataFrame, state: DataFrame, key: str) -> DataFrame:
 
 
 def score_new_files(store: TableStore, folder: str, schema: StructType, score: Score, table: str,
-                    checkpoint: str, glob: str | None = None) -> None:
+                    checkpoint: str, glob: str | None = None, files_per_batch: int = 1000) -> None:
     """Score the files that landed in ``folder`` since the last call, then stop.
 
+    A backlog is taken in batches of at most ``files_per_batch`` files.
     The stream's checkpoint remembers consumed files; a batch replayed after a
     failure overwrites its own folder, so every row is written exactly once.
     """
-    reader = store.spark.readStream.schema(schema)
+    reader = store.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
 

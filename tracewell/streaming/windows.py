@@ -1,4 +1,8 @@
-"""Event-time windows over a stream, drained so that results equal the batch answer."""
+"""Event-time windows over a stream, drained to the store.
+
+Results equal the batch answer as long as no row is later than the watermark
+allows; rows that are get counted, see ``dropped_rows``.
+"""
 
 from __future__ import annotations
 
@@ -41,17 +45,25 @@ def drain(aggregated: DataFrame, store: TableStore, table: str, checkpoint: str,
     ``update`` keeps state behind the watermark bounded and writes only what
     changed. ``complete`` writes the whole result each time, for aggregates
     (sessions) that cannot be updated in place. Batches overwrite their own
-    folder, so replays do not double rows.
+    folder, so replays do not double rows. The number of rows that came too late
+    for the watermark is appended to ``<table>_late``.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{store.path(table)}/batch={batch_id}")
 
-    (aggregated.writeStream.outputMode(mode).foreachBatch(write)
-     .option("checkpointLocation", checkpoint).trigger(availableNow=True)
-     .start().awaitTermination())
+    run = (aggregated.writeStream.outputMode(mode).foreachBatch(write)
+           .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    run.awaitTermination()
+    late = sum(state.numRowsDroppedByWatermark for p in run.recentProgress for state in p.stateOperators)
+    store.append(f"{table}_late", store.spark.createDataFrame([(late,)], "dropped long"))
     written = store.read(table)
     if mode == "complete":
         last = written.agg(F.max("batch")).scalar()
         return written.filter(F.col("batch") == last).drop("batch")
     rest = [c for c in written.columns if c not in (*keys, "batch")]
     return written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_s")).select(*keys, "_s.*")
+
+
+def dropped_rows(store: TableStore, table: str) -> int:
+    """Rows that all runs of ``drain`` into ``table`` left out because they came too late."""
+    return store.read(f"{table}_late").agg(F.sum("dropped")).first()[0]
