@@ -48,3 +48,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = new_path(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*steps: DataFrame) -> None:
+    """Delete the files of steps that ``cut_lineage`` wrote and nothing reads any more."""
+    for step in steps:
+        spark = step.sparkSession
+        base = shared_dir(spark)
+        for folder in {name.rsplit("/", 1)[0] for name in step.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("step-"):
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{folder.rsplit('/', 1)[1]}")
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
