@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tracewell.llm.common import mix64, release, text_slices
 from tracewell.operators.graph import connected_components
-from tracewell.session import cut_lineage
+from tracewell.session import cut_lineage, discard
 
 WORDS = 5
 PERCENT = 80  # similar: 100 * intersection >= PERCENT * union
@@ -358,6 +358,7 @@ def linked_classes(rows: DataFrame, sets: DataFrame, frequent) -> DataFrame:
             .agg(F.first("n").alias("n"), F.first("b_n").alias("b_n"), F.count(F.lit(1)).alias("shared"))
             .filter(shared_enough(F.col("n"), F.col("b_n"), F.col("shared"))).select("a", "b"))
         found = cut_lineage(verified(pairs, sets, frequent))
+        discard(state, apart)
         release(spark)
         n_found, n_pairs = found.count(), pairs.count()
         if n_found:
@@ -391,11 +392,14 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFra
     classes = cut_lineage(classes_of(source))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(source))
     release(docs.sparkSession)
-    rows = cut_lineage(promising(cut_lineage(shared_only(prefix_rows(source, frequent)))))
+    shared = cut_lineage(shared_only(prefix_rows(source, frequent)))
+    rows = cut_lineage(promising(shared))
+    discard(shared)
     release(docs.sparkSession)
     sets = cut_lineage(needed_sets(source, rows))
     release(docs.sparkSession)
     component = linked_classes(rows, sets, frequent)
+    discard(rows, sets)
 
     named = classes.filter("class IS NOT NULL").join(component, "class", "left").withColumn(
         "component", F.coalesce("component", "class"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewell.llm.common import mix64, ragged, release
-from tracewell.session import cut_lineage
+from tracewell.session import cut_lineage, discard
 
 LENGTH = 50
 SEED = 16
@@ -457,6 +457,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     release(docs.sparkSession)
     runs = cut_lineage(merge_blocks(blocks.join(large, "seed", "left_anti"))
                        .union(group_strings(blocks.join(large, "seed"))))
+    discard(blocks, large)
     release(docs.sparkSession)
 
     # Copies of a smaller document's text go as a whole.
