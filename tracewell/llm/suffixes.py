@@ -63,7 +63,7 @@ def byte_slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 
 @dataclass
 class Blocks:
-    """Blocks of some texts, in order: row, seed, code (hash of 40 bits, number within the text), places."""
+    """Blocks of some texts, in order: row, seed, code (hash of the block, 48 bits), places."""
 
     row: np.ndarray
     seed: np.ndarray
@@ -72,6 +72,14 @@ class Blocks:
     last: np.ndarray  # start of the last string
     at: np.ndarray  # start of the seed
 
+    def names(self) -> np.ndarray:
+        return block_names(self.row, self.seed, self.code)
+
+
+def block_names(row: np.ndarray, seed: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """One number for a row, a seed and a code."""
+    return mix64(mix64(seed.view(np.uint64) + mix64(code.view(np.uint64))) + row.astype(np.uint64))
+
 
 def find_blocks(data: np.ndarray, offsets: np.ndarray) -> Blocks:
     """Blocks of the texts that lie one after another in ``data``."""
@@ -106,8 +114,7 @@ def find_blocks(data: np.ndarray, offsets: np.ndarray) -> Blocks:
     fresh = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (row[1:] != row[:-1])])) if len(at) else empty
     first, last, row, at = start[fresh], start[np.append(fresh[1:], len(start)) - 1], row[fresh], at[fresh]
     whole = mix64((sums[last + LENGTH] - sums[first]) * back[first] + (last - first).astype(np.uint64) * _BASE)
-    number = np.arange(len(row)) - np.searchsorted(row, row)
-    code = (whole >> np.uint64(24) << np.uint64(24) | number.astype(np.uint64)).view(np.int64)
+    code = (whole >> np.uint64(16) << np.uint64(16)).view(np.int64)
     base = offsets[row]
     return Blocks(row, grams[at].view(np.int64), code, first - base, last - base, at - base)
 
@@ -123,7 +130,10 @@ def text_hashes(data: np.ndarray, offsets: np.ndarray) -> list[int]:
 
 
 def scan_blocks(docs: DataFrame) -> DataFrame:
-    """(seed, code, doc) of all blocks; a task leaves out copies of a text it has seen with a smaller id."""
+    """(seed, code, doc) of all blocks, equal ones of a document once.
+
+    A task leaves out copies of a text it has seen with a smaller id.
+    """
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}
@@ -138,7 +148,9 @@ def scan_blocks(docs: DataFrame) -> DataFrame:
                 smallest = np.array([seen[n] for n in names])
                 blocks = find_blocks(part, bounds)
                 doc = ids[start:stop][blocks.row]
-                keep = doc == smallest[blocks.row] if len(doc) else np.empty(0, bool)
+                keep = np.zeros(len(doc), bool)
+                keep[np.unique(blocks.names(), return_index=True)[1]] = True
+                keep &= doc == smallest[blocks.row] if len(doc) else True
                 yield pa.record_batch([pa.array(x[keep]) for x in (blocks.seed, blocks.code, doc)],
                                       names=["seed", "code", "doc"])
 
@@ -151,7 +163,7 @@ def repeated_blocks(rows: DataFrame) -> DataFrame:
     ``repeats`` tells that an equal block is in a smaller document. Of seeds with
     several unequal blocks, the blocks of the smallest document follow too, with
     ``repeats`` false. Rows are dealt by seed and sorted, and pass through in one
-    stream; of a seed's rows only the equal blocks of one document are held.
+    stream; of a seed's rows only one is held.
     """
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -162,9 +174,8 @@ def repeated_blocks(rows: DataFrame) -> DataFrame:
             if held is not None:
                 carried = len(held[0])
                 seed, code, doc = (np.concatenate([h, c]) for h, c in zip(held, (seed, code, doc)))
-            block = code >> 24
             new_seed = np.concatenate([[True], seed[1:] != seed[:-1]])
-            new_block = new_seed | np.concatenate([[True], block[1:] != block[:-1]])
+            new_block = new_seed | np.concatenate([[True], code[1:] != code[:-1]])
             group = np.cumsum(new_seed) - 1
             start = np.flatnonzero(new_block)
             smallest = doc[start][np.cumsum(new_block) - 1]
@@ -181,7 +192,7 @@ def repeated_blocks(rows: DataFrame) -> DataFrame:
             carry = np.array([start[-1]]) if several else np.flatnonzero(last_seed & last_block & ~repeats)
             held = [x[carry] for x in (seed, code, doc)]
 
-    dealt = rows.repartition("seed").sortWithinPartitions("seed", F.shiftright("code", 24), "doc")
+    dealt = rows.repartition("seed").sortWithinPartitions("seed", "code", "doc")
     return dealt.mapInArrow(run, "doc long, seed long, code long, repeats boolean")
 
 
@@ -196,17 +207,12 @@ def cut_blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for start, stop in byte_slices(offsets):
                 part, bounds = data[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start]
                 blocks = find_blocks(part, bounds)
-                edges = np.searchsorted(blocks.row, np.arange(stop - start + 1))
                 lists = batch.column(2).slice(start, stop - start)
                 ask = lists.flatten()
-                owner = np.repeat(np.arange(stop - start), lists.value_lengths().to_numpy(zero_copy_only=False))
-                code, seed = ask.field("code").to_numpy(), ask.field("seed").to_numpy()
-                at = edges[owner] + (code & ((1 << 24) - 1))
-                # A code may belong to another text with the same id.
-                fits = at < edges[owner + 1]
-                at = np.where(fits, at, 0)
-                fits &= (blocks.code[at] == code) & (blocks.seed[at] == seed) if len(blocks.code) else False
-                at, owner = at[fits], owner[fits]
+                holder = np.repeat(np.arange(stop - start), lists.value_lengths().to_numpy(zero_copy_only=False))
+                asked = block_names(holder, ask.field("seed").to_numpy(), ask.field("code").to_numpy())
+                at = np.flatnonzero(np.isin(blocks.names(), asked))
+                owner = blocks.row[at]
                 first, size = blocks.first[at], blocks.last[at] - blocks.first[at] + LENGTH
                 content = part[ragged(bounds[owner] + first, size)]
                 ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
@@ -503,20 +509,16 @@ def _apply(batches) -> Iterator[pa.RecordBatch]:
             a, b, kind = (marks.field(f).to_numpy() for f in ("a", "b", "kind"))
             owner = np.repeat(np.arange(n), counts)
             blocks = find_blocks(part, bounds)
-            edges = np.searchsorted(blocks.row, np.arange(n + 1))
             lengths = np.diff(bounds)
 
             copied = (kind == 0) & (lengths[owner] >= LENGTH)
             copied &= np.array(text_hashes(part, bounds), np.int64)[owner] == a
-            at = edges[owner] + (b & ((1 << 24) - 1))
-            block = (kind == 1) & (at < edges[owner + 1])
-            at = np.where(block, at, 0)
-            if len(blocks.code):
-                block &= (blocks.code[at] == b) & (blocks.seed[at] == a)
+            gone_whole = kind == 1
+            block = np.flatnonzero(np.isin(blocks.names(), block_names(owner[gone_whole], a[gone_whole], b[gone_whole])))
             run = (kind == 2) & (b <= lengths[owner])
-            begin = np.concatenate([bounds[owner[copied]], bounds[owner[block]] + blocks.first[at[block]],
+            begin = np.concatenate([bounds[owner[copied]], bounds[blocks.row[block]] + blocks.first[block],
                                     bounds[owner[run]] + a[run]])
-            end = np.concatenate([bounds[owner[copied] + 1], bounds[owner[block]] + blocks.last[at[block]] + LENGTH,
+            end = np.concatenate([bounds[owner[copied] + 1], bounds[blocks.row[block]] + blocks.last[block] + LENGTH,
                                   bounds[owner[run]] + b[run]])
             depth = np.bincount(begin, minlength=len(part) + 1) - np.bincount(end, minlength=len(part) + 1)
             gone = np.cumsum(depth)[:len(part)] > 0
