@@ -112,8 +112,9 @@ class Orders:
         rank = shingles if not salt else mix64(shingles ^ np.uint64(salt))
         rank = rank >> np.uint64(6)
         if len(self.codes):
-            at = np.minimum(np.searchsorted(self.codes, shingles), len(self.codes) - 1)
-            rank |= np.where(self.codes[at] == shingles, self.classes[at], 0).astype(np.uint64) << np.uint64(58)
+            code = shingles >> np.uint64(6)
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            rank |= np.where(self.codes[at] == code, self.classes[at], 0).astype(np.uint64) << np.uint64(58)
         p = int(prefix_length(len(shingles)))
         return shingles[np.argpartition(rank, p - 1)[:p]] if p < len(shingles) else shingles
 
@@ -152,7 +153,7 @@ def classes_of(docs: DataFrame) -> DataFrame:
 
 
 def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles ascending, log2 of their number of prefixes), for those in FREQUENT or more.
+    """(upper 58 bits of shingles ascending, log2 of their number of prefixes), for those in FREQUENT or more.
 
     Counts the prefixes of all texts under the plain hash order. At most
     FREQUENT_SLOTS shingles are returned: the bound rises until they fit. It
@@ -173,11 +174,11 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     bound = FREQUENT
     while counted.filter(F.col("n") >= bound).count() > FREQUENT_SLOTS:
         bound *= 2
-    table = counted.filter(F.col("n") >= bound).toPandas()
-    codes = table["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(codes)
-    classes = np.log2(table["n"].to_numpy(np.float64)).astype(np.uint8)
-    return codes[order], classes[order]
+    packed = F.col("shingle").bitwiseAND(F.lit(-64)).bitwiseOR(F.floor(F.log2("n")).cast("long"))
+    table = counted.filter(F.col("n") >= bound).select(packed.alias("packed")).toArrow()
+    discard(counted)
+    found = np.sort(table.column(0).to_numpy().view(np.uint64))
+    return found >> np.uint64(6), (found & np.uint64(63)).astype(np.uint8)
 
 
 def prefix_rows(docs: DataFrame, frequent) -> DataFrame:
@@ -243,9 +244,9 @@ def bloom_filter(keys: DataFrame) -> np.ndarray:
             yield pa.record_batch([pa.array(at[first]), pa.array(bits.view(np.int64))], names=["at", "bits"])
 
     words = (keys.select("class").distinct().mapInArrow(run, "at int, bits long")
-             .groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas())
+             .groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow())
     bloom = np.zeros(BLOOM_BITS // 64, np.int64)
-    bloom[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    bloom[words.column("at").to_numpy()] = words.column("bits").to_numpy()
     return bloom.view(np.uint64)
 
 
@@ -328,8 +329,8 @@ def linked_classes(rows: DataFrame, sets: DataFrame, frequent) -> DataFrame:
     compared that share enough prefix shingles.
     """
     spark = rows.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    component = spark.createDataFrame([], "class long, component long")
+    links = spark.range(0).selectExpr("id AS a", "id AS b")
+    component = spark.range(0).selectExpr("id AS class", "id AS component")
     n_rows, turn, last_round = rows.count(), 0, False
     while True:
         state = cut_lineage(rows.join(component, "class", "left").withColumn(
