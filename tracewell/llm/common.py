@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
