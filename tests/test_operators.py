@@ -18,7 +18,7 @@ from tracewell.operators import distill
 from tracewell.operators import text as tx
 from tracewell.operators import timeseries as ts
 from tracewell.operators.graph import (
-    EdgeTable, NodeTable, PropertyGraph, connected_components, detect_rings, first_shared_pairs,
+    EdgeTable, NodeTable, PropertyGraph, connected_components, detect_rings, explode_parts, first_shared_pairs,
     k_hop_reach, top_shared_pairs,
 )
 from tracewell.operators.relational import (
@@ -454,3 +454,15 @@ def test_table_store_exists_only_tells_about_the_path(spark, tmp_path):
     (tmp_path / "broken" / "part.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
         store.create_if_missing("broken", spark.range(1))
+
+
+def test_explode_parts(spark):
+    uses = spark.createDataFrame([("car", "wheel", 4), ("car", "door", 2), ("wheel", "bolt", 5), ("door", "bolt", 3),
+                                  ("door", "hinge", 2), ("hinge", "bolt", 1)], "whole string, part string, quantity long")
+    roots = spark.createDataFrame([("car",), ("bolt",)], "root string")
+    found = {(r.root, r.part, r.level): r.quantity for r in explode_parts(uses, roots).collect()}
+    assert found == {("car", "wheel", 1): 4, ("car", "door", 1): 2, ("car", "bolt", 2): 26, ("car", "hinge", 2): 4,
+                     ("car", "bolt", 3): 4}
+    circle = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "whole string, part string, quantity long")
+    with pytest.raises(ValueError):
+        explode_parts(circle, spark.createDataFrame([("a",)], "root string"))

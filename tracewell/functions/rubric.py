@@ -55,6 +55,12 @@ class Rubric:
         """0 to 5, higher for more and heavier hits; NULL text gives NULL."""
         return F.when(text.isNotNull(), F.least(F.lit(MAX_SCORE), self._hits(text, self.terms)))
 
+    def rate(self, text: Column, per_words: int = 100) -> Column:
+        """Like :meth:`score`, but of the hits per ``per_words`` words: long texts do not saturate."""
+        words = F.greatest(F.lit(1), F.regexp_count(text, F.lit(r"\p{L}+")))
+        hits = self._hits(text, self.terms) * F.lit(float(per_words)) / words
+        return F.when(text.isNotNull(), F.least(F.lit(MAX_SCORE), hits))
+
     def holds(self, text: Column, threshold: float = 1.0) -> Column:
         """Whether the score reaches the threshold, usable in filters and joins."""
         return self.score(text) >= threshold

@@ -15,6 +15,7 @@ from tracewell.session import cut_lineage
 
 # Phase of a date for each seasonal component: (phase expression, smoothing rows).
 SEASONS = {
+    "daily": (lambda d: F.hour(d), 25),
     "weekly": (lambda d: F.dayofweek(d), 7),
     "monthly": (lambda d: F.dayofmonth(d), 31),
     "quarterly": (lambda d: F.pmod(F.month(d) - 1, F.lit(3)), 91),

@@ -290,6 +290,33 @@ def k_hop_reach(links: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     return reached
 
 
+def explode_parts(uses: DataFrame, roots: DataFrame) -> DataFrame:
+    """(root, part, level, quantity): all parts below each root, through any number of levels.
+
+    ``uses`` has (whole, part, quantity), ``roots`` (root). Quantities multiply
+    down a path and add up over the paths of one length. A level is one join;
+    the search ends when a level is empty, and a cycle is an error.
+    """
+    uses = cut_lineage(uses.groupBy("whole", "part").agg(F.sum("quantity").alias("quantity")))
+    limit = uses.select("whole").distinct().count()
+    step = cut_lineage(roots.select("root").distinct().select("root", F.col("root").alias("part"),
+                                                              F.lit(1).cast("bigint").alias("quantity")))
+    found, level = None, 0
+    while True:
+        level += 1
+        below = uses.select(F.col("whole").alias("_whole"), F.col("part").alias("_part"), F.col("quantity").alias("_q"))
+        step = cut_lineage(step.join(below, F.col("part") == F.col("_whole"))
+                           .groupBy("root", F.col("_part").alias("part"))
+                           .agg(F.sum(F.col("quantity") * F.col("_q")).alias("quantity")))
+        if step.isEmpty():
+            break
+        if level > limit:
+            raise ValueError("the parts contain themselves")
+        rows = step.select("root", "part", F.lit(level).alias("level"), "quantity")
+        found = rows if found is None else found.unionByName(rows)
+    return step.select("root", "part", F.lit(0).alias("level"), "quantity") if found is None else found
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(member, component): component is the smallest member reachable.
 

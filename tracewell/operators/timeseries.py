@@ -12,26 +12,30 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewell.operators.relational import join_null_safe
 from tracewell.functions.columns import (
     day_index, normal_half_width, sunday_week, two_sided_probability,
 )
+from tracewell.operators.relational import join_null_safe
 
 
 def bucket_series(df: DataFrame, timestamp: Column, unit: str, measures: Mapping[str, Column],
                   series_cols: Sequence[str] = (), name: str = "ts") -> DataFrame:
-    """Aggregate rows into days, Sunday weeks or months per series."""
+    """Aggregate rows into hours, days, Sunday weeks or months per series."""
     day = timestamp.cast("date")
-    bucket = {"day": day, "week": sunday_week(day), "month": F.trunc(day, "month")}[unit]
+    bucket = {"hour": F.date_trunc("hour", timestamp.cast("timestamp")), "day": day, "week": sunday_week(day),
+              "month": F.trunc(day, "month")}[unit]
     return df.groupBy(*series_cols, bucket.alias(name)).agg(
         *[m.alias(n) for n, m in measures.items()])
 
 
 def regularize(df: DataFrame, timestamp_col: str, value_cols: Sequence[str],
                series_cols: Sequence[str] = (), step_days: int = 1,
-               fill: float | None = 0.0) -> DataFrame:
-    """Insert the missing buckets of every series; ``is_filled`` marks them."""
-    step = F.expr(f"interval {int(step_days)} days")
+               fill: float | None = 0.0, step: str | None = None) -> DataFrame:
+    """Insert the missing buckets of every series; ``is_filled`` marks them.
+
+    ``step`` is any other interval between buckets, such as ``1 hour`` or ``1 month``.
+    """
+    step = F.expr(f"interval {step or f'{int(step_days)} days'}")
     spine = (
         df.groupBy(*series_cols)
         .agg(F.min(timestamp_col).alias("_a"), F.max(timestamp_col).alias("_b"))

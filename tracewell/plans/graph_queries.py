@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions.columns import ratio
 from tracewell.operators.graph import (
-    EdgeTable, NodeTable, PropertyGraph, Rings, connected_components, detect_rings,
+    EdgeTable, NodeTable, PropertyGraph, Rings, connected_components, detect_rings, explode_parts,
     first_shared_pairs, k_hop_reach, top_shared_pairs,
 )
 from tracewell.operators.relational import top_n_list
@@ -306,6 +306,35 @@ def k_hop_reach_query(t: Tables):
     return k_hop_reach(same_day_links(t), seeds, 3)
 
 
+PARTS_SQL = """
+  uses AS (
+    SELECT 'region ' || n_regionkey AS whole, 'nation ' || n_nationkey AS part, 1 AS quantity FROM nation
+    UNION ALL SELECT 'nation ' || s_nationkey, 'supplier ' || s_suppkey, 1 FROM supplier
+    UNION ALL SELECT 'supplier ' || l_suppkey, 'type ' || p_type, count(*)
+    FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)"""
+
+
+@query("parts_explosion", sql=f"""
+    WITH RECURSIVE {PARTS_SQL},
+    below(root, part, level, quantity) AS (
+      SELECT 'region ' || r_regionkey, 'region ' || r_regionkey, 0, 1::BIGINT FROM region
+      UNION ALL SELECT root, u.part, level + 1, b.quantity * u.quantity FROM below b JOIN uses u ON u.whole = b.part)
+    SELECT root, part, level, sum(quantity)::BIGINT AS quantity FROM below WHERE level > 0 GROUP BY 1, 2, 3""")
+def parts_explosion(t: Tables):
+    """What each region is made of, down to the lines per part type its suppliers sold."""
+    def named(kind: str, column: str):
+        return F.concat(F.lit(f"{kind} "), F.col(column).cast("string"))
+
+    sold = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_suppkey").join(
+        t.part.select("p_partkey", "p_type"), "p_partkey").groupBy("l_suppkey", "p_type").agg(
+        F.count(F.lit(1)).alias("quantity"))
+    one = F.lit(1).cast("bigint").alias("quantity")
+    uses = (t.nation.select(named("region", "n_regionkey").alias("whole"), named("nation", "n_nationkey").alias("part"), one)
+            .union(t.supplier.select(named("nation", "s_nationkey"), named("supplier", "s_suppkey"), one))
+            .union(sold.select(named("supplier", "l_suppkey"), named("type", "p_type"), "quantity")))
+    return explode_parts(uses, t.region.select(named("region", "r_regionkey").alias("root")))
+
+
 @query("entity_components", sql=f"""
     WITH RECURSIVE {SAME_DAY_SQL},
     reach(member, other) AS (

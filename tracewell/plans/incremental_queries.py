@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.operators.augmented import causal_effect, detect_change_points, key_drivers
@@ -92,15 +92,21 @@ def status_monitor(t: Tables):
 
 @query("simulate_arrivals", sql="""
     SELECT 6000000 + o_orderkey AS return_id, o_orderkey, o_custkey, round(o_totalprice, 2) AS refund_amount,
-           'pending' AS status
+           'pending' AS status, '2002-02-01' AS return_date
     FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')
     ORDER BY o_orderkey LIMIT 10""")
 def simulate_arrivals(t: Tables):
-    """Ten new returns for the lowest orders without one."""
+    """Ten new returns for the lowest orders without one, dated by the caller."""
+    return arrivals(t, F.lit("2002-02-01").cast("date"))
+
+
+def arrivals(t: Tables, as_of: Column | None = None) -> DataFrame:
+    """New returns dated ``as_of``, by default today."""
     returned = t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
     fresh = priority_batch(pending(t.orders, returned, "o_orderkey"), [F.asc("o_orderkey")], 10)
     return fresh.select((F.col("o_orderkey") + 6_000_000).alias("return_id"), "o_orderkey", "o_custkey",
-                        F.round("o_totalprice", 2).alias("refund_amount"), F.lit("pending").alias("status"))
+                        F.round("o_totalprice", 2).alias("refund_amount"), F.lit("pending").alias("status"),
+                        (F.current_date() if as_of is None else as_of).cast("string").alias("return_date"))
 
 
 @query("stream_incremental", sql="""

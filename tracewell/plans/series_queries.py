@@ -288,6 +288,27 @@ def ts_seasonality(t: Tables):
                       "revenue", F.round("weekly", 3).alias("weekly"), F.round("yearly", 3).alias("yearly"))
 
 
+@query("ts_hourly_season", sql="""
+    WITH present AS (SELECT event_type, date_trunc('hour', ts) AS ts, sum(value) AS total FROM events GROUP BY 1, 2),
+    spine AS (SELECT event_type, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM present GROUP BY 1),
+    hourly AS (SELECT s.event_type AS event_type, s.ts AS ts, coalesce(total, 0) AS total, total IS NULL AS is_filled
+               FROM spine s LEFT JOIN present p ON p.event_type = s.event_type AND p.ts = s.ts),
+    off AS (SELECT *, hour(ts) AS phase, CASE WHEN count(*) OVER w = 25 THEN total - avg(total) OVER w END AS off
+            FROM hourly WINDOW w AS (PARTITION BY event_type ORDER BY ts ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING)),
+    phases AS (SELECT event_type, phase, avg(off) AS m FROM off GROUP BY 1, 2),
+    season AS (SELECT event_type, phase, m - avg(m) OVER (PARTITION BY event_type) AS daily FROM phases)
+    SELECT o.event_type AS event_type, strftime(ts, '%Y-%m-%d %H') AS hour, round(total, 4) AS total, is_filled,
+           round(daily, 4) AS daily
+    FROM off o JOIN season s ON s.event_type = o.event_type AND s.phase = o.phase""")
+def ts_hourly_season(t: Tables):
+    """Hourly totals per event type, gaps filled, with their within-day component."""
+    hourly = ts.bucket_series(t.events, F.col("ts"), "hour", {"total": F.sum("value")}, ["event_type"])
+    filled = ts.regularize(hourly, "ts", ["total"], ["event_type"], step="1 hour")
+    out = aa.seasonality(filled, "total", "ts", ["event_type"], ["daily"])
+    return out.select("event_type", F.date_format("ts", "yyyy-MM-dd HH").alias("hour"),
+                      F.round("total", 4).alias("total"), "is_filled", F.round("daily", 4).alias("daily"))
+
+
 @query("ts_trend", sql=f"""
     WITH RECURSIVE {DAILY_SQL}, {season_sql("weekly", "dayofweek(ts)", 7)},
     {segments_sql("daily", "priority", "revenue", 3.0, 7)},

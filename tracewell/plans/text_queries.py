@@ -86,6 +86,16 @@ def text_rank_topk(t: Tables):
     return scored.orderBy(F.desc("score"), "doc_id").limit(25)
 
 
+@query("text_rank_per_length", sql=rf"""
+    SELECT doc_id, source, round(least(5.0, ({hits_sql(TERMS)}) * 100.0
+             / greatest(1, len(regexp_extract_all(text, '\p{{L}}+')))), 4) AS score
+    FROM documents ORDER BY score DESC, doc_id LIMIT 25""")
+def text_rank_per_length(t: Tables):
+    """The most loaded texts for their length."""
+    scored = documents(t, "source").select("doc_id", "source", F.round(RUBRIC.rate(F.col("text")), 4).alias("score"))
+    return scored.orderBy(F.desc("score"), "doc_id").limit(25)
+
+
 @query("text_triage", sql=f"""
     SELECT doc_id, left(text, 80) AS snippet, {SCORE_SQL} >= 1.0 AS is_report, {classify_sql()} AS category,
            round({SCORE_SQL})::BIGINT AS severity
