@@ -33,6 +33,7 @@ BLOOM_BITS = 1 << 26
 OTHER_ORDERS = (0x5BF03635, 0x2545F491)  # salts of the second and third order
 PAIRS_PER_ROW = 4  # pairs per prefix row that are compared at once without a further round
 FEW_FOUND = 0.05  # share of similar pairs in a round from which on another one is no use
+LEADERS = 4  # per group, from the second round on
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -250,59 +251,68 @@ def bloom_filter(keys: DataFrame) -> np.ndarray:
     return bloom.view(np.uint64)
 
 
-def needed_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(class, shingles binary) of all classes in ``rows`` and perhaps some more.
+def needed_sets(docs: DataFrame, rows: DataFrame, frequent) -> DataFrame:
+    """(class, shingles, second, third) of all classes in ``rows`` and perhaps some more, as binaries.
 
-    The Bloom filter has a fixed size and is broadcast; it keeps most other sets
-    out of the shuffle.
+    ``second`` and ``third`` are the prefixes under the other orders. The Bloom
+    filter has a fixed size and is broadcast; it keeps most other sets out of
+    the shuffle.
     """
     bloom = docs.sparkSession.sparkContext.broadcast(bloom_filter(rows))
 
     def fn(keys, sets):
+        orders = Orders(frequent.value)
         known = list(_once(sets))
         names = np.array([k for k, _ in known], np.int64)
         places = _places(names).reshape(2, -1)
         hit = ((bloom.value[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63))) & np.uint64(1)).all(axis=0)
+        kept = [known[i][1] for i in np.flatnonzero(hit)]
+        columns = [kept] + [[np.sort(orders.prefix(s, salt)) for s in kept] for salt in OTHER_ORDERS]
         return pa.record_batch(
-            [pa.array(names[hit]), pa.array([known[i][1].tobytes() for i in np.flatnonzero(hit)], pa.binary())],
-            names=["class", "shingles"])
+            [pa.array(names[hit]), *[pa.array([s.tobytes() for s in c], pa.binary()) for c in columns]],
+            names=["class", "shingles", "second", "third"])
 
-    return (_scan(docs, "class long, shingles binary", fn)
-            .groupBy("class").agg(F.first("shingles").alias("shingles")))
+    return (_scan(docs, "class long, shingles binary, second binary, third binary", fn)
+            .groupBy("class").agg(*[F.first(c).alias(c) for c in ("shingles", "second", "third")]))
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of values that two ascending arrays of distinct values share."""
     if len(a) > len(b):
         a, b = b, a
+    if not len(a):
+        return 0
     at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    both = int((b[at] == a).sum())
+    return int((b[at] == a).sum())
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+    both = common(a, b)
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, frequent) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: prefixes under the other orders first, then the sets."""
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, is_similar, distance) of the pairs (a, b): prefixes under the other orders first, then the sets."""
+    parts = ("second", "third", "shingles")
+    left = sets.select(F.col("class").alias("a"), F.struct(*parts).alias("of_a"))
+    right = sets.select(F.col("class").alias("b"), F.struct(*parts).alias("of_b"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        orders = Orders(frequent.value)
         for batch in batches:
-            keep, last = [], (None, None, None)
+            alike, distance = [], []
+            both = [[batch.column(c).field(part) for part in parts] for c in (2, 3)]
             for row in range(batch.num_rows):
-                b_key = batch.column(1)[row].as_py()
-                a = np.frombuffer(batch.column(2)[row].as_py(), np.uint64)
-                if last[0] != b_key:
-                    b = np.frombuffer(batch.column(3)[row].as_py(), np.uint64)
-                    last = b_key, b, [np.sort(orders.prefix(b, salt)) for salt in OTHER_ORDERS]
-                _, b, prefixes = last
-                least = prefix_shared(min(len(a), len(b)))
-                meet = all(np.isin(orders.prefix(a, salt), p).sum() >= least for salt, p in zip(OTHER_ORDERS, prefixes))
-                if meet and similar(a, b):
-                    keep.append(row)
-            yield pa.record_batch([c.take(pa.array(keep, pa.int64())) for c in batch.columns[:2]], names=["a", "b"])
-
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return joined.mapInArrow(run, "a long, b long")
+                a, b = ([np.frombuffer(part[row].as_buffer(), np.uint64) for part in side] for side in both)
+                least = prefix_shared(min(len(a[2]), len(b[2])))
+                meet = common(a[0], b[0]) >= least and common(a[1], b[1]) >= least
+                alike.append(meet and similar(a[2], b[2]))
+                shared = common(a[2], b[2])
+                distance.append(1 - shared / (len(a[2]) + len(b[2]) - shared))
+            yield pa.record_batch([*batch.columns[:2], pa.array(alike, pa.bool_()), pa.array(distance, pa.float64())],
+                                  names=["a", "b", "is_similar", "distance"])
+
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+    return joined.mapInArrow(run, "a long, b long, is_similar boolean, distance double")
 
 
 def shared_enough(n, m, shared):
@@ -319,49 +329,52 @@ def promising(rows: DataFrame) -> DataFrame:
     return rows.join(enough, "class", "left_semi")
 
 
-def linked_classes(rows: DataFrame, sets: DataFrame, frequent) -> DataFrame:
+def linked_classes(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(class, component) for the classes in ``rows`` that are similar to any other.
 
-    Rounds compare the classes of a prefix shingle's group with one leader
-    each, a different one every round, and join what is similar into
-    components. When what is still apart makes few pairs, or a round finds
-    next to nothing, all pairs of a group from different components are
-    compared that share enough prefix shingles.
+    Rounds compare the classes of a prefix shingle's group with a few leaders,
+    different ones every round, and join what is similar into components. No
+    pair is compared twice. When what is still apart makes few pairs, or a round
+    finds next to nothing new, all pairs of a group from different components
+    are compared that share enough prefix shingles, but for those that the first
+    leader rules out: Jaccard distance obeys the triangle inequality, so two
+    classes whose distances to it differ too much cannot be similar.
     """
     spark = rows.sparkSession
     links = spark.range(0).selectExpr("id AS a", "id AS b")
+    tried = spark.range(0).selectExpr("id AS a", "id AS b", "true AS is_similar", "0D AS distance")
     component = spark.range(0).selectExpr("id AS class", "id AS component")
     n_rows, turn, last_round = rows.count(), 0, False
     while True:
         state = cut_lineage(rows.join(component, "class", "left").withColumn(
             "component", F.coalesce("component", "class")))
-        leader = F.min_by(F.struct("class", "n", "component"), F.xxhash64(F.col("class"), F.lit(turn)))
+        leaders = F.array(*[
+            F.min_by(F.struct(F.col("class").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_component")),
+                     F.xxhash64(F.col("class"), F.lit(turn * LEADERS + i))) for i in range(LEADERS if turn else 1)])
         groups = (state.groupBy("shingle").agg(
-            leader.alias("leader"), F.min("component").alias("low"), F.max("component").alias("high"),
-            F.count(F.lit(1)).alias("size")).filter("low < high").select(
-            "shingle", "size", F.col("leader.class").alias("b"), F.col("leader.n").alias("b_n"),
-            F.col("leader.component").alias("b_component")))
+            leaders.alias("leaders"), F.min("component").alias("low"), F.max("component").alias("high"),
+            F.count(F.lit(1)).alias("size")).filter("low < high").drop("low", "high"))
         apart = cut_lineage(state.join(groups, "shingle"))
-        away = F.col("component") != F.col("b_component")
-        possible = apart.agg(F.sum(F.when(away, F.col("size")))).first()[0] or 0
-        if not possible:
+        possible = apart.agg(F.sum(F.when(
+            F.col("component") != F.col("leaders")[0]["b_component"], F.col("size")))).first()[0]
+        if possible is None and apart.isEmpty():
             return component
-        last_round |= possible <= PAIRS_PER_ROW * n_rows
+        last_round |= (possible or 0) <= PAIRS_PER_ROW * n_rows
         if last_round:
-            other = apart.select("shingle", F.col("class").alias("b"), F.col("n").alias("b_n"),
-                                 F.col("component").alias("other_component"))
-            met = (apart.select("shingle", "class", "n", "component").join(other, "shingle")
-                   .filter(F.col("component") < F.col("other_component")))
+            met = _met_in_group(apart, state, tried)
         else:
-            met = apart.filter(away)
+            met = (apart.select("shingle", "class", "n", "component", F.explode(F.array_distinct("leaders")).alias("l"))
+                   .select("class", "n", "component", "l.*").filter("component <> b_component"))
         pairs = cut_lineage(
-            met.groupBy(F.col("class").alias("a"), "b")
+            met.groupBy(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
             .agg(F.first("n").alias("n"), F.first("b_n").alias("b_n"), F.count(F.lit(1)).alias("shared"))
-            .filter(shared_enough(F.col("n"), F.col("b_n"), F.col("shared"))).select("a", "b"))
-        found = cut_lineage(verified(pairs, sets, frequent))
+            .filter(shared_enough(F.col("n"), F.col("b_n"), F.col("shared"))).select("a", "b")
+            .join(tried, ["a", "b"], "left_anti"))
+        outcome = cut_lineage(compared(pairs, sets))
+        tried, found = tried.union(outcome), outcome.filter("is_similar").select("a", "b")
         discard(state, apart)
         release(spark)
-        n_found, n_pairs = found.count(), pairs.count()
+        n_found, n_pairs = found.count(), outcome.count()
         if n_found:
             links = links.union(found)
             ends = links.select(F.lit("link").alias("entity_type"), F.col("b").alias("entity_id"),
@@ -374,6 +387,26 @@ def linked_classes(rows: DataFrame, sets: DataFrame, frequent) -> DataFrame:
         last_round = n_found <= FEW_FOUND * n_pairs
 
 
+def _met_in_group(apart: DataFrame, state: DataFrame, tried: DataFrame) -> DataFrame:
+    """(class, n, b, b_n) per shingle that two classes of different components share.
+
+    Leaves out classes with too few shingles in groups that are still apart,
+    and pairs that their distances to the group's first leader rule out.
+    """
+    pivots = state.groupBy("shingle").agg(F.min_by("class", F.xxhash64(F.col("class"), F.lit(0))).alias("pivot"))
+    rows = promising(apart.select("shingle", "class", "n", "component")).join(pivots, "shingle")
+    known = tried.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "distance")
+    rows = rows.join(known, (F.least("class", "pivot") == F.col("_a")) & (F.greatest("class", "pivot") == F.col("_b")),
+                     "left").withColumn("distance", F.when(F.col("class") == F.col("pivot"), 0.0).otherwise(F.col("distance")))
+    rows = cut_lineage(rows.select("shingle", "class", "n", "component", "distance"))
+    other = rows.select("shingle", F.col("class").alias("b"), F.col("n").alias("b_n"),
+                        F.col("component").alias("b_component"), F.col("distance").alias("b_distance"))
+    apart_enough = F.abs(F.col("distance") - F.col("b_distance")) > 1 - PERCENT / 100 + 1e-9
+    return rows.join(other, "shingle").filter(
+        (F.col("component") < F.col("b_component")) & ~F.coalesce(apart_enough, F.lit(False))
+        & (100 * F.least("n", "b_n") >= PERCENT * F.greatest("n", "b_n")))
+
+
 def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) per document.
 
@@ -397,9 +430,9 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFra
     rows = cut_lineage(promising(shared))
     discard(shared)
     release(docs.sparkSession)
-    sets = cut_lineage(needed_sets(source, rows))
+    sets = cut_lineage(needed_sets(source, rows, frequent))
     release(docs.sparkSession)
-    component = linked_classes(rows, sets, frequent)
+    component = linked_classes(rows, sets)
     discard(rows, sets)
 
     named = classes.filter("class IS NOT NULL").join(component, "class", "left").withColumn(
