@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -71,7 +72,9 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now.
 
     Spark deletes them when the driver's JVM collects what refers to them, which
-    may be much later.
+    may be much later. What the first collection frees may refer to more.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
