@@ -39,6 +39,9 @@ def test_round_trip_of_awkward_texts(spark):
     texts = fixture.awkward_texts()
     docs = fixture.documents(spark, [*texts, texts[7]], ids=[*range(len(texts) - 1), None, 7])
     rows = fixture.collected(bpe.with_digests(docs, RANKS, public_tokenizers.PATTERN))
+    apart = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    assert sorted(map(str, apart.collect())) == sorted(
+        map(str, bpe.encode_and_decode(docs, RANKS, public_tokenizers.PATTERN).collect()))
     assert len(rows[7]) == 2
     for i, text in zip([*range(len(texts) - 1), None], texts):
         ids = OTHER.encode_ordinary(text or "")

@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from tracewell.llm.common import ragged, text_slices
 
 LEAF_BYTES = 32
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 CACHE_PAIRS = 200_000
+ROWS = 1000  # texts whose strings a worker holds at once
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -254,6 +255,47 @@ def _store_for(label: str, ranks: dict[bytes, int]) -> PieceStore:
     return _LAST_STORE[label]
 
 
+def _encoded(batches, store: PieceStore, pattern: str) -> Iterator[pa.RecordBatch]:
+    """(key, ids) from batches of (key, text)."""
+    find = regex.compile(pattern).findall
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            part = batch.slice(first, ROWS)
+            texts = part.column(1).to_pylist()
+            for start, stop in text_slices(texts):
+                split = [find(t) if t else [] for t in texts[start:stop]]
+                counts = np.array([len(p) for p in split], np.int64)
+                ids, lengths = store.ids_of([p for pieces in split for p in pieces])
+                ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+                yield pa.record_batch(
+                    [part.column(0).slice(start, stop - start),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))],
+                    names=["key", "ids"])
+
+
+def _decoded(batches, ranks: dict[bytes, int], at: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The batches, whose column ``at`` holds lists of ids, with the bytes these stand for."""
+    by_id = sorted(ranks.items(), key=lambda x: x[1])
+    known = np.array([rank for _, rank in by_id], np.int64)
+    sizes = np.array([len(token) for token, _ in by_id], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(token for token, _ in by_id), np.uint8)
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            part = batch.slice(start, ROWS)
+            values = part.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            place = np.minimum(np.searchsorted(known, values), len(known) - 1)
+            if (known[place] != values).any():
+                raise ValueError("ids hold a token outside the vocabulary")
+            counts = np.array([n or 0 for n in pa.compute.list_value_length(part.column(at)).to_pylist()], np.int64)
+            ends = np.concatenate([[0], np.cumsum(sizes[place])])[np.concatenate([[0], np.cumsum(counts)])]
+            data = flat[ragged(starts[place], sizes[place])]
+            decoded = pa.Array.from_buffers(
+                pa.binary(), len(counts),
+                [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+            yield pa.record_batch([*part.columns, decoded], names=names)
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str = "doc_id",
            text: str = "text") -> DataFrame:
     """(key, ids array<int>): token ids of every whole text.
@@ -267,19 +309,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str =
     label = uuid.uuid4().hex
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
-        store = _store_for(label, vocabulary.value)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start, stop in text_slices(texts):
-                split = [find(t) if t else [] for t in texts[start:stop]]
-                counts = np.array([len(p) for p in split], np.int64)
-                ids, lengths = store.ids_of([p for pieces in split for p in pieces])
-                ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-                yield pa.record_batch(
-                    [batch.column(0).slice(start, stop - start),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))],
-                    names=["key", "ids"])
+        yield from _encoded(batches, _store_for(label, vocabulary.value), pattern)
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
@@ -298,35 +328,30 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", name
     at = names.index(ids)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        by_id = sorted(vocabulary.value.items(), key=lambda x: x[1])
-        known = np.array([rank for _, rank in by_id], np.int64)
-        sizes = np.array([len(token) for token, _ in by_id], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        flat = np.frombuffer(b"".join(token for token, _ in by_id), np.uint8)
-        for batch in batches:
-            lists = batch.column(at)
-            for start in range(0, batch.num_rows, 1000):
-                part = lists.slice(start, 1000)
-                values = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                place = np.minimum(np.searchsorted(known, values), len(known) - 1)
-                if (known[place] != values).any():
-                    raise ValueError("ids hold a token outside the vocabulary")
-                counts = np.array([n or 0 for n in pa.compute.list_value_length(part).to_pylist()], np.int64)
-                ends = np.concatenate([[0], np.cumsum(sizes[place])])[np.concatenate([[0], np.cumsum(counts)])]
-                data = flat[ragged(starts[place], sizes[place])]
-                decoded = pa.Array.from_buffers(
-                    pa.binary(), len(counts),
-                    [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
-                yield pa.record_batch(
-                    [c.slice(start, 1000) for c in batch.columns] + [decoded], names=names)
+        yield from _decoded(batches, vocabulary.value, at, names)
 
     return kept.mapInArrow(run, f"{schema}, `{name}` binary")
 
 
+def encode_and_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str = "doc_id",
+                      text: str = "text") -> DataFrame:
+    """(key, ids, decoded): what ``encode`` and then ``decode`` give, in one pass of one worker."""
+    vocabulary = docs.sparkSession.sparkContext.broadcast(ranks)
+    label = uuid.uuid4().hex
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        encoded = _encoded(batches, _store_for(label, vocabulary.value), pattern)
+        yield from _decoded(encoded, vocabulary.value, 1, ["key", "ids", "decoded"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
+        run, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", key)
+
+
 def with_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """(key, n_tokens, ids, ids_sha256, decoded_sha256) after encoding and decoding back."""
-    tokens = decode(encode(docs, ranks, pattern, key=key, text=text), ranks)
+    tokens = encode_and_decode(docs, ranks, pattern, key=key, text=text)
     return tokens.select(
         key,
         F.size("ids").cast("long").alias("n_tokens"), "ids",
