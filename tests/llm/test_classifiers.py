@@ -95,6 +95,19 @@ def test_toxicity_ignores_held_out_labels(spark):
     assert a == b
 
 
+def test_toxicity_counts_all_expressions_of_a_model(spark, monkeypatch):
+    texts, marks = corpus(300, 4)
+    rare = [f"badword{i}" for i in range(0, 300, 5)]
+    texts = [f"{t} {rare[i // 5]} {rare[(i // 5 + 1) % 60]} {rare[(i // 5 + 2) % 60]}" if i % 5 == 0 else t
+             for i, t in enumerate(texts)]
+    docs = fixture.documents(spark, [*texts, texts[0], None], ids=[*range(300), None, 7])
+    known = labels(spark, [(i, 1, m) for i, m in enumerate(marks)])
+    whole = sorted(toxicity.classify(docs, known).collect(), key=repr)
+    for most in (0, 5, 20):
+        monkeypatch.setattr(toxicity, "FREQUENT", most)
+        assert sorted(toxicity.classify(docs, known).collect(), key=repr) == whole
+
+
 def test_toxicity_without_labels(spark):
     docs = fixture.documents(spark, ["some words", None])
     assert {r.predicted for r in toxicity.classify(docs, labels(spark, [])).collect()} == {0}

@@ -251,6 +251,12 @@ def bloom_filter(keys: DataFrame) -> np.ndarray:
     return bloom.view(np.uint64)
 
 
+def may_hold(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False per key that the Bloom filter is sure not to hold."""
+    places = _places(keys).reshape(2, -1)
+    return ((bloom[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63))) & np.uint64(1)).all(axis=0)
+
+
 def needed_sets(docs: DataFrame, rows: DataFrame, frequent) -> DataFrame:
     """(class, shingles, second, third) of all classes in ``rows`` and perhaps some more, as binaries.
 
