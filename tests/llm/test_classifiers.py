@@ -108,6 +108,22 @@ def test_toxicity_counts_all_expressions_of_a_model(spark, monkeypatch):
         assert sorted(toxicity.classify(docs, known).collect(), key=repr) == whole
 
 
+def test_toxicity_of_pairs_of_ordinary_words(spark):
+    rng = random.Random(6)
+    texts, marks = [], []
+    for i in range(300):
+        words = fixture.words(rng, rng.randint(20, 60))
+        for _ in range(4):
+            at = rng.randrange(len(words))
+            words[at:at] = ["kill", "yourself"] if i % 5 == 0 else rng.choice((["kill", "time"], ["help", "yourself"]))
+        texts.append(" ".join(words))
+        marks.append(int(i % 5 == 0))
+    known = labels(spark, [(i, 1, m) for i, m in enumerate(marks)])
+    rows = fixture.collected(toxicity.classify(fixture.documents(spark, texts), known))
+    held = [i for i in rows if rows[i][0].held_out]
+    assert sum(rows[i][0].predicted == marks[i] for i in held) >= 0.97 * len(held)
+
+
 def test_toxicity_without_labels(spark):
     docs = fixture.documents(spark, ["some words", None])
     assert {r.predicted for r in toxicity.classify(docs, labels(spark, [])).collect()} == {0}
