@@ -6,7 +6,7 @@ import tiktoken
 
 import corpus_fixture as fixture
 import corpus_pipeline
-from tracewell.llm import bpe
+from tracewell.llm import bpe, stages
 from tracewell.llm import queries as corpus
 
 
@@ -38,6 +38,18 @@ def test_stages_and_result(spark, tmp_path):
         assert row.n_tokens == len(row.ids) and list(row.ids) == other.encode_ordinary(decoded.decode())
 
 
+def test_language_id_drops_noise_and_other_scripts(spark):
+    rng = random.Random(9)
+    clean = [" ".join(fixture.words(rng, n)) for n in (8, 20, 60, 200, 600) for _ in range(40)]
+    cyrillic, latin = "абвгдежзиклмнопрстуфхцчшщыэюя    ", "abcdefghijklmnopqrstuvwxyz     "
+    junk = ["".join(rng.choice(a) for _ in range(n)) for a in (cyrillic, latin) for n in (60, 400, 3000) for _ in range(20)]
+    junk += [rng.randbytes(n).hex() for n in (50, 1500) for _ in range(20)]
+    docs = fixture.documents(spark, clean + junk, langs=["en"] * len(clean) + [None] * len(junk))
+    kept = {r.doc_id for r in stages.language_id(spark, docs, "").select("doc_id").collect()}
+    assert len(kept & set(range(len(clean)))) >= 0.97 * len(clean)
+    assert len(kept - set(range(len(clean)))) <= 0.02 * len(junk)
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in corpus.QUERIES)
     assert numbers == list(range(1, 11))

@@ -13,14 +13,49 @@ from pyspark.sql import functions as F
 from tracewell.llm import bpe, jaccard, language, mixing, suffixes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LEAST_COSINE = 0.05  # below it a text is like no language
+NOISE = 4.0  # standard deviations of the cosine of unrelated vectors; below them a text is like no language
+LOW_SHARE = 0.05  # of the labelled texts of a language and length are below its low cosine
+OF_LOW = 0.5  # a text needs this share of the low cosine
+CELLS = 1000  # of the histogram of cosines
+
+
+def least_cosines(scored: DataFrame, dimensions: int) -> list[tuple[str, int, float]]:
+    """(language, length class, least cosine), from (lang, lang_pred, score, size) of labelled documents.
+
+    A longer text is more like its language, so each doubling of the length has
+    a low cosine of its own, and longer ones need no less than shorter ones. None
+    is within the noise of the dimensions.
+    """
+    cells = (scored.filter(F.col("lang") == F.col("lang_pred"))
+             .groupBy("lang", "size", F.floor(F.col("score") * CELLS).cast("int").alias("cell")).count())
+    found: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    for row in cells.collect():
+        found.setdefault((row["lang"], row["size"]), []).append((row["cell"], row["count"]))
+    out, least = [], {}
+    for (lang, size), counts in sorted(found.items()):
+        left = LOW_SHARE * sum(n for _, n in counts)
+        for low, n in sorted(counts):
+            left -= n
+            if left < 0:
+                break
+        least[lang] = max(least.get(lang, NOISE / dimensions ** 0.5), OF_LOW * low / CELLS)
+        out.append((lang, size, least[lang]))
+    return out
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter, or like no language learned from the labelled ones."""
     languages, matrix = language.train(docs)
+    size = F.floor(F.log2(F.length("text") + F.lit(1))).cast("int")
+    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(
+        F.struct(F.col("lang").cast("string").alias("lang"), size.alias("size")).alias("own"), "text")
+    scored = language.predict(labelled, languages, matrix, key="own").select("own.*", "lang_pred", "score")
+    least = F.lit(NOISE / matrix.shape[1] ** 0.5)
+    for lang, shortest, cosine in least_cosines(scored, matrix.shape[1]):
+        least = F.when((F.col("lang_pred") == lang) & (F.col("size") >= shortest), F.lit(cosine)).otherwise(least)
     known = language.predict(docs, languages, matrix, keep_rows=True)
-    return known.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_COSINE)).select("row.*")
+    known = known.withColumn("size", F.floor(F.log2(F.length("row.text") + F.lit(1))).cast("int"))
+    return known.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least)).select("row.*")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
