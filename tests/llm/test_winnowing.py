@@ -4,6 +4,7 @@ import pytest
 import xxhash
 
 import corpus_fixture as fixture
+from tracewell.llm import queries
 from tracewell.llm import winnowing as w
 
 
@@ -74,3 +75,31 @@ def test_other_lengths_keep_the_guarantee(spark, gram, window):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     a, b = [set(r.h) for r in w.fingerprints(df, "text", "c", gram, window).select(w.hashes("c").alias("h")).collect()]
     assert a & b
+
+
+def test_query_finds_passages_without_blanks(spark, tmp_path):
+    rng = fixture.random.Random(8)
+    shared = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(w.CHARACTER_GRAM + w.CHARACTER_WINDOW - 1))
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n)) for n in (300, 400)]
+    texts = [texts[0][:70] + shared + texts[0][70:], texts[1][:150] + shared + texts[1][150:], "\U0001F600 a\x00", "", None]
+    fixture.documents(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r.doc_id: r for r in queries.op6_winnowing(spark, str(tmp_path)).collect()}
+    assert all(rows[i].near_edited > 0.3 for i in (0, 1)) and rows[1].near_next > 0
+    assert rows[2].fingerprint.endswith(":0") and rows[3].fingerprint == rows[4].fingerprint == ""
+    # The hashes are those of the code points.
+    values = []
+    for c in texts[0]:
+        h = xxhash.xxh64_intdigest(c.encode(), seed=42)
+        values.append((h - (1 << 64) if h >> 63 else h) % w.MODULUS)
+    runs = []
+    for i in range(len(values) - w.CHARACTER_GRAM + 1):
+        out = 0
+        for v in values[i:i + w.CHARACTER_GRAM]:
+            out = (out * w.BASE + v) % w.MODULUS
+        runs.append(out)
+    want = []
+    for i in range(len(runs) - w.CHARACTER_WINDOW + 1):
+        one = min((runs[j], -j) for j in range(i, i + w.CHARACTER_WINDOW))
+        if one not in want:
+            want.append(one)
+    assert rows[0].fingerprint == " ".join(f"{h:x}:{-j}" for h, j in want)

@@ -47,7 +47,9 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowing fingerprints of every document and of its edited text."""
-    return winnowing.fingerprint_edits(read_table(prepare(spark), sf_dir, "documents"))
+    return winnowing.fingerprint_edits(
+        read_table(prepare(spark), sf_dir, "documents"), gram=winnowing.CHARACTER_GRAM,
+        window=winnowing.CHARACTER_WINDOW, characters=True)
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Document fingerprints by winnowing, in DataFrame expressions only.
 
-Every run of GRAM words gets a polynomial hash, built from the hashes of runs
-half as long. Of each WINDOW neighbouring hashes the smallest is chosen, of
+Every run of GRAM words, or of CHARACTER_GRAM code points, gets a polynomial
+hash, built from the hashes of runs half as long. Of each WINDOW neighbouring hashes the smallest is chosen, of
 equals the rightmost, and kept with its position. Any run of GRAM + WINDOW - 1
-words that two texts share leaves a common hash in both fingerprints.
+words, or CHARACTER_GRAM + CHARACTER_WINDOW - 1 code points, that two texts share
+leaves a common hash in both fingerprints.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from tracewell.session import cut_lineage
 
 GRAM = 5
 WINDOW = 8
+CHARACTER_GRAM = 32
+CHARACTER_WINDOW = 32
 MODULUS = (1 << 31) - 1
 BASE = 1_000_003
 LOW = (1 << 32) - 1
@@ -27,14 +30,16 @@ def _pairs(values: str, other: str, shift: int, combine) -> Column:
     return F.zip_with(F.slice(values, F.lit(1), n), F.slice(other, F.lit(shift + 1), n), combine)
 
 
-def fingerprints(df: DataFrame, text: str, name: str, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+def fingerprints(df: DataFrame, text: str, name: str, gram: int = GRAM, window: int = WINDOW,
+                 characters: bool = False) -> DataFrame:
     """Add ``name``: the chosen hashes of ``text``, each as hash * 2^32 + (2^32 - 1 - position).
 
     ``text`` must not be null. Positions count words from 0. A text with fewer
     than ``gram`` words has one hash, of all of them; one without words has
-    none. With fewer hashes than ``window`` the smallest of all is chosen.
+    none. With fewer hashes than ``window`` the smallest of all is chosen. With
+    ``characters`` every code point counts as a word.
     """
-    words = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    words = F.filter(F.split(F.col(text), "" if characters else r"[\x20\x09-\x0D]+"), lambda w: w != "")
     df = df.withColumn("_g1", F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(MODULUS).cast("long"))))
 
     # Hash runs of 2, 4, ... words, then add the missing powers of two.
@@ -107,7 +112,8 @@ def following(docs: DataFrame) -> DataFrame:
     return lender.join(to, "to_rank").drop("to_rank")
 
 
-def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text", gram: int = GRAM,
+                      window: int = WINDOW, characters: bool = False) -> DataFrame:
     """Fingerprints of every text and of its edited text, with likenesses.
 
     The edited text has its last third (by code points, rounded down) replaced
@@ -126,7 +132,7 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
         F.col(key).isNull().alias("no_id"), F.coalesce(F.col(key).cast("long"), F.lit(0).cast("long")).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"))
     pairs = cut_lineage(following(source.select("no_id", "id", F.length("text").alias("length"))))
-    base = fingerprints(source, "text", "chosen").repartition("no_id", "id")
+    base = fingerprints(source, "text", "chosen", gram, window, characters).repartition("no_id", "id")
 
     first = Window.partitionBy("no_id", "id").orderBy("text")
     lent = (base.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
@@ -139,7 +145,7 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     both = base.join(lent, ["no_id", "id"]).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), n - third), F.substring("start", F.lit(1), third)))
     both = both.select("no_id", "id", n.cast("long").alias("n_chars"), "chosen", "next_hashes", "edited")
-    out = fingerprints(both, "edited", "edited_chosen")
+    out = fingerprints(both, "edited", "edited_chosen", gram, window, characters)
     out = out.withColumn("own", hashes("chosen")).withColumn("changed", hashes("edited_chosen"))
     return out.select(
         F.when(~F.col("no_id"), F.col("id")).cast(id_type).alias(key), "n_chars",
