@@ -52,4 +52,4 @@ def test_language_id_drops_noise_and_other_scripts(spark):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in corpus.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))

@@ -8,13 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe, jaccard, language, mixing, quality, sharding, suffixes, topk, toxicity, winnowing
+from tracewell.llm import (
+    audit, bpe, jaccard, language, lexical, lines, mixing, quality, sharding, suffixes, topk, toxicity, winnowing,
+)
 from tracewell.llm.common import read_table
 from tracewell.llm.stages import VOCABULARY
 from tracewell.session import prepare
 
-
-
 SHARDS = tuple(f"shard-{i:02d}" for i in range(64))
 
 
@@ -74,10 +74,33 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(prepare(spark), sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_permutation_table, op2_hierarchical_quality, op3_ngram_jaccard, op4_kneser_ney_toxicity, op5_source_mix, op6_winnowing, op7_suffix_dedup, op8_language_id, op9_exact_top_k, op10_byte_bpe)
-}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best documents of every benchmark item by integer term scores."""
+    prepare(spark)
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 10)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that smaller documents hold."""
+    return lines.dedup(read_table(prepare(spark), sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, in every order of them, by source."""
+    prepare(spark)
+    return audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_permutation_table, op2_hierarchical_quality, op3_ngram_jaccard, op4_kneser_ney_toxicity, op5_source_mix,
+    op6_winnowing, op7_suffix_dedup, op8_language_id, op9_exact_top_k, op10_byte_bpe, op11_lexical_search,
+    op12_line_dedup, op13_filter_audit,
+)}
 
 ORACLES: dict[str, str] = {
     "op5_source_mix": mixing.ORACLE_SQL,
+    "op11_lexical_search": lexical.ORACLE_SQL,
+    "op12_line_dedup": lines.ORACLE_SQL,
+    "op13_filter_audit": audit.ORACLE_SQL,
 }
