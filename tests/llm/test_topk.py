@@ -47,3 +47,10 @@ def test_large_components_and_empty_table(spark):
     got = found(topk.top_k(table(spark, rows), F.col("vec_id") % 100 == 0, 1))
     assert got == {0: [(1, 2 ** 50 * 2 ** 20 + 2 ** 20)]} or got[0][0][0] == 1
     assert topk.top_k(table(spark, []), F.col("vec_id") % 100 == 0, 10).count() == 0
+
+
+def test_vectors_longer_than_one(spark):
+    rng = random.Random(8)
+    vectors = {i: [rng.randint(-500 * 1024, 500 * 1024) for _ in range(2)] for i in range(500)}
+    rows = [(i, [x / 1024 for x in v], 1, 2, "x") for i, v in vectors.items()]
+    assert found(topk.top_k(table(spark, rows), F.col("vec_id") % 100 == 0, 10)) == brute(vectors, 10)

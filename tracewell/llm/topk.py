@@ -150,7 +150,7 @@ def narrowed(state: DataFrame, cells: DataFrame, width: int) -> DataFrame:
                .join(state.select(F.col("id").alias("query_id"), "lo", "need"), "query_id")
                .filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need"))))
     found = reached.select(
-        F.col("query_id").alias("id"), (F.col("lo") + F.col("cell") * width).alias("_lo"),
+        F.col("query_id").alias("id"), (F.col("lo") + F.col("cell").cast("long") * F.lit(width).cast("long")).alias("_lo"),
         (F.col("need") - F.col("upto") + F.col("n")).alias("_need"))
     # A query with fewer candidates than asked for keeps its lowest cell and so all of them.
     return state.join(found, "id", "left").select(
