@@ -57,6 +57,19 @@ def test_matches_brute_force(spark):
     check(spark, rows)
 
 
+def test_unlike_texts_under_one_id(spark):
+    rng = random.Random(11)
+    texts = [" ".join(fixture.words(rng, 40)) for _ in range(6)]
+    shared = " ".join(fixture.words(rng, 15))
+    rows = [(1, texts[0] + shared + texts[1]), (9, texts[2] + shared), (9, texts[3]), (9, texts[3][:40] + shared + texts[4]),
+            (None, texts[2] + "x" + shared), (None, texts[5]), (None, texts[5] + shared)]
+    check(spark, rows + passages_under(rng, 60))
+
+
+def passages_under(rng, n):
+    return [(rng.choice([20, 21, 22, None]), text) for text in passages(n, 12)]
+
+
 def test_overlapping_passages_in_small_shards(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "SHARD_BYTES", 300)
     ids = list(range(120))

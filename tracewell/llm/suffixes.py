@@ -197,7 +197,8 @@ def repeated_blocks(rows: DataFrame) -> DataFrame:
 
 
 def cut_blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(seed, doc, first, lead, content): bytes of the wanted blocks and where their seed lies in them."""
+    """(seed, doc, first, lead, content, name): bytes of the wanted blocks, where their seed lies in
+    them, and the hash of the text they are in."""
     per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("seed", "code")).alias("wanted"))
     joined = docs.join(per_doc, "doc").select("doc", "text", "wanted")
 
@@ -213,6 +214,7 @@ def cut_blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 asked = block_names(holder, ask.field("seed").to_numpy(), ask.field("code").to_numpy())
                 at = np.flatnonzero(np.isin(blocks.names(), asked))
                 owner = blocks.row[at]
+                names = np.array(text_hashes(part, bounds), np.int64)
                 first, size = blocks.first[at], blocks.last[at] - blocks.first[at] + LENGTH
                 content = part[ragged(bounds[owner] + first, size)]
                 ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
@@ -220,10 +222,11 @@ def cut_blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     [pa.array(blocks.seed[at]), pa.array(batch.column(0).to_numpy()[start:stop][owner]),
                      pa.array(first), pa.array((blocks.at[at] - first).astype(np.int32)),
                      pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.tobytes()),
-                                                                  pa.py_buffer(content.tobytes())])],
-                    names=["seed", "doc", "first", "lead", "content"])
+                                                                  pa.py_buffer(content.tobytes())]),
+                     pa.array(names[owner])],
+                    names=["seed", "doc", "first", "lead", "content", "name"])
 
-    return joined.mapInArrow(run, "seed long, doc long, first long, lead int, content binary")
+    return joined.mapInArrow(run, "seed long, doc long, first long, lead int, content binary, name long")
 
 
 class Shard:
@@ -322,7 +325,7 @@ def _shared(group: np.ndarray, context: np.ndarray, size: np.ndarray) -> np.ndar
 
 
 def repeated_strings(seed, doc, first, lead, data, offsets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, from, to): bytes of blocks covered by strings that start in smaller documents too.
+    """(block, from, to): bytes of blocks covered by strings that start in smaller documents too.
 
     Takes all blocks of some seeds.
     """
@@ -374,11 +377,11 @@ def repeated_strings(seed, doc, first, lead, data, offsets) -> tuple[np.ndarray,
         return none, none, none
     fresh = np.concatenate([[True], (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)])
     at = np.flatnonzero(fresh)
-    return doc[keep][owner[at]], start[at], start[np.append(at[1:], len(start)) - 1] + LENGTH
+    return keep[owner[at]], start[at], start[np.append(at[1:], len(start)) - 1] + LENGTH
 
 
 def merge_blocks(blocks: DataFrame) -> DataFrame:
-    """(doc, from, to) from blocks dealt by seed: complete seeds are merged MERGE_BYTES at a time."""
+    """(doc, from, to, name) from blocks dealt by seed: complete seeds are merged MERGE_BYTES at a time."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -391,8 +394,9 @@ def merge_blocks(blocks: DataFrame) -> DataFrame:
             content = rows.column(4).combine_chunks().cast(pa.large_binary())
             offsets = np.frombuffer(content.buffers()[1], np.int64)[content.offset:content.offset + len(content) + 1]
             data = np.frombuffer(content.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-            out = repeated_strings(seed, doc, first, lead.astype(np.int64), data, offsets - offsets[0])
-            yield pa.record_batch([pa.array(x) for x in out], names=["doc", "from", "to"])
+            block, *run = repeated_strings(seed, doc, first, lead.astype(np.int64), data, offsets - offsets[0])
+            out = (doc[block], *run, rows.column(5).to_numpy()[block])
+            yield pa.record_batch([pa.array(x) for x in out], names=["doc", "from", "to", "name"])
 
         for batch in batches:
             held.append(batch)
@@ -412,7 +416,7 @@ def merge_blocks(blocks: DataFrame) -> DataFrame:
                 yield from flush(rows.slice(start, stop - start))
 
     return (blocks.repartition("seed").sortWithinPartitions("seed")
-            .mapInArrow(run, "doc long, `from` long, `to` long"))
+            .mapInArrow(run, "doc long, `from` long, `to` long, name long"))
 
 
 def _by_bytes(seed: np.ndarray, rows: pa.Table, stop: int) -> Iterator[tuple[int, int]]:
@@ -427,18 +431,18 @@ def _by_bytes(seed: np.ndarray, rows: pa.Table, stop: int) -> Iterator[tuple[int
 
 
 def group_strings(blocks: DataFrame) -> DataFrame:
-    """(doc, from, to) of the blocks of very frequent seeds, by one aggregate over their strings.
+    """(doc, from, to, name) of the blocks of very frequent seeds, by one aggregate over their strings.
 
     For seeds with more blocks than a task should hold. Equal strings combine
     map-side, unequal ones spread over all tasks.
     """
     starts = F.explode(F.sequence(F.lit(0), F.length("content") - LENGTH)).alias("skip")
-    each = blocks.select("doc", "first", "content", starts).select(
-        "doc", (F.col("first") + F.col("skip")).alias("from"),
+    each = blocks.select("doc", "first", "content", "name", starts).select(
+        "doc", "name", (F.col("first") + F.col("skip")).alias("from"),
         F.substring("content", F.col("skip") + 1, F.lit(LENGTH)).alias("string"))
     smallest = each.groupBy("string").agg(F.min("doc").alias("smallest"), F.max("doc").alias("largest"))
     return (each.join(smallest.filter("smallest < largest"), "string").filter("doc > smallest")
-            .select("doc", "from", (F.col("from") + LENGTH).alias("to")))
+            .select("doc", "from", (F.col("from") + LENGTH).alias("to"), "name"))
 
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep_rows: bool = False) -> DataFrame:
@@ -461,7 +465,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     large = cut_lineage(unequal.groupBy("seed").count().filter(F.col("count") > LARGE_SEED).select("seed"))
     blocks = cut_lineage(cut_blocks(source, unequal))
     release(docs.sparkSession)
-    runs = cut_lineage(merge_blocks(blocks.join(large, "seed", "left_anti"))
+    runs = cut_lineage(merge_blocks(blocks.join(large, "seed", "left_anti").select(*blocks.columns))
                        .union(group_strings(blocks.join(large, "seed"))))
     discard(blocks, large)
     release(docs.sparkSession)
@@ -469,11 +473,12 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     # Copies of a smaller document's text go as a whole.
     names = cut_lineage(source.mapInArrow(_names, "doc long, name long"))
     copies = names.join(names.groupBy("name").agg(F.min("doc").alias("smallest")), "name").filter(
-        "doc > smallest").select("doc", F.col("name").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("kind"))
+        "doc > smallest").select("doc", F.col("name").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("kind"),
+        F.col("name").alias("text_name"))
     marks = (copies
-             .union(repeated.filter("repeats").select("doc", "seed", "code", F.lit(1)))
-             .union(runs.select("doc", "from", "to", F.lit(2)))
-             .groupBy("doc").agg(F.collect_list(F.struct("a", "b", "kind")).alias("marks")))
+             .union(repeated.filter("repeats").select("doc", "seed", "code", F.lit(1), F.lit(0).cast("long")))
+             .union(runs.select("doc", "from", "to", F.lit(2), "name"))
+             .groupBy("doc").agg(F.collect_list(F.struct("a", "b", "kind", "text_name")).alias("marks")))
     kind = docs.schema[key].dataType
     whole = ["row"] if keep_rows else []
     if keep_rows:
@@ -506,16 +511,17 @@ def _apply(batches) -> Iterator[pa.RecordBatch]:
             lists = batch.column(2).slice(start, n)
             counts = np.array([x or 0 for x in lists.value_lengths().to_pylist()], np.int64)
             marks = lists.flatten()
-            a, b, kind = (marks.field(f).to_numpy() for f in ("a", "b", "kind"))
+            a, b, kind, text_name = (marks.field(f).to_numpy() for f in ("a", "b", "kind", "text_name"))
             owner = np.repeat(np.arange(n), counts)
             blocks = find_blocks(part, bounds)
             lengths = np.diff(bounds)
 
-            copied = (kind == 0) & (lengths[owner] >= LENGTH)
-            copied &= np.array(text_hashes(part, bounds), np.int64)[owner] == a
+            # Rows that share an id may differ: places hold for one text only, equal blocks for all.
+            own_text = np.array(text_hashes(part, bounds), np.int64)[owner] == text_name
+            copied = (kind == 0) & (lengths[owner] >= LENGTH) & own_text
             gone_whole = kind == 1
             block = np.flatnonzero(np.isin(blocks.names(), block_names(owner[gone_whole], a[gone_whole], b[gone_whole])))
-            run = (kind == 2) & (b <= lengths[owner])
+            run = (kind == 2) & own_text
             begin = np.concatenate([bounds[owner[copied]], bounds[blocks.row[block]] + blocks.first[block],
                                     bounds[owner[run]] + a[run]])
             end = np.concatenate([bounds[owner[copied] + 1], bounds[blocks.row[block]] + blocks.last[block] + LENGTH,
