@@ -50,6 +50,31 @@ def test_language_id_drops_noise_and_other_scripts(spark):
     assert len(kept - set(range(len(clean)))) <= 0.02 * len(junk)
 
 
+def test_near_copies_leave_one_row_whatever_their_ids(spark):
+    rng = random.Random(3)
+    text, other = (" ".join(fixture.words(rng, 80)) for _ in range(2))
+    near = text + " more"
+    texts = [text, text, text, near, text, other, "", None, None, other, other]
+    ids = [None, None, 7, 7, 8, 7, 7, None, 1, None, None]
+    kept = stages.jaccard_join(spark, fixture.documents(spark, texts, ids=ids), "")
+    assert kept.columns == fixture.documents(spark, []).columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got in [sorted([(7, one), (7, other), (7, ""), (None, None), (1, None)], key=repr) for one in (text, near)]
+    assert stages.jaccard_join(spark, fixture.documents(spark, [text, text], ids=[None, None]), "").count() == 1
+
+
+def test_stages_take_empty_tables_and_rows_without_ids(spark, tmp_path):
+    rng = random.Random(4)
+    texts = [" ".join(fixture.words(rng, 60)) for _ in range(12)]
+    cases = [([], []), (texts + texts[:3], [None] * 5 + [3] * 5 + list(range(20, 25)))]
+    for case, (own, ids) in enumerate(cases):
+        docs = fixture.documents(spark, own, ids=ids)
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, "").write.parquet(str(tmp_path / f"{name}{case}"))
+            docs = spark.read.parquet(str(tmp_path / f"{name}{case}"))
+        assert (docs.count() > 0) == bool(own)
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in corpus.QUERIES)
     assert numbers == list(range(1, 14))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.llm import bpe, jaccard, language, mixing, suffixes
+from tracewell.session import cut_lineage
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NOISE = 4.0  # standard deviations of the cosine of unrelated vectors; below them a text is like no language
@@ -59,10 +60,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies."""
-    groups = jaccard.join(docs)
-    others = groups.filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id")
-    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """Keep one row of each group of near copies: of its smallest id, the one with the least text hash.
+
+    A null id is larger than all others. Rows that repeat an id are rows like any
+    other: equal or near copies among them leave one, others stay. Rows without
+    words are in no group and stay. The order of rows and other columns decide
+    nothing, except between rows that agree in id and text.
+    """
+    rows = cut_lineage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("whole")))
+    groups = jaccard.join(rows.select("row", F.col("whole.text").alias("text")), key="row")
+    named = rows.select("row", F.col("whole.doc_id").cast("long").alias("id"), F.xxhash64("whole.text").alias("hash"))
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "hash", "row")
+    kept = (groups.filter("component_id IS NOT NULL").join(named, "row")
+            .groupBy("component_id").agg(F.min(first).alias("first")).select(F.col("first.row").alias("row")))
+    return rows.join(kept, "row", "left_semi").select("whole.*")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
