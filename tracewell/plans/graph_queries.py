@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.columns import ratio
+from tracewell.operators.cycles import fixed_cycles
 from tracewell.operators.graph import (
     EdgeTable, NodeTable, PropertyGraph, Rings, connected_components, detect_rings, explode_parts,
     first_shared_pairs, k_hop_reach, top_shared_pairs,
@@ -343,3 +344,47 @@ def parts_explosion(t: Tables):
     SELECT member, min(other) AS component FROM reach GROUP BY 1""")
 def entity_components(t: Tables):
     return connected_components(same_day_links(t))
+
+
+TRADE_SQL = """
+  trade AS (
+    SELECT 'S' || l_suppkey AS a, 'P' || l_partkey AS b FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 45
+    UNION SELECT 'P' || l_partkey, 'C' || o_custkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+    WHERE l_returnflag = 'R' AND l_discount >= 0.08
+    UNION SELECT 'C' || o_custkey, 'S' || l_suppkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+    WHERE l_returnflag = 'R' AND l_quantity < 3
+    UNION SELECT 'C' || o_custkey, 'P' || l_partkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+    WHERE l_returnflag = 'R' AND l_tax >= 0.08)"""
+
+
+def cycles_sql(length: int) -> str:
+    """Cycles by joining one edge after the other, from the smallest node."""
+    joins = " ".join(f"JOIN trade e{i} ON e{i}.a = e{i - 1}.b" for i in range(2, length + 1))
+    larger = " AND ".join(f"e{i}.a > e1.a" for i in range(2, length + 1))
+    unlike = "".join(f" AND e{i}.a <> e{j}.a" for j in range(3, length + 1) for i in range(2, j))
+    members = ", ".join(f"e{i}.a" for i in range(1, length + 1))
+    return f"SELECT {length} AS steps, [{members}] AS m FROM trade e1 {joins} WHERE e{length}.b = e1.a AND {larger}{unlike}"
+
+
+@query("trade_cycles", sql=f"""
+    WITH {TRADE_SQL}
+    SELECT steps, array_to_string(m, ' > ') AS members FROM ({" UNION ALL ".join(map(cycles_sql, (3, 4, 5)))})""")
+def trade_cycles(t: Tables):
+    """Cycles of three to five steps through suppliers, parts and customers.
+
+    A supplier leads to the parts it ships in bulk, a part to customers who returned
+    it at a high discount, a customer to suppliers of small returns and to parts
+    returned at a high tax.
+    """
+    lines = t.lineitem.filter("l_returnflag = 'R'").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_quantity", "l_discount", "l_tax",
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("s"),
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("p"))
+    lines = lines.join(t.orders.select("o_orderkey", F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("c")),
+                       "o_orderkey")
+    ways = [("s", "p", F.col("l_quantity") >= 45), ("p", "c", F.col("l_discount") >= 0.08),
+            ("c", "s", F.col("l_quantity") < 3), ("c", "p", F.col("l_tax") >= 0.08)]
+    edges = cut_lineage(lines.select(F.inline(F.filter(
+        F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b"), when.alias("holds")) for a, b, when in ways]),
+        lambda e: e["holds"]))).select("a", "b"))
+    return fixed_cycles(edges, "a", "b", (3, 4, 5)).select("steps", F.array_join("members", " > ").alias("members"))
