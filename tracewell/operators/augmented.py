@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from tracewell.functions.columns import day_index, ratio, two_sided_probability
+from tracewell.functions.columns import day_index, explode_once, ratio, total, two_sided_probability
 from tracewell.operators.relational import join_null_safe
 from tracewell.operators.timeseries import with_fit
 from tracewell.session import cut_lineage
@@ -106,6 +108,47 @@ def seasonality(df: DataFrame, data_col: str, timestamp_col: str, series_cols: S
     return df
 
 
+def joint_seasonality(df: DataFrame, data_col: str, timestamp_col: str, series_cols: Sequence[str] = (),
+                      components: Sequence[str] = ("weekly", "yearly"), rounds: int = 5) -> DataFrame:
+    """Add one column per seasonal component and ``remainder``, the components estimated jointly.
+
+    The series minus its centred mean over the longest component's window (full
+    windows only) is what the components explain. Each is fitted, as centred
+    means per phase, to what the others leave, in ``rounds`` rounds, so that
+    what weekdays and months share does not count twice. Sums per phase come
+    from one table of (series, phases of all components), which is no longer
+    than the calendar; a phase without a full window gets NULL. ``remainder`` is
+    the series without its centred mean and its components.
+    """
+    y, longest = F.col(data_col).cast("double"), max(components, key=lambda name: SEASONS[name][1])
+    rows = SEASONS[longest][1]
+    around = Window.partitionBy(*series_cols).orderBy(timestamp_col).rowsBetween(-(rows // 2), rows // 2)
+    phases = {name: f"_{name}_phase" for name in components}
+    out = (df.withColumn("_off", F.when(F.count(F.lit(1)).over(around) == rows, y - F.avg(y).over(around)))
+           .withColumns({phase: SEASONS[name][0](F.col(timestamp_col)) for name, phase in phases.items()}))
+    out = cut_lineage(out)
+    cells = out.filter("_off IS NOT NULL").groupBy(*series_cols, *phases.values()).agg(
+        F.sum("_off").alias("_sum"), F.count("_off").alias("_rows"))
+    cells = cut_lineage(cells.withColumns({name: F.lit(0.0) for name in components}))
+    whole = Window.partitionBy(*series_cols)
+    for turn in range(rounds):
+        for name, phase in phases.items():
+            same = Window.partitionBy(*series_cols, phase)
+            others = [F.col(c) for c in components if c != name]
+            left = F.col("_sum") - F.col("_rows") * total(others) if others else F.col("_sum")
+            mean = F.sum(left).over(same) / F.sum("_rows").over(same)
+            weight = F.lit(1.0) / F.count(F.lit(1)).over(same)
+            cells = (cells.withColumn("_mean", mean).withColumn("_weight", weight)
+                     .withColumn(name, F.col("_mean") - F.sum(F.col("_mean") * F.col("_weight")).over(whole)
+                                 / F.sum("_weight").over(whole)).drop("_mean", "_weight"))
+        cells = cut_lineage(cells)
+    for name, phase in phases.items():
+        effect = cells.groupBy(*series_cols, phase).agg(F.first(name).alias(name))
+        out = join_null_safe(out, effect, [*series_cols, phase], "left")
+    remainder = F.col("_off") - total([F.col(name) for name in components])
+    return out.withColumn("remainder", remainder).drop("_off", *phases.values())
+
+
 def trend(df: DataFrame, data_col: str, timestamp_col: str, horizon: int,
           smoothing_window_size: int = 7, adjust_step_changes: bool = False,
           series_cols: Sequence[str] = (), step_days: int = 1, *, fit_rows: int) -> DataFrame:
@@ -155,38 +198,107 @@ def trend(df: DataFrame, data_col: str, timestamp_col: str, horizon: int,
         F.when(is_future, line).otherwise(F.col("trend")).alias("trend"))
 
 
+BETWEEN = "\x1f"  # between the values of a segment's name
+
+
+def segment_report(segments: DataFrame, totals: Column, top_k: int, min_support: float) -> DataFrame:
+    """Key figures of segments (drivers, metric_interest, metric_reference), the ``top_k`` that moved most."""
+    mi, mr = F.col("metric_interest"), F.col("metric_reference")
+    i, r = mi.cast("double"), mr.cast("double")
+    ti, tr = F.col("_total")["i"].cast("double"), F.col("_total")["r"].cast("double")
+    expected = r * F.try_divide(ti - i, tr - r)
+    scored = segments.select("drivers", mi, mr, totals.alias("_total")).select(
+        "drivers", mi, mr, ratio(i - r, r).alias("relative_difference"),
+        (i - F.coalesce(expected, r)).alias("unexpected_difference"),
+        F.greatest(ratio(i, ti), ratio(r, tr)).alias("apriori_support"))
+    return (
+        scored.filter(F.col("apriori_support") >= min_support)
+        .orderBy(F.desc(F.abs("unexpected_difference")), "drivers").limit(top_k)
+        .orderBy(F.desc("relative_difference"), "drivers")
+    )
+
+
+def _metric(df: DataFrame, column: str) -> Column:
+    """The metric as it is if it is a decimal, whose sums do not depend on their order, else as double."""
+    return F.col(column) if isinstance(df.schema[column].dataType, DecimalType) else F.col(column).cast("double")
+
+
+def _named(dimension: str) -> Column:
+    return F.concat(F.lit(f"{dimension}="), F.coalesce(F.col(dimension).cast("string"), F.lit("NULL")))
+
+
 def key_drivers(df: DataFrame, metric_col: str, dimension_cols: Sequence[str], interest_label_col: str,
                 top_k: int = 10, min_support: float = 0.1) -> DataFrame:
     """Segments of one or more dimensions, in all combinations, whose metric moved most.
 
     Facts are reduced to one row per combination of all dimensions before they
     are expanded into grouping sets, so the expansion never touches raw rows.
+    There are 2^d grouping sets; for many dimensions see :func:`supported_drivers`.
     """
-    metric, label = F.col(metric_col).cast("double"), F.col(interest_label_col)
+    metric, label = _metric(df, metric_col), F.col(interest_label_col)
     cells = df.groupBy(*dimension_cols).agg(
-        F.sum(F.when(label, metric).otherwise(0.0)).alias("i"),
-        F.sum(F.when(label, 0.0).otherwise(metric)).alias("r"))
+        F.sum(F.when(label, metric).otherwise(0)).alias("i"), F.sum(F.when(label, 0).otherwise(metric)).alias("r"))
     sets = [[F.col(c) for c in combo] for k in range(1, len(dimension_cols) + 1)
             for combo in itertools.combinations(dimension_cols, k)]
-    named = [F.when(F.grouping(d) == 0,
-                    F.concat(F.lit(f"{d}="), F.coalesce(F.col(d).cast("string"), F.lit("NULL"))))
-             for d in dimension_cols]
+    named = [F.when(F.grouping(d) == 0, _named(d)) for d in dimension_cols]
     grouped = cells.groupingSets(sets, *[F.col(d) for d in dimension_cols]).agg(
         F.array_sort(F.array_compact(F.array(*named))).alias("drivers"),
         F.sum("i").alias("metric_interest"), F.sum("r").alias("metric_reference"))
     totals = cells.agg(F.struct(F.sum("i").alias("i"), F.sum("r").alias("r"))).scalar()
-    mi, mr = F.col("metric_interest"), F.col("metric_reference")
-    ti, tr = F.col("_total")["i"], F.col("_total")["r"]
-    expected = mr * F.try_divide(ti - mi, tr - mr)
-    scored = grouped.select("drivers", mi, mr, totals.alias("_total")).select(
-        "drivers", mi, mr, ratio(mi - mr, mr).alias("relative_difference"),
-        (mi - F.coalesce(expected, mr)).alias("unexpected_difference"),
-        F.greatest(ratio(mi, ti), ratio(mr, tr)).alias("apriori_support"))
-    return (
-        scored.filter(F.col("apriori_support") >= min_support)
-        .orderBy(F.desc(F.abs("unexpected_difference")), "drivers").limit(top_k)
-        .orderBy(F.desc("relative_difference"), "drivers")
-    )
+    return segment_report(grouped, totals, top_k, min_support)
+
+
+def supported_drivers(df: DataFrame, metric_col: str, dimension_cols: Sequence[str], interest_label_col: str,
+                      top_k: int = 10, min_support: float = 0.1) -> DataFrame:
+    """As :func:`key_drivers`, for many dimensions.
+
+    Segments grow by one dimension a level, and only from segments with enough
+    support: what a segment lacks, none inside it has. Support is bounded by the
+    absolute values of the metric, so that negative ones hide nothing. The work
+    of a level is, for each combination of all dimensions, the supported
+    segments it is in, whatever the number of dimensions; of one choice of
+    dimensions, at most 2 / ``min_support`` segments of a metric without
+    negative values are supported.
+    """
+    metric, label = _metric(df, metric_col), F.col(interest_label_col)
+    i, r = F.when(label, metric).otherwise(0), F.when(label, 0).otherwise(metric)
+    sums = {"i": F.sum(i), "r": F.sum(r), "i_all": F.sum(F.abs(i)).cast("double"), "r_all": F.sum(F.abs(r)).cast("double")}
+    cells = cut_lineage(df.groupBy(*dimension_cols).agg(*[v.alias(n) for n, v in sums.items()]))
+    both = cells.agg(F.sum("i").alias("i"), F.sum("r").alias("r"))
+    ti, tr = (abs(float(x or 0)) for x in both.first())
+    # A little less than asked for, as these sums are in doubles; the report decides exactly.
+    enough = F.greatest(F.try_divide(F.sum("i_all"), F.lit(ti)), F.try_divide(F.sum("r_all"), F.lit(tr))) >= min_support * (1 - 1e-9)
+
+    def supported(segments: Column) -> DataFrame:
+        each = cells.select("i_all", "r_all", explode_once(segments).alias("segment")).filter("segment IS NOT NULL")
+        return cut_lineage(each.groupBy("segment").agg(enough.alias("enough")).filter("enough").select("segment"))
+
+    names = F.array(*[_named(d) for d in dimension_cols])
+    level = supported(names)
+    # Cells that agree in their supported values are one.
+    items = F.array_intersect(names, level.agg(F.collect_list("segment")).scalar())
+    cells = cut_lineage(cells.withColumn("items", items).groupBy("items").agg(*[F.sum(c).alias(c) for c in sums])
+                        .withColumn("inside", F.col("items")))
+
+    def onward(segment: Column) -> Column:
+        """The segment with each of the cell's values after its last one."""
+        last = F.array_position("items", F.substring_index(segment, BETWEEN, -1)).cast("int")
+        return F.transform(F.slice("items", last + 1, F.size("items")), lambda value: F.concat(segment, F.lit(BETWEEN), value))
+
+    levels = [cells]
+    for _ in dimension_cols[1:]:
+        longer = F.flatten(F.transform("inside", onward))
+        level = supported(longer)
+        if level.isEmpty():
+            break
+        cells = cut_lineage(cells.withColumn(
+            "inside", F.array_intersect(longer, level.agg(F.collect_list("segment")).scalar())).filter(F.size("inside") > 0))
+        levels.append(cells)
+    each = reduce(DataFrame.union, [c.select("i", "r", F.explode("inside").alias("segment")) for c in levels])
+    segments = each.groupBy("segment").agg(F.sum("i").alias("metric_interest"), F.sum("r").alias("metric_reference")).select(
+        F.array_sort(F.split("segment", BETWEEN)).alias("drivers"), "metric_interest", "metric_reference")
+    totals = both.select(F.struct("i", "r")).scalar()
+    return segment_report(segments, totals, top_k, min_support)
 
 
 def causal_effect(df: DataFrame, data_col: str, timestamp_col: str, intervention: Column,

@@ -194,7 +194,7 @@ _CHAIN_X = x_sql("ts", 1)
     levels AS (SELECT min(ts) AS begin_ts, avg(y) AS level FROM leveled GROUP BY seg),
     jumps AS (SELECT begin_ts, abs(level - lag(level) OVER (ORDER BY begin_ts)) AS jump FROM levels),
     shift AS (SELECT begin_ts AS shift_day FROM jumps ORDER BY jump DESC NULLS LAST, begin_ts LIMIT 1),
-    facts AS (SELECT o_orderpriority, c_mktsegment, o_totalprice, o_orderdate::DATE >= shift_day AS is_after
+    facts AS (SELECT o_orderpriority, c_mktsegment, CAST(o_totalprice AS DECIMAL(18, 2)) AS o_totalprice, o_orderdate::DATE >= shift_day AS is_after
               FROM orders JOIN customer ON c_custkey = o_custkey, shift),
     drivers AS (WITH {drivers_sql("facts", ["o_orderpriority", "c_mktsegment"], "o_totalprice", "is_after", 0.1, 3)}),
     {fit_sql("daily", "k", "revenue", "ts < (SELECT shift_day FROM shift)", 1)},
@@ -218,7 +218,7 @@ def chained_investigation(t: Tables):
     at = F.lit(shift["begin_timestamp"]).cast("date")
     facts = t.orders.join(
         t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey").select(
-        "o_totalprice", "o_orderpriority", "c_mktsegment", (F.col("o_orderdate").cast("date") >= at).alias("after"))
+        F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"), "o_orderpriority", "c_mktsegment", (F.col("o_orderdate").cast("date") >= at).alias("after"))
     drivers = key_drivers(facts, "o_totalprice", ["o_orderpriority", "c_mktsegment"], "after", top_k=3)
     effect = causal_effect(series, "revenue", "ts", at)
     return (

@@ -288,8 +288,45 @@ def ts_seasonality(t: Tables):
                       "revenue", F.round("weekly", 3).alias("weekly"), F.round("yearly", 3).alias("yearly"))
 
 
+JOINT = {"weekly": "dayofweek(ts)", "monthly": "dayofmonth(ts)", "yearly": "month(ts)"}
+
+
+def joint_season_sql(rounds: int) -> str:
+    """``fitted``: (priority, phases, components) after so many rounds of fitting each to what the others leave."""
+    phases = ", ".join(f"{p} AS {name}_phase" for name, p in JOINT.items())
+    keys = ", ".join(f"{name}_phase" for name in JOINT)
+    out = [f"""
+    off AS (SELECT *, {phases}, CASE WHEN count(*) OVER w = 365 THEN revenue - avg(revenue) OVER w END AS off
+            FROM daily WINDOW w AS (PARTITION BY priority ORDER BY ts ROWS BETWEEN 182 PRECEDING AND 182 FOLLOWING)),
+    fit_0 AS (SELECT priority, {keys}, sum(off) AS s, count(off) AS n, {", ".join(f"0.0::DOUBLE AS {c}" for c in JOINT)}
+              FROM off WHERE off IS NOT NULL GROUP BY ALL)"""]
+    steps = [name for _ in range(rounds) for name in JOINT]
+    for i, name in enumerate(steps):
+        others = " + ".join(c for c in JOINT if c != name)
+        same = f"(PARTITION BY priority, {name}_phase)"
+        out.append(f"""
+    mean_{i} AS (SELECT *, sum(s - n * ({others})) OVER {same} / sum(n) OVER {same} AS m, 1.0::DOUBLE / count(*) OVER {same} AS w
+                 FROM fit_{i}),
+    fit_{i + 1} AS (SELECT * EXCLUDE (m, w) REPLACE (m - sum(m * w) OVER (PARTITION BY priority)
+                                                     / sum(w) OVER (PARTITION BY priority) AS {name}) FROM mean_{i})""")
+    return ",".join(out) + f", fitted AS (SELECT * FROM fit_{len(steps)})"
+
+
+@query("ts_joint_seasons", sql=f"""
+    WITH {DAILY_SQL}, {joint_season_sql(5)},
+    {", ".join(f"{c}_s AS (SELECT priority, {c}_phase, first({c}) AS {c} FROM fitted GROUP BY ALL)" for c in JOINT)}
+    SELECT priority, ts::VARCHAR AS ts, {", ".join(f"round({c}, 3) AS {c}" for c in JOINT)},
+           round(off - {" - ".join(JOINT)}, 3) AS remainder
+    FROM off {" ".join(f"LEFT JOIN {c}_s USING (priority, {c}_phase)" for c in JOINT)}""")
+def ts_joint_seasons(t: Tables):
+    """Weekly, monthly and yearly components of daily order value, each fitted to what the others leave."""
+    out = aa.joint_seasonality(daily_orders(t), "revenue", "ts", ["priority"], list(JOINT), rounds=5)
+    return rounded(date_text(out, "ts"), 3, *JOINT, "remainder").select("priority", "ts", *JOINT, "remainder")
+
+
 @query("ts_hourly_season", sql="""
-    WITH present AS (SELECT event_type, date_trunc('hour', ts) AS ts, sum(value) AS total FROM events GROUP BY 1, 2),
+    WITH present AS (SELECT event_type, date_trunc('hour', ts) AS ts, sum(CAST(value AS DECIMAL(18, 2)))::DOUBLE AS total
+                     FROM events GROUP BY 1, 2),
     spine AS (SELECT event_type, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM present GROUP BY 1),
     hourly AS (SELECT s.event_type AS event_type, s.ts AS ts, coalesce(total, 0) AS total, total IS NULL AS is_filled
                FROM spine s LEFT JOIN present p ON p.event_type = s.event_type AND p.ts = s.ts),
@@ -298,15 +335,20 @@ def ts_seasonality(t: Tables):
     phases AS (SELECT event_type, phase, avg(off) AS m FROM off GROUP BY 1, 2),
     season AS (SELECT event_type, phase, m - avg(m) OVER (PARTITION BY event_type) AS daily FROM phases)
     SELECT o.event_type AS event_type, strftime(ts, '%Y-%m-%d %H') AS hour, round(total, 4) AS total, is_filled,
-           round(daily, 4) AS daily
+           round(daily, 9) AS daily
     FROM off o JOIN season s ON s.event_type = o.event_type AND s.phase = o.phase""")
 def ts_hourly_season(t: Tables):
-    """Hourly totals per event type, gaps filled, with their within-day component."""
-    hourly = ts.bucket_series(t.events, F.col("ts"), "hour", {"total": F.sum("value")}, ["event_type"])
+    """Hourly totals per event type, gaps filled, with their within-day component.
+
+    Values have two digits and are summed as decimals, so that nothing depends on
+    their order; the component is reported at a digit that means of them do not end on.
+    """
+    value = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
+    hourly = ts.bucket_series(t.events, F.col("ts"), "hour", {"total": value}, ["event_type"])
     filled = ts.regularize(hourly, "ts", ["total"], ["event_type"], step="1 hour")
     out = aa.seasonality(filled, "total", "ts", ["event_type"], ["daily"])
     return out.select("event_type", F.date_format("ts", "yyyy-MM-dd HH").alias("hour"),
-                      F.round("total", 4).alias("total"), "is_filled", F.round("daily", 4).alias("daily"))
+                      F.round("total", 4).alias("total"), "is_filled", F.round("daily", 9).alias("daily"))
 
 
 @query("ts_trend", sql=f"""
@@ -333,7 +375,7 @@ def ts_trend(t: Tables):
 DRIVER_FACTS_SQL = """
   facts AS (
     SELECT p_brand AS brand, c_mktsegment AS segment, r_name AS region,
-           l_extendedprice * (1 - l_discount) AS refund,
+           CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4)) AS refund,
            l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1999-01-01' AS in_window
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
       JOIN part ON p_partkey = l_partkey JOIN nation ON n_nationkey = c_nationkey
@@ -353,14 +395,15 @@ def drivers_sql(source: str, dims: list[str], metric: str, label: str, support:
                  mi - coalesce(mr * ((ti - mi) / nullif(tr - mr, 0)), mr) AS unexpected,
                  greatest(mi / nullif(ti, 0), mr / nullif(tr, 0)) AS support FROM sums, totals),
     best AS (SELECT * FROM scored WHERE support >= {support} ORDER BY abs(unexpected) DESC, drivers LIMIT {top})
-    SELECT array_to_string(drivers, ' & ') AS drivers, round(mi, 3) AS metric_interest,
-           round(mr, 3) AS metric_reference, round(rel, 6) AS relative_difference,
+    SELECT array_to_string(drivers, ' & ') AS drivers, round(mi, 4)::DOUBLE AS metric_interest,
+           round(mr, 4)::DOUBLE AS metric_reference, round(rel, 6) AS relative_difference,
            round(unexpected, 3) AS unexpected_difference, round(support, 6) AS apriori_support FROM best"""
 
 
 def driver_report(out: DataFrame) -> DataFrame:
     out = out.withColumn("drivers", F.array_join("drivers", " & "))
-    out = rounded(out, 3, "metric_interest", "metric_reference", "unexpected_difference")
+    out = rounded(rounded(out, 4, "metric_interest", "metric_reference"), 3, "unexpected_difference")
+    out = out.withColumns({c: F.col(c).cast("double") for c in ("metric_interest", "metric_reference")})
     return rounded(out, 6, "relative_difference", "apriori_support")
 
 
@@ -373,7 +416,8 @@ def key_drivers(t: Tables):
     facts = (
         t.lineitem.filter("l_returnflag = 'R'").select(
             F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"),
-            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("refund"), in_window.alias("in_window"))
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("refund"),
+            in_window.alias("in_window"))
         .join(t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")), "o_orderkey")
         .join(t.customer.select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("segment")), "c_custkey")
         .join(t.part.select("p_partkey", F.col("p_brand").alias("brand")), "p_partkey")
@@ -409,6 +453,74 @@ def station_key_drivers(t: Tables):
                                         top_k=5, min_support=0.1))
 
 
+WIDE_DIMENSIONS = {
+    "brand": "p_brand", "kind": "p_type", "size": "floor((p_size - 1) / 10)::INT", "segment": "c_mktsegment",
+    "region": "r_name", "priority": "o_orderpriority", "status": "o_orderstatus", "balance": "floor(c_acctbal / 2500)::INT",
+    "line": "l_linestatus", "discount": "floor(l_discount * 100 + 0.5)::INT", "tax": "floor(l_tax * 100 + 0.5)::INT",
+    "quarter": "quarter(l_shipdate)",
+}
+
+
+def supported_sql(support: float, top: int) -> str:
+    """The drivers among all supported segments of ``facts``, grown item by item in every row."""
+    sums = "sum(i) OVER (PARTITION BY {0}) AS mi, sum(r) OVER (PARTITION BY {0}) AS mr"
+    enough = f"greatest(mi / ti, mr / tr) >= {support}"
+    pairs = ", ".join(f"{{'d': {i}, 'name': '{name}=' || {name}}}" for i, name in enumerate(WIDE_DIMENSIONS))
+    return f"""
+    cells AS (SELECT row_number() OVER () AS cell, * FROM (
+      SELECT {", ".join(WIDE_DIMENSIONS)}, sum(CASE WHEN in_window THEN refund ELSE 0 END) AS i,
+             sum(CASE WHEN in_window THEN 0 ELSE refund END) AS r FROM facts GROUP BY ALL)),
+    totals AS (SELECT sum(i) AS ti, sum(r) AS tr FROM cells),
+    items AS (SELECT cell, x.d AS d, x.name AS name, i, r FROM (SELECT cell, i, r, unnest([{pairs}]) AS x FROM cells)),
+    inside(cell, segment, d, i, r) AS (
+      SELECT cell, [name], d, i, r FROM (SELECT *, {sums.format("name")} FROM items), totals WHERE {enough}
+      UNION ALL
+      SELECT cell, segment, d, i, r FROM (
+        SELECT *, {sums.format("segment")} FROM (
+          SELECT n.cell AS cell, list_append(n.segment, it.name) AS segment, it.d AS d, n.i AS i, n.r AS r
+          FROM inside n JOIN items it ON it.cell = n.cell AND it.d > n.d)), totals WHERE {enough}),
+    sums AS (SELECT list_sort(segment) AS drivers, sum(i) AS mi, sum(r) AS mr FROM inside GROUP BY segment),
+    scored AS (SELECT drivers, mi, mr, (mi - mr) / nullif(mr, 0) AS rel,
+                 mi - coalesce(mr * ((ti - mi) / nullif(tr - mr, 0)), mr) AS unexpected,
+                 greatest(mi / nullif(ti, 0), mr / nullif(tr, 0)) AS support FROM sums, totals)
+    SELECT array_to_string(drivers, ' & ') AS drivers, round(mi, 4)::DOUBLE AS metric_interest,
+           round(mr, 4)::DOUBLE AS metric_reference, round(rel, 6) AS relative_difference,
+           round(unexpected, 3) AS unexpected_difference, round(support, 6) AS apriori_support
+    FROM scored ORDER BY abs(unexpected) DESC, drivers LIMIT {top}"""
+
+
+@query("wide_key_drivers", sql=f"""
+    WITH RECURSIVE facts AS (
+      SELECT {", ".join(f"{e} AS {name}" for name, e in WIDE_DIMENSIONS.items())},
+             CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4)) AS refund,
+             l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1999-01-01' AS in_window
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
+        JOIN part ON p_partkey = l_partkey JOIN nation ON n_nationkey = c_nationkey
+        JOIN region ON r_regionkey = n_regionkey WHERE l_returnflag = 'R'),
+    {supported_sql(0.1, 20)}""")
+def wide_key_drivers(t: Tables):
+    """Segments of twelve dimensions whose refunds of one year differ most from the other years."""
+    ship = F.col("l_shipdate")
+    in_window = (ship >= F.lit("1998-01-01").cast("timestamp_ntz")) & (ship < F.lit("1999-01-01").cast("timestamp_ntz"))
+    percent = {name: F.floor(F.col(f"l_{name}") * 100 + 0.5).cast("int").alias(name) for name in ("discount", "tax")}
+    facts = (
+        t.lineitem.filter("l_returnflag = 'R'").select(
+            "l_orderkey", "l_partkey", F.col("l_linestatus").alias("line"),
+            *percent.values(), F.quarter(ship).alias("quarter"), in_window.alias("in_window"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("refund"))
+        .join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"),
+                              F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status")), "l_orderkey")
+        .join(t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"), F.col("c_mktsegment").alias("segment"),
+                                F.floor(F.col("c_acctbal") / 2500).cast("int").alias("balance")), "c_custkey")
+        .join(t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"),
+                            F.col("p_type").alias("kind"),
+                            F.floor((F.col("p_size") - 1) / 10).cast("int").alias("size")), "l_partkey")
+        .join(t.nation.select("n_nationkey", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey")
+        .join(t.region.select("r_regionkey", F.col("r_name").alias("region")), "r_regionkey")
+    )
+    return driver_report(aa.supported_drivers(facts, "refund", list(WIDE_DIMENSIONS), "in_window", top_k=20, min_support=0.1))
+
+
 CUTOFF = "2000-01-01"
 
 
