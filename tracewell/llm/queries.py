@@ -35,7 +35,7 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity of every document by class-conditional Kneser-Ney models."""
+    """Toxicity of every document by words and word pairs, smoothed as by Kneser-Ney."""
     prepare(spark)
     return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
