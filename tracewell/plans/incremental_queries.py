@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracewell.operators.augmented import causal_effect, detect_change_points, key_drivers
 from tracewell.operators.relational import pending, priority_batch
 from tracewell.operators.timeseries import bucket_series, regularize
-from tracewell.plans.registry import query
+from tracewell.plans.registry import ORACLES, query
 from tracewell.plans.series_queries import drivers_sql, fit_sql, segments_sql, x_sql
 from tracewell.plans.text_queries import RUBRIC, SCORE_SQL, documents
 from tracewell.session import cut_lineage, new_path
@@ -16,31 +16,35 @@ from tracewell.sources.tables import Tables, TableStore
 from tracewell.streaming.incremental import (
     RETRYABLE, current_state, monitor, score_new_files, score_pending,
 )
+from tracewell.streaming.sessions import run_sessions, sessions_of, stored_sessions
 from tracewell.streaming.windows import drain, sessions, windowed
 
 
-FIRST_LIMIT = 1000  # characters a first pass takes; each further pass takes twice as many
+# What a pass takes from a text, ever wider: a closed line, a closed sentence, a line from its first word on.
+EXCERPTS = (r"(?:^|\n)[A-Z][^\n]*[.](?:\n|\z)", r"[A-Z][^\n.]*[.]", r"[a-zA-Z]{2}[^\n]*")
 
 
-def bounded_score(rows: DataFrame, number: int) -> DataFrame:
-    """Rubric scores of texts up to a length that doubles with each pass.
+def excerpt_score(rows: DataFrame, number: int) -> DataFrame:
+    """Rubric scores of what the pass's pattern finds in each text.
 
-    A longer text is put off to a later pass; one without a word never scores.
+    A text without it is put off to the next pass, whose pattern is wider; one
+    without a word never scores.
     """
-    text = F.col("text")
-    status = (F.when(~F.coalesce(F.regexp_like(text, F.lit("[a-zA-Z]{2}")), F.lit(False)), "invalid input")
-              .when(F.length(text) > FIRST_LIMIT * 2 ** (number - 1), f"{RETRYABLE}: pass {number}").otherwise(""))
-    return rows.select("doc_id", status.alias("status"), RUBRIC.score(text).alias("score")).select(
+    found = F.regexp_extract("text", EXCERPTS[min(number, len(EXCERPTS)) - 1], 0)
+    status = (F.when(~F.coalesce(F.regexp_like(F.col("text"), F.lit("[a-zA-Z]{2}")), F.lit(False)), "invalid input")
+              .when(F.col("excerpt") == "", f"{RETRYABLE}: pass {number}").otherwise(""))
+    return rows.select("doc_id", "text", found.alias("excerpt")).select(
+        "doc_id", status.alias("status"), RUBRIC.score(F.col("excerpt")).alias("score")).select(
         "doc_id", "status", F.when(F.col("status") == "", F.col("score")).alias("result"))
 
 
 OUTCOME_SQL = """
     CASE WHEN NOT coalesce(regexp_matches(text, '[a-zA-Z]{{2}}'), false) THEN 'invalid input'
-         WHEN length(text) > {limit} THEN 'A retryable error occurred: pass {p}' ELSE '' END"""
+         WHEN regexp_extract(text, '{pattern}') = '' THEN 'A retryable error occurred: pass {p}' ELSE '' END"""
 
 
 def outcome_sql(number: int) -> str:
-    return OUTCOME_SQL.format(p=number, limit=FIRST_LIMIT * 2 ** (number - 1))
+    return OUTCOME_SQL.format(p=number, pattern=EXCERPTS[number - 1])
 
 
 @query("retry_failed_rows", sql=f"""
@@ -48,12 +52,14 @@ def outcome_sql(number: int) -> str:
     p2 AS (SELECT * REPLACE (CASE WHEN status LIKE '%A retryable%' THEN 2 ELSE last_pass END AS last_pass,
              CASE WHEN status LIKE '%A retryable%' THEN {outcome_sql(2)} ELSE status END AS status) FROM p1),
     p3 AS (SELECT * REPLACE (CASE WHEN status LIKE '%A retryable%' THEN 3 ELSE last_pass END AS last_pass,
-             CASE WHEN status LIKE '%A retryable%' THEN {outcome_sql(3)} ELSE status END AS status) FROM p2)
-    SELECT doc_id, last_pass, status, CASE WHEN status = '' THEN {SCORE_SQL} END AS result FROM p3""")
+             CASE WHEN status LIKE '%A retryable%' THEN {outcome_sql(3)} ELSE status END AS status) FROM p2),
+    taken AS (SELECT doc_id, last_pass, status, CASE last_pass {" ".join(
+        f"WHEN {i} THEN regexp_extract(text, '{p}')" for i, p in enumerate(EXCERPTS, 1))} END AS text FROM p3)
+    SELECT doc_id, last_pass, status, CASE WHEN status = '' THEN {SCORE_SQL} END AS result FROM taken""")
 def retry_failed_rows(t: Tables):
-    """All documents scored with up to three passes; only retryable failures are repeated."""
+    """All documents scored with up to three passes; only those whose pattern found nothing are repeated."""
     store = TableStore(t.spark, new_path(t.spark, "retry"))
-    score_pending(documents(t), "doc_id", bounded_score, store, "scored", max_attempts=3)
+    score_pending(documents(t), "doc_id", excerpt_score, store, "scored", max_attempts=len(EXCERPTS))
     return current_state(store.read("scored"), "doc_id").select(
         "doc_id", F.col("pass").alias("last_pass"), "status", "result")
 
@@ -86,7 +92,7 @@ def incremental_score(t: Tables):
     FROM documents o LEFT JOIN s ON s.doc_id = o.doc_id""")
 def status_monitor(t: Tables):
     """How far scoring has come when one language is still waiting."""
-    scored = bounded_score(documents(t, "lang").filter("lang <> 'es'"), 1)
+    scored = excerpt_score(documents(t, "lang").filter("lang <> 'es'"), 1)
     return monitor(t.documents, scored, "doc_id")
 
 
@@ -183,6 +189,28 @@ def stream_session(t: Tables):
                              ["window_start", "window_end", "user_id"], mode="complete"))
 
 
+@query("stream_late_sessions", sql=ORACLES["stream_session"])
+def stream_late_sessions(t: Tables):
+    """The sessions of ``stream_session`` when a fifth of the events come after all others.
+
+    By the second run the watermark has passed nearly all sessions: they are
+    closed and gone from the state, and what comes late is joined to them.
+    """
+    store = TableStore(t.spark, new_path(t.spark, "late-sessions"))
+    late = F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0
+    for name, rows in (("first", t.events.filter(~late)), ("late", t.events.filter(late))):
+        rows.write.parquet(store.path(f"arrived/{name}"))
+        stream = (t.spark.readStream.schema(t.events.schema).option("recursiveFileLookup", "true")
+                  .option("maxFilesPerTrigger", 64).parquet(store.path("arrived")))
+        found = sessions_of(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", 2 * 3600,
+                            {"user_id": "bigint"}, [F.round(F.col("value") * 100)])
+        run_sessions(found, store, "sessions", store.path("checkpoint"))
+    rows = stored_sessions(store, "sessions", ["user_id"])
+    return window_text(rows.select(
+        F.col("start").alias("window_start"), F.col("stop").alias("window_end"), "user_id", "n",
+        F.round(F.col("sums")[0] / 100, 2).alias("value")))
+
+
 _CHAIN_X = x_sql("ts", 1)
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.columns import ERF_A, ERF_P, normal_half_width
+from tracewell.functions.table_sql import register_table_functions
 from tracewell.operators import augmented as aa
 from tracewell.operators import timeseries as ts
 from tracewell.plans.graph_queries import STATS_SQL, customer_stats
-from tracewell.plans.registry import query
+from tracewell.plans.registry import ORACLES, query
 from tracewell.sources.tables import Tables
 
 WEEKLY_SQL = """
@@ -213,6 +214,33 @@ def ts_anomalies(t: Tables):
     return rounded(out, 6, "anomaly_probability")
 
 
+@query("sql_forecast", sql=ORACLES["ts_forecast"])
+def sql_forecast(t: Tables):
+    """The forecast of ``ts_forecast``, called from SQL as a table function."""
+    register_table_functions(t.spark)
+    weekly_revenue(t).filter("ts < date '2001-06-01'").createOrReplaceTempView("weekly_history")
+    return t.spark.sql("""
+        SELECT flag, CAST(forecast_timestamp AS STRING) AS forecast_timestamp, round(forecast_value, 3) AS forecast_value,
+               round(prediction_interval_lower_bound, 3) AS prediction_interval_lower_bound,
+               round(prediction_interval_upper_bound, 3) AS prediction_interval_upper_bound
+        FROM forecast(TABLE(weekly_history) PARTITION BY flag, data_col => 'revenue', timestamp_col => 'ts',
+                      id_cols => 'flag', horizon => 8, step_days => 7)""")
+
+
+@query("sql_anomalies", sql=ORACLES["ts_anomalies"])
+def sql_anomalies(t: Tables):
+    """The anomalies of ``ts_anomalies``, called from SQL as a table function."""
+    register_table_functions(t.spark)
+    weekly_revenue(t).createOrReplaceTempView("weekly_all")
+    return t.spark.sql("""
+        SELECT flag, CAST(time_series_timestamp AS STRING) AS time_series_timestamp, time_series_data,
+               round(lower_bound, 3) AS lower_bound, round(upper_bound, 3) AS upper_bound,
+               round(anomaly_probability, 6) AS anomaly_probability, is_anomaly
+        FROM detect_anomalies(TABLE(weekly_all) PARTITION BY flag, data_col => 'revenue', timestamp_col => 'ts',
+                              id_cols => 'flag', inspect_from => '2000-01-01', inspect_to => '2001-12-31',
+                              step_days => 7, anomaly_prob_threshold => 0.80D)""")
+
+
 @query("ts_evaluate", sql=f"""
     WITH {WEEKLY_SQL}, {fit_sql("weekly", "flag", "revenue", "ts < DATE '2000-06-01'", 7)},
     pairs AS (SELECT flag, revenue AS y, a + b * {x_sql("ts", 7)} AS g FROM weekly JOIN fit USING (flag)
