@@ -119,3 +119,13 @@ def test_table_store(spark, store):
     store.append("t", rows)
     assert spark.sql("SELECT * EXCEPT (name) FROM v").columns == ["id"]
     assert store.replace("t", rows).count() == 2
+
+
+def test_arrivals_are_dated_today_unless_told(spark, sf_dir):
+    from tracewell.plans.incremental_queries import arrivals
+    from tracewell.sources.tables import Tables
+
+    before = spark.sql("SELECT CAST(current_date() AS STRING)").first()[0]
+    dates = {r.return_date for r in arrivals(Tables(spark, sf_dir)).collect()}
+    after = spark.sql("SELECT CAST(current_date() AS STRING)").first()[0]
+    assert len(dates) == 1 and dates <= {before, after}

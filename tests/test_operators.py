@@ -466,3 +466,10 @@ def test_explode_parts(spark):
     circle = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "whole string, part string, quantity long")
     with pytest.raises(ValueError):
         explode_parts(circle, spark.createDataFrame([("a",)], "root string"))
+
+
+def test_texts_without_words_are_no_near_duplicates(spark):
+    texts = ["123", "456 789", "", "", None, "one two three", "one two three", "One, two three!"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {(r["id"], r["original"]) for r in tx.near_duplicate_groups(df, "id", "text", 0.8).toDF("id", "original").collect()}
+    assert got == {(5, 5), (6, 5), (7, 5)}

@@ -209,7 +209,8 @@ def semantic_join(t: Tables):
 
 
 @query("near_duplicate_pairs", sql=r"""
-    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS w FROM documents),
+    WITH RECURSIVE all_words AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS w FROM documents),
+    w AS (SELECT * FROM all_words WHERE len(w) > 0),
     s AS (SELECT doc_id, unnest(list_distinct([array_to_string(w[i:i + 4], ' ')
             for i in generate_series(1, greatest(1, len(w) - 4))])) AS shingle FROM w),
     size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
