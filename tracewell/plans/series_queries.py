@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.functions.columns import ERF_A, ERF_P, normal_half_width
 from tracewell.functions.table_sql import register_table_functions
 from tracewell.operators import augmented as aa
 from tracewell.operators import timeseries as ts
+from tracewell.operators.covariates import forecast_jointly
 from tracewell.plans.graph_queries import STATS_SQL, customer_stats
 from tracewell.plans.registry import ORACLES, query
 from tracewell.sources.tables import Tables
@@ -194,6 +195,36 @@ def ts_forecast_cov(t: Tables):
         F.round(f"mean_value.{upper}", 5).alias("mean_value_upper"))
 
 
+@query("ts_forecast_joint", sql=f"""
+    WITH {EVENTS_SQL},
+    r AS (SELECT day, datediff('day', DATE '1970-01-04', day)::DOUBLE AS x, lag(total, 5) OVER (ORDER BY day) AS p,
+                 mean_value AS f, CASE WHEN day <= max(day) OVER () - 5 THEN errors END AS y FROM quality),
+    m AS (SELECT count(*) AS n, avg(x) AS mx, avg(p) AS mp, avg(f) AS mf, avg(y) AS my FROM r WHERE p + f + y IS NOT NULL),
+    c AS (SELECT day, x - mx AS x, p - mp AS p, f - mf AS f, y - my AS y, my, n FROM r, m),
+    s AS (SELECT sum(x * x) AS xx, sum(x * p) AS xp, sum(x * f) AS xf, sum(p * p) AS pp, sum(p * f) AS pf, sum(f * f) AS ff,
+                 sum(x * y) AS xy, sum(p * y) AS py, sum(f * y) AS fy, sum(y * y) AS yy FROM c WHERE p + f + y IS NOT NULL),
+    d AS (SELECT *, xx * (pp * ff - pf * pf) - xp * (xp * ff - pf * xf) + xf * (xp * pf - pp * xf) AS det FROM s),
+    i AS (SELECT *, (pp * ff - pf * pf) / det AS a, (xf * pf - xp * ff) / det AS b, (xp * pf - xf * pp) / det AS e,
+                 (xx * ff - xf * xf) / det AS g, (xp * xf - xx * pf) / det AS h, (xx * pp - xp * xp) / det AS k FROM d),
+    o AS (SELECT *, a * xy + b * py + e * fy AS bx, b * xy + g * py + h * fy AS bp, e * xy + h * py + k * fy AS bf FROM i),
+    v AS (SELECT day, my + bx * x + bp * p + bf * f AS value,
+                 {Z95!r} * sqrt((yy - bx * xy - bp * py - bf * fy) / (n - 4))
+                 * sqrt(1 + 1.0 / n + a * x * x + g * p * p + k * f * f + 2 * (b * x * p + e * x * f + h * p * f)) AS half
+          FROM c, o WHERE y IS NULL)
+    SELECT day::VARCHAR AS day, round(value, 5) AS errors, round(value - half, 5) AS errors_lower,
+           round(value + half, 5) AS errors_upper FROM v""")
+def ts_forecast_joint(t: Tables):
+    """Errors of the last five days from all events five days before and that day's mean value, fitted together."""
+    days = daily_events(t)
+    last = F.max("day").over(Window.partitionBy())
+    known = days.withColumn("errors", F.when(F.col("day") <= F.date_sub(last, 5), F.col("errors")))
+    out = forecast_jointly(known, "errors", "day", 5, past_cols=["total"], future_cols=["mean_value"])
+    return out.select(
+        F.col("forecast_timestamp").cast("string").alias("day"), F.round("forecast_value", 5).alias("errors"),
+        F.round("prediction_interval_lower_bound", 5).alias("errors_lower"),
+        F.round("prediction_interval_upper_bound", 5).alias("errors_upper"))
+
+
 Z80 = normal_half_width(0.80)
 
 
