@@ -1,7 +1,10 @@
-"""Serve unlabelled rows from a small model counted on a labelled sample."""
+"""Serve unlabelled rows from a small model of a labelled sample: counted over words, or fitted over vectors."""
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,3 +58,49 @@ def classify(df: DataFrame, key: str, text: str, labels: DataFrame, *, min_agree
         return marked.select(key, F.col("label").alias("prediction"), served.otherwise("unlabelled").alias("served_by"))
     return marked.join(model, key, "left").select(
         key, F.coalesce("label", "_model").alias("prediction"), served.otherwise("model").alias("served_by"))
+
+
+def classify_vectors(df: DataFrame, key: str, vector: str, labels: DataFrame, *, min_agreement: float = 0.7,
+                     holdout_percent: int = 20, iterations: int = 50) -> DataFrame:
+    """(key, prediction, served_by) for every row, from a model fitted on the vectors.
+
+    As ``classify``, with logistic regression over the array ``vector``: labels
+    (key, label) stay, a part of them, by hash of the key, is held out, and when
+    the model agrees with less than ``min_agreement`` of it, or there is none, or
+    the others show fewer than two labels, unlabelled rows get NULL. So do rows
+    whose vector is NULL, holds a NULL or is not finite, or is not as long as the
+    most frequent length (of equal ones the longest) of the labelled. The fit is
+    one pass of sums over the labelled rows per iteration. Predictions are strings
+    read back in the label's type; a key must be unique.
+    """
+    kind = labels.schema["label"].dataType
+    held = md5_bucket(100, F.col(key).cast("string")) < holdout_percent
+    values = F.col(vector).cast("array<double>")
+    usable = F.coalesce(F.forall(values, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
+    marked = cut_lineage(
+        df.select(key, F.when(usable & (F.size(values) > 0), values).alias("_values"))
+        .join(labels.filter("label IS NOT NULL").select(key, F.col("label").cast("string").alias("_label")), key, "left")
+        .withColumn("_held", held))
+    served = F.when(F.col("_label").isNotNull(), "labeller")
+    refused = marked.select(key, F.col("_label").cast(kind).alias("prediction"),
+                            served.otherwise("unlabelled").alias("served_by"))
+    sizes = marked.filter("_label IS NOT NULL AND _values IS NOT NULL").groupBy(F.size("_values").alias("n")).agg(
+        F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), F.desc("n")).first()
+    if sizes is None:
+        return refused
+    ready = marked.filter(F.size("_values") == sizes["n"]).withColumn("_vector", array_to_vector("_values"))
+    fitted = ready.filter("_label IS NOT NULL AND NOT _held")
+    if fitted.select("_label").distinct().limit(2).count() < 2:
+        return refused
+    index = StringIndexer(inputCol="_label", outputCol="_index", stringOrderType="alphabetAsc").fit(fitted)
+    model = LogisticRegression(featuresCol="_vector", labelCol="_index", predictionCol="_guess", probabilityCol="",
+                               rawPredictionCol="", maxIter=iterations, regParam=1e-3).fit(index.transform(fitted))
+    named = IndexToString(inputCol="_guess", outputCol="_model", labels=index.labels)
+    guesses = cut_lineage(named.transform(model.transform(ready.filter("_label IS NULL OR _held"))).select(key, "_model"))
+    checked = marked.filter("_held AND _label IS NOT NULL").join(guesses, key)
+    agreement = checked.agg(F.avg((F.col("_model") == F.col("_label")).cast("double"))).first()[0]
+    if agreement is None or agreement < min_agreement:
+        return refused
+    served = served.when(F.col("_model").isNotNull(), "model").otherwise("unlabelled")
+    return marked.join(guesses, key, "left").select(
+        key, F.coalesce("_label", "_model").cast(kind).alias("prediction"), served.alias("served_by"))

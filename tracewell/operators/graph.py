@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.functions.columns import number_list_text
+from tracewell.operators.parts import part_levels, reached_uses
 from tracewell.operators.relational import global_row_number, top_n_per_key
 from tracewell.session import cut_lineage
 
@@ -129,10 +130,12 @@ def top_shared_pairs(links: DataFrame, limit: int, probe_degree: int = 1000) ->
 
     1. A lower bound t for the last reported count, from neighbouring members
        of entities with at most ``probe_degree`` members (linear work).
-    2. A pair sharing t entities (at least two) must share one outside each
-       side's t-1 most popular ones (prefix filter), so an entity that a third
-       of the members use forms no pairs.
-    3. Exact counts for the candidates, probing from the smaller side.
+    2. Entities with more members are hot. A pair that shares t entities (two or
+       more), any of them not hot, must share one that is not hot outside each
+       side's t-1 most popular ones (prefix filter). Counts are exact, probing
+       from the smaller side.
+    3. Pairs that share hot entities only: members with equal hot sets are one
+       class, and pairs of classes are searched instead (``_hot_pairs``).
     4. Room left in the report goes to the first pairs that share one entity.
     """
     edges = cut_lineage(links.distinct())
@@ -141,17 +144,14 @@ def top_shared_pairs(links: DataFrame, limit: int, probe_degree: int = 1000) ->
     size = edges.groupBy("member").agg(F.count(F.lit(1)).alias("size"))
     edges = cut_lineage(edges.join(size, "member"))
 
-    next_member = F.lead("member").over(Window.partitionBy(*ENTITY).orderBy("member"))
-    neighbours = (
-        edges.filter(F.col("degree") <= probe_degree)
-        .select(F.col("member").alias("a"), next_member.alias("b")).filter("b IS NOT NULL")
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n")).limit(limit)
-        .agg(F.count(F.lit(1)).alias("pairs"), F.min("n").alias("bound")).first()
-    )
-    bound = neighbours["bound"] if neighbours["pairs"] == limit else 1
+    bound = _probe(edges, limit, probe_degree)
     order = [F.desc("shared_entities"), F.asc("a"), F.asc("b")]
-    several = _pairs_sharing(edges, max(bound, 2)).orderBy(*order).limit(limit)
+    least = max(bound, 2)
+    several, hot = _pairs_sharing(edges, least, probe_degree), edges.filter(F.col("degree") > probe_degree)
+    if not hot.isEmpty():
+        several = several.unionByName(_hot_pairs(hot, least, limit, probe_degree)).groupBy("a", "b").agg(
+            F.max("shared_entities").alias("shared_entities"))
+    several = several.orderBy(*order).limit(limit)
     if bound >= 2:
         return several
     several = cut_lineage(several)
@@ -162,13 +162,31 @@ def top_shared_pairs(links: DataFrame, limit: int, probe_degree: int = 1000) ->
     return several.unionByName(single).orderBy(*order).limit(limit)
 
 
-def _pairs_sharing(edges: DataFrame, least: int) -> DataFrame:
-    """All pairs sharing at least ``least`` (two or more) entities, with the exact count."""
+def _probe(edges: DataFrame, limit: int, most: int) -> int:
+    """A count that ``limit`` pairs reach, 1 if unknown: pairs of neighbours in entities of ``most`` members or fewer."""
+    next_member = F.lead("member").over(Window.partitionBy(*ENTITY).orderBy("member"))
+    best = (
+        edges.filter(F.col("degree") <= most)
+        .select(F.col("member").alias("a"), next_member.alias("b")).filter("b IS NOT NULL")
+        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc("n")).limit(limit)
+        .agg(F.count(F.lit(1)).alias("pairs"), F.min("n").alias("bound")).first()
+    )
+    return best["bound"] if best["pairs"] == limit else 1
+
+
+def _pairs_sharing(edges: DataFrame, least: int, most: int | None = None) -> DataFrame:
+    """Pairs sharing at least ``least`` (two or more) entities, with the exact count.
+
+    ``most`` leaves out pairs that share only entities of more members than that.
+    """
     rest = edges.filter(F.col("size") >= least)
     popular = top_n_per_key(
         rest, ["member"], [F.desc("degree"), F.asc("entity_type"), F.asc("entity_id")],
         least - 1, "_rank").select(*ENTITY, "member")
     rest = rest.join(popular, [*ENTITY, "member"], "left_anti")
+    if most is not None:
+        rest = rest.filter(F.col("degree") <= most)
     a = rest.select(*ENTITY, F.col("member").alias("a"), F.col("size").alias("size_a"))
     b = rest.select(*ENTITY, F.col("member").alias("b"), F.col("size").alias("size_b"))
     candidates = (
@@ -187,6 +205,56 @@ def _pairs_sharing(edges: DataFrame, least: int) -> DataFrame:
     )
 
 
+def _hot_pairs(hot: DataFrame, least: int, limit: int, probe_degree: int) -> DataFrame:
+    """First ``limit`` pairs by hot entities shared (``least`` or more), then a, b.
+
+    Members with equal hot sets, compared by size and two 64-bit XOR
+    fingerprints, are interchangeable and form a class, named by its smallest
+    member. Classes with many members give a bound for the pairs of classes
+    worth finding. Every pair of classes holds a lowest pair of members, so the
+    first ``limit`` pairs of classes are enough, and of each class its first
+    ``limit + 1`` members.
+    """
+    key = ["size", "f1", "f2"]
+    sets = cut_lineage(
+        hot.groupBy("member").agg(
+            F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64(*ENTITY)).alias("f1"),
+            F.bit_xor(F.xxhash64(F.lit("second"), *ENTITY)).alias("f2"))
+        .filter(F.col("size") >= least))
+    classes = cut_lineage(sets.groupBy(*key).agg(
+        F.min("member").alias("class"), F.count(F.lit(1)).alias("members")))
+    grown = (
+        classes.filter("members > 1").orderBy(F.desc("size"), F.desc("members")).limit(limit)
+        .withColumn("pairs", F.sum(F.col("members") * (F.col("members") - 1) / 2).over(
+            Window.orderBy(F.desc("size"), F.desc("members"), "class").rowsBetween(Window.unboundedPreceding, 0)))
+        .filter(F.col("pairs") >= limit).agg(F.max("size")).first()[0])
+    of_class = hot.select(*ENTITY, F.col("member").alias("class")).join(classes.select("class", "size"), "class")
+    degree = of_class.groupBy(*ENTITY).agg(F.count(F.lit(1)).alias("degree"))
+    class_edges = cut_lineage(of_class.join(degree, ENTITY).select(
+        *ENTITY, F.col("class").alias("member"), "size", "degree"))
+    least = max(least, grown or 0, _probe(class_edges, limit, probe_degree))
+
+    members = sets.join(classes, key).select("class", "member")
+    second = members.filter("member <> class").groupBy("class").agg(F.min("member").alias("second"))
+    inside = classes.filter((F.col("members") > 1) & (F.col("size") >= least)).join(second, "class").select(
+        F.col("class").alias("x"), F.col("class").alias("y"), F.col("size").alias("shared_entities"),
+        F.col("second"))
+    across = _pairs_sharing(class_edges, least).select(
+        F.col("a").alias("x"), F.col("b").alias("y"), "shared_entities", F.col("b").alias("second"))
+    chosen = cut_lineage(inside.unionByName(across).orderBy(
+        F.desc("shared_entities"), "x", "second").limit(limit).drop("second"))
+    named = chosen.select(F.explode(F.array("x", "y")).alias("class")).distinct()
+    low = cut_lineage(top_n_per_key(
+        members.join(named, "class", "left_semi"), ["class"], [F.asc("member")], limit + 1, "_rank"))
+    left = low.select(F.col("class").alias("x"), F.col("member").alias("m"))
+    right = low.select(F.col("class").alias("y"), F.col("member").alias("n"))
+    return (
+        chosen.join(left, "x").join(right, "y").filter("x <> y OR m < n")
+        .select(F.least("m", "n").alias("a"), F.greatest("m", "n").alias("b"), "shared_entities")
+        .orderBy(F.desc("shared_entities"), "a", "b").limit(limit)
+    )
+
+
 def _first_pairs(edges: DataFrame, n: int) -> DataFrame:
     """The first ``n`` distinct pairs (a, b) that share an entity, in order of a, b.
 
@@ -295,10 +363,11 @@ def explode_parts(uses: DataFrame, roots: DataFrame) -> DataFrame:
 
     ``uses`` has (whole, part, quantity), ``roots`` (root). Quantities multiply
     down a path and add up over the paths of one length. A level is one join;
-    the search ends when a level is empty, and a cycle is an error.
+    the search ends when a level is empty. A cycle below a root is an error,
+    found before the search by peeling the graph (``parts.part_levels``).
     """
     uses = cut_lineage(uses.groupBy("whole", "part").agg(F.sum("quantity").alias("quantity")))
-    limit = uses.select("whole").distinct().count()
+    part_levels(reached_uses(uses, roots))
     step = cut_lineage(roots.select("root").distinct().select("root", F.col("root").alias("part"),
                                                               F.lit(1).cast("bigint").alias("quantity")))
     found, level = None, 0
@@ -310,8 +379,6 @@ def explode_parts(uses: DataFrame, roots: DataFrame) -> DataFrame:
                            .agg(F.sum(F.col("quantity") * F.col("_q")).alias("quantity")))
         if step.isEmpty():
             break
-        if level > limit:
-            raise ValueError("the parts contain themselves")
         rows = step.select("root", "part", F.lit(level).alias("level"), "quantity")
         found = rows if found is None else found.unionByName(rows)
     return step.select("root", "part", F.lit(0).alias("level"), "quantity") if found is None else found

@@ -11,6 +11,7 @@ from tracewell.operators.graph import (
     EdgeTable, NodeTable, PropertyGraph, Rings, connected_components, detect_rings, explode_parts,
     first_shared_pairs, k_hop_reach, top_shared_pairs,
 )
+from tracewell.operators.parts import part_levels, total_parts
 from tracewell.operators.relational import top_n_list
 from tracewell.plans.registry import query
 from tracewell.session import cut_lineage
@@ -323,17 +324,66 @@ PARTS_SQL = """
     SELECT root, part, level, sum(quantity)::BIGINT AS quantity FROM below WHERE level > 0 GROUP BY 1, 2, 3""")
 def parts_explosion(t: Tables):
     """What each region is made of, down to the lines per part type its suppliers sold."""
-    def named(kind: str, column: str):
-        return F.concat(F.lit(f"{kind} "), F.col(column).cast("string"))
+    return explode_parts(part_uses(t), regions(t))
 
+
+def named(kind: str, column: str):
+    return F.concat(F.lit(f"{kind} "), F.col(column).cast("string"))
+
+
+def regions(t: Tables):
+    return t.region.select(named("region", "r_regionkey").alias("root"))
+
+
+def part_uses(t: Tables):
+    """(whole, part, quantity) from regions over nations and suppliers to types of parts."""
     sold = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_suppkey").join(
         t.part.select("p_partkey", "p_type"), "p_partkey").groupBy("l_suppkey", "p_type").agg(
         F.count(F.lit(1)).alias("quantity"))
     one = F.lit(1).cast("bigint").alias("quantity")
-    uses = (t.nation.select(named("region", "n_regionkey").alias("whole"), named("nation", "n_nationkey").alias("part"), one)
+    return (t.nation.select(named("region", "n_regionkey").alias("whole"), named("nation", "n_nationkey").alias("part"), one)
             .union(t.supplier.select(named("nation", "s_nationkey"), named("supplier", "s_suppkey"), one))
             .union(sold.select(named("supplier", "l_suppkey"), named("type", "p_type"), "quantity")))
-    return explode_parts(uses, t.region.select(named("region", "r_regionkey").alias("root")))
+
+
+SHARED_PARTS_SQL = f"""{PARTS_SQL},
+  shared AS (
+    SELECT * FROM uses
+    UNION ALL SELECT 'type ' || p_type, 'brand ' || p_brand, count(*) FROM part GROUP BY 1, 2
+    UNION ALL SELECT 'supplier ' || l_suppkey, 'brand ' || p_brand, count(*)
+    FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R' GROUP BY 1, 2)"""
+
+
+def shared_part_uses(t: Tables):
+    """Types share brands, which suppliers lead to directly as well, so paths differ in length."""
+    count = F.count(F.lit(1)).alias("quantity")
+    of_type = t.part.groupBy(named("type", "p_type").alias("whole"), named("brand", "p_brand").alias("part")).agg(count)
+    returned = (t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
+                .join(t.part.select("p_partkey", "p_brand"), "p_partkey")
+                .groupBy(named("supplier", "l_suppkey").alias("whole"), named("brand", "p_brand").alias("part")).agg(count))
+    return part_uses(t).union(of_type).union(returned)
+
+
+@query("parts_totals", sql=f"""
+    WITH RECURSIVE {SHARED_PARTS_SQL},
+    below(root, part, quantity) AS (
+      SELECT 'region ' || r_regionkey, 'region ' || r_regionkey, 1::BIGINT FROM region
+      UNION ALL SELECT root, u.part, b.quantity * u.quantity FROM below b JOIN shared u ON u.whole = b.part)
+    SELECT root, part, sum(quantity)::BIGINT AS quantity FROM below WHERE part <> root GROUP BY 1, 2""")
+def parts_totals(t: Tables):
+    """How much of everything a region holds, over shared sub-assemblies and all paths."""
+    return total_parts(shared_part_uses(t), regions(t))
+
+
+@query("parts_levels", sql=f"""
+    WITH RECURSIVE {SHARED_PARTS_SQL},
+    deep(node, level) AS (
+      SELECT DISTINCT whole, 0 FROM shared WHERE whole NOT IN (SELECT part FROM shared)
+      UNION SELECT u.part, level + 1 FROM deep JOIN shared u ON u.whole = node)
+    SELECT node, max(level) AS level FROM deep GROUP BY 1""")
+def parts_levels(t: Tables):
+    """Levels of the bill of materials, by the longest path from the top."""
+    return part_levels(shared_part_uses(t))
 
 
 @query("entity_components", sql=f"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions import sql as sql_functions
+from tracewell.functions.columns import md5_bucket
 from tracewell.functions.rubric import Field, Rubric, Term, extract
 from tracewell.operators import distill
 from tracewell.operators import text as tx
@@ -243,6 +244,24 @@ def text_digest(t: Tables):
     return out.withColumn("terms", F.array_join("terms", " "))
 
 
+@query("central_exemplars", sql=f"""
+    WITH d AS (SELECT doc_id, lang, {TOKENS_SQL} AS ws FROM documents),
+    t AS (SELECT doc_id, lang, unnest(ws) AS word FROM d),
+    worth AS (SELECT word, floor(1000 * ln((SELECT count(*) FROM documents) / count(*)::DOUBLE))::BIGINT AS w FROM t GROUP BY 1),
+    v AS (SELECT doc_id, lang, word, w, sqrt(sum(w * w) OVER (PARTITION BY doc_id)::DOUBLE) AS len
+          FROM t JOIN worth USING (word) WHERE w > 0),
+    u AS (SELECT doc_id, lang, word, floor(10000 * w / len)::BIGINT AS u FROM v),
+    c AS (SELECT lang, word, sum(u) AS c FROM u GROUP BY 1, 2),
+    l AS (SELECT lang, sqrt(sum(c * c)::DOUBLE) AS of_group FROM c GROUP BY 1),
+    near AS (SELECT u.lang AS lang, doc_id, sum(u * c)::DOUBLE / sqrt(sum(u * u)::DOUBLE) AS near
+             FROM u JOIN c ON c.word = u.word AND c.lang IS NOT DISTINCT FROM u.lang GROUP BY 1, 2 HAVING sum(u * u) > 0)
+    SELECT near.lang AS lang, arg_max(doc_id, (near, -doc_id)) AS exemplar, round(max(near) / any_value(of_group), 6) AS closeness
+    FROM near JOIN l ON l.lang IS NOT DISTINCT FROM near.lang GROUP BY 1""")
+def central_exemplars(t: Tables):
+    """The document of each language closest to the centroid of that language."""
+    return tx.central_texts(documents(t, "lang"), ["lang"], "doc_id", "text")
+
+
 @query("catalog_normalize", sql="""
     WITH raw AS (SELECT p_partkey, lower(left(p_type, 4)) || ' itm ' || p_name || ' sz ' || p_size || ' ref#' || (1000 + p_partkey) AS raw
                  FROM part),
@@ -290,6 +309,17 @@ def distilled_classifier(t: Tables):
     return distill.classify(documents(t), "doc_id", "text", labelled)
 
 
+@query("vector_classifier")
+def vector_classifier(t: Tables):
+    """Labels of all vectors: the labeller answered for some 30 of 100, a model of those serves the others.
+
+    An iterative fit has no SQL; tests hold it against the labels it has not seen.
+    """
+    vectors = t.embeddings
+    asked = md5_bucket(100, F.concat(F.lit("labeller "), F.col("vec_id").cast("string"))) < 30
+    return distill.classify_vectors(vectors, "vec_id", "embedding", vectors.filter(asked).select("vec_id", "label"))
+
+
 SQL_FIELDS = (Field("first_number", "bigint", r"\b([0-9]{1,9})\b", "-1"),)
 
 
