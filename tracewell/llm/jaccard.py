@@ -27,7 +27,7 @@ from tracewell.session import cut_lineage, discard
 WORDS = 5
 PERCENT = 80  # similar: 100 * intersection >= PERCENT * union
 SHARED_PER = 40  # prefixes are longer than one shingle in common needs by one in so many
-FREQUENT = 2  # prefix occurrences from which a shingle counts as frequent
+FREQUENT = 2  # texts from which a shingle counts as frequent
 FREQUENT_SLOTS = 1 << 22  # frequent shingles that are broadcast at most
 BLOOM_BITS = 1 << 26
 OTHER_ORDERS = (0x5BF03635, 0x2545F491)  # salts of the second and third order
@@ -154,17 +154,17 @@ def classes_of(docs: DataFrame) -> DataFrame:
 
 
 def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(upper 58 bits of shingles ascending, log2 of their number of prefixes), for those in FREQUENT or more.
+    """(upper 58 bits of shingles ascending, log2 of their number of texts), for those in FREQUENT or more.
 
-    Counts the prefixes of all texts under the plain hash order. At most
+    Counts whole sets: were only some shingles of a passage counted, the prefixes
+    of all texts that share it would be made of the others. At most
     FREQUENT_SLOTS shingles are returned: the bound rises until they fit. It
     only shapes the order of the shingles; any order gives the same links.
     """
 
     def fn(keys, sets):
-        orders = Orders((np.empty(0, np.uint64), np.empty(0, np.uint8)))
-        prefixes = [orders.prefix(s, 0) for _, s in _once(sets)]
-        shingles = np.concatenate(prefixes) if prefixes else np.empty(0, np.uint64)
+        known = [s for _, s in _once(sets)]
+        shingles = np.concatenate(known) if known else np.empty(0, np.uint64)
         found, counts = np.unique(shingles, return_counts=True)
         return pa.record_batch([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))],
                                names=["shingle", "n"])
