@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_fixture as fixture
 from tracewell.llm import jaccard
@@ -72,6 +73,25 @@ def test_every_shingle_frequent_and_pairs_in_rounds(spark, monkeypatch):
     check(spark, list(enumerate(near_copies(40, 6) + fixture.awkward_texts(3)[:20])))
 
 
+def test_long_edits_around_a_common_passage(spark):
+    """Texts that share most of a passage and are rarely similar, at distances on both sides of the bound."""
+    rng = random.Random(11)
+    base = fixture.words(rng, 120)
+    texts = []
+    for i in range(70):
+        copy = list(base)
+        at, size = rng.randrange(110), rng.choice((3, 8, 9, 14, 30))
+        copy[at:at + size] = [f"e{i}x{j}" if rng.random() < 0.7 else base[j] for j in range(rng.choice((size, size // 2)))]
+        texts.append(" ".join(copy))
+    check(spark, list(enumerate(texts)))
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 39, 40, 41, 144, 1000])
+def test_column_form_of_the_prefix_length(spark, n):
+    row = spark.range(1).select(F.lit(n).alias("n")).select(jaccard.after_prefix(F.col("n")).alias("after")).first()
+    assert row.after == n - int(jaccard.prefix_length(n))
+
+
 def test_no_documents(spark):
     assert jaccard.join(fixture.no_documents(spark)).count() == 0
     rows = jaccard.join(fixture.documents(spark, [None, "", " "])).collect()

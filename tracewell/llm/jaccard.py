@@ -327,6 +327,16 @@ def shared_enough(n, m, shared):
     return (100 * least >= PERCENT * F.greatest(n, m)) & (shared >= 1 + F.floor(least / SHARED_PER))
 
 
+def after_prefix(n):
+    """Number of shingles of a set of ``n`` that are not in its prefix (column form of ``prefix_length``)."""
+    return F.greatest(F.ceil(n * PERCENT / 100) - 1 - F.floor(n / SHARED_PER), F.lit(0))
+
+
+def reachable(n, m, most):
+    """Whether sets of ``n`` and ``m`` shingles would be similar with ``most`` in common."""
+    return (100 + PERCENT) * most >= PERCENT * (n.cast("long") + m)
+
+
 def promising(rows: DataFrame) -> DataFrame:
     """Rows of the classes with enough shared prefix shingles to be similar to any other."""
     per_class = rows.groupBy("class").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("shared"))
@@ -374,7 +384,9 @@ def linked_classes(rows: DataFrame, sets: DataFrame) -> DataFrame:
         pairs = cut_lineage(
             met.groupBy(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
             .agg(F.first("n").alias("n"), F.first("b_n").alias("b_n"), F.count(F.lit(1)).alias("shared"))
-            .filter(shared_enough(F.col("n"), F.col("b_n"), F.col("shared"))).select("a", "b")
+            .filter(shared_enough(F.col("n"), F.col("b_n"), F.col("shared")))
+            .filter(reachable(F.col("n"), F.col("b_n"), F.col("shared") + F.greatest(
+                after_prefix(F.col("n")), after_prefix(F.col("b_n")))) | F.lit(not last_round)).select("a", "b")
             .join(tried, ["a", "b"], "left_anti"))
         outcome = cut_lineage(compared(pairs, sets))
         tried, found = tried.union(outcome), outcome.filter("is_similar").select("a", "b")
@@ -397,19 +409,25 @@ def _met_in_group(apart: DataFrame, state: DataFrame, tried: DataFrame) -> DataF
     """(class, n, b, b_n) per shingle that two classes of different components share.
 
     Leaves out classes with too few shingles in groups that are still apart,
-    and pairs that their distances to the group's first leader rule out.
+    and pairs that their distances to the group's first leader rule out. Of the
+    set whose prefix ends first, any shingle in common is in both prefixes or
+    behind its own, so one of the two must have enough of them in groups that
+    are still apart.
     """
     pivots = state.groupBy("shingle").agg(F.min_by("class", F.xxhash64(F.col("class"), F.lit(0))).alias("pivot"))
-    rows = promising(apart.select("shingle", "class", "n", "component")).join(pivots, "shingle")
+    held = apart.groupBy("class").agg((F.count(F.lit(1)) + after_prefix(F.first("n"))).alias("most"))
+    rows = promising(apart.select("shingle", "class", "n", "component")).join(held, "class").join(pivots, "shingle")
     known = tried.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "distance")
     rows = rows.join(known, (F.least("class", "pivot") == F.col("_a")) & (F.greatest("class", "pivot") == F.col("_b")),
                      "left").withColumn("distance", F.when(F.col("class") == F.col("pivot"), 0.0).otherwise(F.col("distance")))
-    rows = cut_lineage(rows.select("shingle", "class", "n", "component", "distance"))
+    rows = cut_lineage(rows.select("shingle", "class", "n", "component", "distance", "most"))
     other = rows.select("shingle", F.col("class").alias("b"), F.col("n").alias("b_n"),
-                        F.col("component").alias("b_component"), F.col("distance").alias("b_distance"))
+                        F.col("component").alias("b_component"), F.col("distance").alias("b_distance"),
+                        F.col("most").alias("b_most"))
     apart_enough = F.abs(F.col("distance") - F.col("b_distance")) > 1 - PERCENT / 100 + 1e-9
     return rows.join(other, "shingle").filter(
         (F.col("component") < F.col("b_component")) & ~F.coalesce(apart_enough, F.lit(False))
+        & reachable(F.col("n"), F.col("b_n"), F.greatest("most", "b_most"))
         & (100 * F.least("n", "b_n") >= PERCENT * F.greatest("n", "b_n")))
 
 
