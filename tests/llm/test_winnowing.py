@@ -8,28 +8,30 @@ from tracewell.llm import queries
 from tracewell.llm import winnowing as w
 
 
-def chosen(text):
-    hashes = []
-    for word in fixture.WORD.findall(text):
-        h = xxhash.xxh64_intdigest(word.encode(), seed=42)
-        hashes.append((h - (1 << 64) if h >> 63 else h) % w.MODULUS)
-
-    def polynomial(values):
-        out = 0
-        for v in values:
-            out = (out * w.BASE + v) % w.MODULUS
-        return out
-
-    if not hashes:
+def run_hash(run, characters):
+    if characters:
+        h = xxhash.xxh64_intdigest("".join(run).encode("utf-32-be"), seed=42)
+    else:
+        h = 42
+        for word in run:
+            h = xxhash.xxh64_intdigest(word.encode(), seed=h)
+    return (h - (1 << 64) if h >> 63 else h) >> 32
+
+
+def chosen(text, gram=w.GRAM, window=w.WINDOW, characters=False):
+    units = list(text) if characters else fixture.WORD.findall(text)
+    if not units:
         return []
-    runs = ([polynomial(hashes[i:i + w.GRAM]) for i in range(len(hashes) - w.GRAM + 1)]
-            if len(hashes) >= w.GRAM else [polynomial(hashes)])
-    out = []
-    for i in range(max(1, len(runs) - w.WINDOW + 1)):
-        value, place = min((runs[j], -j) for j in range(i, min(i + w.WINDOW, len(runs))))
-        if (value, -place) not in out:
-            out.append((value, -place))
-    return out
+    runs = [run_hash(units[i:i + gram], characters) for i in range(max(1, len(units) - gram + 1))]
+    out = {}
+    for i in range(max(1, len(runs) - window + 1)):
+        value, place = min((runs[j], -j) for j in range(i, min(i + window, len(runs))))
+        out[value, -place] = None
+    return list(out)
+
+
+def printed(hashes):
+    return " ".join(f"{h & w.LOW:x}:{p}" for h, p in hashes)
 
 
 def likeness(a, b):
@@ -37,8 +39,12 @@ def likeness(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("form", [
+    {}, {"gram": 3, "window": 5}, {"characters": True, "gram": w.CHARACTER_GRAM, "window": w.CHARACTER_WINDOW},
+    {"characters": True, "gram": 4, "window": 7}, {"characters": True, "gram": 2, "window": 1}])
+def test_matches_brute_force(spark, form):
     texts = fixture.awkward_texts()
+    texts = [*texts[:-1], "\U0001F600\u00e9\u4e00 " * 30, "a" * 200, "".join(chr(97 + i % 7) for i in range(95)), texts[-1]]
     ids = [*range(1, len(texts)), None]
     extra = [(5, texts[9]), (None, "zz last")]
     rows = [*zip(ids, texts), *extra]
@@ -53,11 +59,10 @@ def test_matches_brute_force(spark):
         for text in by_id[key]:
             third = len(text) // 3
             edited = text[:len(text) - third] + after[:third]
-            a, b, c = chosen(text), chosen(edited), chosen(after)
-            printed = [" ".join(f"{h:x}:{p}" for h, p in x) for x in (a, b)]
-            want.append((key, len(text), hashlib.sha256(edited.encode()).hexdigest(), *printed,
+            a, b, c = (chosen(t, **form) for t in (text, edited, after))
+            want.append((key, len(text), hashlib.sha256(edited.encode()).hexdigest(), printed(a), printed(b),
                          likeness(a, b), likeness(a, c)))
-    got = [tuple(r) for r in w.fingerprint_edits(docs).collect()]
+    got = [tuple(r) for r in w.fingerprint_edits(docs, **form).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
@@ -87,19 +92,4 @@ def test_query_finds_passages_without_blanks(spark, tmp_path):
     assert all(rows[i].near_edited > 0.3 for i in (0, 1)) and rows[1].near_next > 0
     assert rows[2].fingerprint.endswith(":0") and rows[3].fingerprint == rows[4].fingerprint == ""
     # The hashes are those of the code points.
-    values = []
-    for c in texts[0]:
-        h = xxhash.xxh64_intdigest(c.encode(), seed=42)
-        values.append((h - (1 << 64) if h >> 63 else h) % w.MODULUS)
-    runs = []
-    for i in range(len(values) - w.CHARACTER_GRAM + 1):
-        out = 0
-        for v in values[i:i + w.CHARACTER_GRAM]:
-            out = (out * w.BASE + v) % w.MODULUS
-        runs.append(out)
-    want = []
-    for i in range(len(runs) - w.CHARACTER_WINDOW + 1):
-        one = min((runs[j], -j) for j in range(i, i + w.CHARACTER_WINDOW))
-        if one not in want:
-            want.append(one)
-    assert rows[0].fingerprint == " ".join(f"{h:x}:{-j}" for h, j in want)
+    assert rows[0].fingerprint == printed(chosen(texts[0], w.CHARACTER_GRAM, w.CHARACTER_WINDOW, True))

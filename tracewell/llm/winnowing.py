@@ -1,10 +1,13 @@
 """Document fingerprints by winnowing, in DataFrame expressions only.
 
-Every run of GRAM words, or of CHARACTER_GRAM code points, gets a polynomial
-hash, built from the hashes of runs half as long. Of each WINDOW neighbouring hashes the smallest is chosen, of
-equals the rightmost, and kept with its position. Any run of GRAM + WINDOW - 1
-words, or CHARACTER_GRAM + CHARACTER_WINDOW - 1 code points, that two texts share
-leaves a common hash in both fingerprints.
+A hash rolls over every run of GRAM words, or of CHARACTER_GRAM code points. Of
+each WINDOW neighbouring hashes the smallest is chosen, of equals the rightmost,
+and kept with its position. Any run of GRAM + WINDOW - 1 words, or
+CHARACTER_GRAM + CHARACTER_WINDOW - 1 code points, that two texts share leaves a
+common hash in both fingerprints.
+
+An edited text keeps the choices of all windows before the edit; only what comes
+after is hashed again.
 """
 
 from __future__ import annotations
@@ -19,74 +22,74 @@ GRAM = 5
 WINDOW = 8
 CHARACTER_GRAM = 32
 CHARACTER_WINDOW = 32
-MODULUS = (1 << 31) - 1
-BASE = 1_000_003
 LOW = (1 << 32) - 1
 
 
-def _pairs(values: str, other: str, shift: int, combine) -> Column:
-    """``combine(values[i], other[i + shift])`` for all i that have both."""
-    n = F.greatest(F.size(other) - shift, F.lit(0))
-    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(other, F.lit(shift + 1), n), combine)
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once per row, not once per element of an array."""
+    return F.transform(F.array(value), use)[0]
 
 
-def fingerprints(df: DataFrame, text: str, name: str, gram: int = GRAM, window: int = WINDOW,
-                 characters: bool = False) -> DataFrame:
-    """Add ``name``: the chosen hashes of ``text``, each as hash * 2^32 + (2^32 - 1 - position).
+def _run_hashes(text: Column, gram: int, characters: bool) -> Column:
+    """Hash and place of every run, one number each: equal hashes order by place, the last one first."""
+    if characters:
+        units, length, cut, step = F.encode(text, "UTF-32"), F.octet_length, F.substring, 4
+    else:
+        units, length, cut, step = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""), F.size, F.slice, 1
+    run = F.lit(step * gram)
+
+    def roll(u):
+        places = F.sequence(F.lit(1), F.greatest(length(u) - run + 1, F.lit(1)), F.lit(step))
+        return F.when(length(u) == 0, F.array().cast("array<bigint>")).otherwise(F.transform(
+            places, lambda p: F.xxhash64(cut(u, p, run)).bitwiseOR(F.lit(LOW)).bitwiseXOR(p)))
+
+    return _bound(units, roll)
+
+
+def _window_minima(values: Column, window: int) -> Column:
+    """The smallest of each ``window`` neighbours, or of all if there are fewer; empty for none."""
+    def with_shifted(shifts):
+        return lambda m: F.transform(m, lambda x, i: F.least(x, *[F.get(m, i + s) for s in shifts]))
+
+    at, span = values, 1
+    while span < window:
+        # Four neighbouring spans at a time; the last ones overlap where the window is no power of four.
+        at = _bound(at, with_shifted(sorted({min(span * k, window - span) for k in (1, 2, 3)})))
+        span = min(4 * span, window)
+    # Past the ends there is nothing, so the minima of the last places are those of shorter windows.
+    return _bound(at, lambda m: F.slice(m, F.lit(1), F.least(F.size(m), F.greatest(F.size(m) - (window - 1), F.lit(1)))))
+
 
-    ``text`` must not be null. Positions count words from 0. A text with fewer
-    than ``gram`` words has one hash, of all of them; one without words has
-    none. With fewer hashes than ``window`` the smallest of all is chosen. With
-    ``characters`` every code point counts as a word.
+def fingerprints(df: DataFrame, text: str, name: str, gram: int = GRAM, window: int = WINDOW,
+                 characters: bool = False, upto: Column | None = None) -> DataFrame:
+    """Add ``name``: the chosen hashes of ``text``, each as hash * 2^32 + (2^32 - 1 - place).
+
+    ``text`` must not be null. Places count words from 1, or with ``characters``,
+    where every code point counts as a word, four per code point from 1. A text
+    with fewer than ``gram`` words has one hash, of all of them; one without
+    words has none. With fewer hashes than ``window`` the smallest of all is
+    chosen. With ``upto``, a number of units, ``name``_kept says how many of the
+    chosen, from the first, come from windows that end within so many.
     """
-    words = F.filter(F.split(F.col(text), "" if characters else r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    df = df.withColumn("_g1", F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(MODULUS).cast("long"))))
-
-    # Hash runs of 2, 4, ... words, then add the missing powers of two.
-    def times(n: int) -> int:
-        return pow(BASE, n, MODULUS)
-
-    def joined(n: int):
-        return lambda a, b: (a * times(n) + b) % MODULUS
-
-    length = 1
-    while 2 * length <= gram:
-        df = df.withColumn(f"_g{2 * length}", _pairs(f"_g{length}", f"_g{length}", length, joined(length)))
-        length *= 2
-    done, part = f"_g{length}", length
-    while length < gram:
-        part = next(p for p in (part >> s for s in range(1, 32)) if length + p <= gram)
-        df = df.withColumn("_run", _pairs(done, f"_g{part}", length, joined(part)))
-        done, length = "_run", length + part
-    whole = F.aggregate("_g1", F.lit(0).cast("long"), lambda s, x: (s * BASE + x) % MODULUS)
-    df = df.withColumn("_run", F.when(F.size("_g1") >= gram, F.col(done))
-                       .when(F.size("_g1") > 0, F.array(whole))
-                       .otherwise(F.array().cast("array<bigint>")))
-
-    df = df.withColumn("_m1", F.transform("_run", lambda x, i: x * (1 << 32) + (F.lit(LOW) - i)))
-    span = 1
-    while 2 * span <= window:
-        df = df.withColumn(f"_m{2 * span}", _pairs(f"_m{span}", f"_m{span}", span, lambda a, b: F.least(a, b)))
-        span *= 2
-    chosen = f"_m{span}"
-    if span < window:
-        df = df.withColumn("_all", _pairs(chosen, chosen, window - span, lambda a, b: F.least(a, b)))
-        chosen = "_all"
-    df = df.withColumn(name, F.when(F.size("_m1") >= window, F.array_distinct(chosen))
-                       .when(F.size("_m1") > 0, F.array(F.array_min("_m1")))
-                       .otherwise(F.array().cast("array<bigint>")))
-    return df.drop("_run", "_all", *[c for c in df.columns if c[:2] in ("_g", "_m")])
+    df = df.withColumn("_windows", _window_minima(_run_hashes(F.col(text), gram, characters), window))
+    df = df.withColumn(name, F.array_distinct("_windows"))
+    if upto is not None:
+        within = upto - (gram + window - 2)
+        df = df.withColumn(f"{name}_kept", F.when(within > 0, F.array_position(F.col(name), F.get("_windows", within - 1)))
+                           .otherwise(0).cast("int"))
+    return df.drop("_windows")
 
 
 def hashes(chosen: str) -> Column:
     return F.array_distinct(F.transform(chosen, lambda x: F.shiftright(x, 32)))
 
 
-def printed(chosen: str) -> Column:
-    """``hash:position`` for every chosen hash, in the order of the text."""
+def printed(chosen: str, characters: bool = False) -> Column:
+    """``hash:position`` for every chosen hash, in the order of the text; positions count from 0."""
+    step = 4 if characters else 1
     return F.array_join(F.transform(chosen, lambda x: F.concat(
-        F.lower(F.hex(F.shiftright(x, 32))), F.lit(":"),
-        (F.lit(LOW) - x.bitwiseAND(F.lit(LOW))).cast("string"))), " ")
+        F.lower(F.hex(F.shiftrightunsigned(x, 32))), F.lit(":"),
+        F.shiftright(F.lit(LOW - 1) - x.bitwiseAND(F.lit(LOW)), step // 2).cast("string"))), " ")
 
 
 def likeness(a: str, b: str) -> Column:
@@ -95,6 +98,26 @@ def likeness(a: str, b: str) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
+def edited_fingerprints(df: DataFrame, gram: int, window: int, characters: bool) -> DataFrame:
+    """Add ``edited_chosen`` from (text, n, third, start, chosen, chosen_kept, edited).
+
+    In code points the windows that end before the last ``third`` of the ``n``
+    have chosen already; the rest is hashed from the first place of the first
+    window that does not. In words, whose bounds an edit may move, the whole is.
+    """
+    if not characters:
+        return fingerprints(df, "edited", "edited_chosen", gram, window)
+    span = gram + window - 1
+    before = F.greatest(F.col("n") - F.col("third") - (span - 1), F.lit(0))  # windows kept
+    df = df.withColumn("_tail", F.substring("edited", before + 1, F.length("edited")))
+    df = fingerprints(df, "_tail", "_tail_chosen", gram, window, True)
+    # Behind windows kept, less than a window is no window.
+    fresh = F.when((before > 0) & (F.length("_tail") < span), F.array().cast("array<bigint>")).otherwise(
+        F.transform("_tail_chosen", lambda x: x - before * 4))
+    return df.withColumn("edited_chosen", F.array_distinct(F.concat(
+        F.slice("chosen", F.lit(1), F.col("chosen_kept")), fresh))).drop("_tail", "_tail_chosen")
+
+
 def following(docs: DataFrame) -> DataFrame:
     """(no_id, id, to_no_id, to_id, length): which document lends its start to which.
 
@@ -132,7 +155,10 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
         F.col(key).isNull().alias("no_id"), F.coalesce(F.col(key).cast("long"), F.lit(0).cast("long")).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"))
     pairs = cut_lineage(following(source.select("no_id", "id", F.length("text").alias("length"))))
-    base = fingerprints(source, "text", "chosen", gram, window, characters).repartition("no_id", "id")
+    n = F.length("text")
+    source = source.withColumn("n", n).withColumn("third", F.floor(n / 3).cast("int"))
+    base = fingerprints(source, "text", "chosen", gram, window, characters,
+                        F.col("n") - F.col("third") if characters else None).repartition("no_id", "id")
 
     first = Window.partitionBy("no_id", "id").orderBy("text")
     lent = (base.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
@@ -140,15 +166,14 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
             .select(F.col("to_no_id").alias("no_id"), F.col("to_id").alias("id"),
                     F.substring("text", F.lit(1), F.floor(F.col("length") / 3).cast("int")).alias("start"),
                     hashes("chosen").alias("next_hashes")))
-    n = F.length("text")
-    third = F.floor(n / 3).cast("int")
     both = base.join(lent, ["no_id", "id"]).withColumn(
-        "edited", F.concat(F.substring("text", F.lit(1), n - third), F.substring("start", F.lit(1), third)))
-    both = both.select("no_id", "id", n.cast("long").alias("n_chars"), "chosen", "next_hashes", "edited")
-    out = fingerprints(both, "edited", "edited_chosen", gram, window, characters)
+        "edited", F.concat(F.substring("text", F.lit(1), F.col("n") - F.col("third")),
+                           F.substring("start", F.lit(1), F.col("third"))))
+    out = edited_fingerprints(both, gram, window, characters)
     out = out.withColumn("own", hashes("chosen")).withColumn("changed", hashes("edited_chosen"))
     return out.select(
-        F.when(~F.col("no_id"), F.col("id")).cast(id_type).alias(key), "n_chars",
+        F.when(~F.col("no_id"), F.col("id")).cast(id_type).alias(key), F.col("n").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        printed("chosen").alias("fingerprint"), printed("edited_chosen").alias("edited_fingerprint"),
+        printed("chosen", characters).alias("fingerprint"),
+        printed("edited_chosen", characters).alias("edited_fingerprint"),
         likeness("own", "changed").alias("near_edited"), likeness("own", "next_hashes").alias("near_next"))
