@@ -160,7 +160,8 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     base = fingerprints(source, "text", "chosen", gram, window, characters,
                         F.col("n") - F.col("third") if characters else None).repartition("no_id", "id")
 
-    first = Window.partitionBy("no_id", "id").orderBy("text")
+    # The last three follow from the text: naming them keeps both uses of ``base`` at one exchange.
+    first = Window.partitionBy("no_id", "id").orderBy("text", "n", "third", *[c for c in base.columns if c == "chosen_kept"])
     lent = (base.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
             .join(pairs, ["no_id", "id"])
             .select(F.col("to_no_id").alias("no_id"), F.col("to_id").alias("id"),
