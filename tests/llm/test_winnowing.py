@@ -93,3 +93,10 @@ def test_query_finds_passages_without_blanks(spark, tmp_path):
     assert rows[2].fingerprint.endswith(":0") and rows[3].fingerprint == rows[4].fingerprint == ""
     # The hashes are those of the code points.
     assert rows[0].fingerprint == printed(chosen(texts[0], w.CHARACTER_GRAM, w.CHARACTER_WINDOW, True))
+
+
+def test_hashes_travel_in_32_bits(spark):
+    df = w.fingerprints(spark.createDataFrame([("a b c d e f g h i j",), ("",)], "t string"), "t", "chosen", 2, 3)
+    out = df.select(w.hashes("chosen").alias("h"), "chosen")
+    assert out.schema["h"].dataType.simpleString() == "array<int>"
+    assert all(set(r.h) == {x >> 32 for x in r.chosen} for r in out.collect())
