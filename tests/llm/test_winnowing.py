@@ -100,3 +100,29 @@ def test_hashes_travel_in_32_bits(spark):
     out = df.select(w.hashes("chosen").alias("h"), "chosen")
     assert out.schema["h"].dataType.simpleString() == "array<int>"
     assert all(set(r.h) == {x >> 32 for x in r.chosen} for r in out.collect())
+
+
+@pytest.mark.parametrize("characters", [False, True])
+def test_places_travel_in_a_byte_and_long_runs(spark, characters):
+    text = " ".join(f"w{i * i % 977}" for i in range(9000))  # places far beyond a byte
+    df = w.fingerprints(spark.createDataFrame([(text,), ("a",), ("",)], "t string"), "t", "chosen", 3, 5, characters)
+    apart = df.withColumns(w.packed("chosen", characters))
+    assert [apart.schema[c].dataType.simpleString() for c in ("_hash", "_low", "_high")] == [
+        "array<int>", "array<tinyint>", "array<int>"]
+    rows = apart.withColumn("again", w.unpacked(characters)).collect()
+    assert all(r.again == r.chosen for r in rows) and max(len(set(r._high)) for r in rows) < 300
+
+
+def test_no_long_array_is_shuffled(spark):
+    docs = fixture.documents(spark, ["a b c d e f g h", "b c d", None])
+    plan = w.fingerprint_edits(docs, characters=True)._jdf.queryExecution().optimizedPlan()
+    dealt = [str(node.child().output()) + str(node.child().schema().simpleString()) for node in _nodes(plan)
+             if node.nodeName().startswith("Repartition")]
+    assert dealt and not any("array<bigint>" in x for x in dealt)
+
+
+def _nodes(plan):
+    children = plan.children()
+    yield plan
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))

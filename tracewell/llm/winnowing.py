@@ -85,6 +85,27 @@ def hashes(chosen: str) -> Column:
     return F.array_distinct(F.transform(chosen, lambda x: F.shiftright(x, 32).cast("int")))
 
 
+def packed(chosen: str, characters: bool = False) -> dict[str, Column]:
+    """The chosen hashes as columns of 4 bytes each, 1 byte of each place, and the rest of the places.
+
+    Places rise along a text, so their upper part is a few long runs, which a
+    shuffle compresses to next to nothing.
+    """
+    unit = lambda x: F.shiftright(F.lit(LOW) - x.bitwiseAND(F.lit(LOW)), 2 if characters else 0)
+    return {"_hash": F.transform(chosen, lambda x: F.shiftright(x, 32).cast("int")),
+            "_low": F.transform(chosen, lambda x: (unit(x).bitwiseAND(F.lit(255)) - 128).cast("tinyint")),
+            "_high": F.transform(chosen, lambda x: F.shiftright(unit(x), 8).cast("int"))}
+
+
+def unpacked(characters: bool = False) -> Column:
+    """The chosen hashes with their places again, from the columns of ``packed``."""
+    def joined(value, i):
+        unit = F.get("_high", i).cast("bigint") * 256 + F.get("_low", i) + 128
+        return F.shiftleft(value.cast("bigint"), 32).bitwiseOR(F.lit(LOW) - (unit * 4 + 1 if characters else unit))
+
+    return F.transform("_hash", joined)
+
+
 def printed(chosen: str, characters: bool = False) -> Column:
     """``hash:position`` for every chosen hash, in the order of the text; positions count from 0."""
     step = 4 if characters else 1
@@ -149,7 +170,8 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     columns are not read.
 
     Texts are shuffled once, by key: both uses of ``base`` share that exchange,
-    and only the replaced thirds and hashes travel again.
+    with five bytes and a bit for each hash and its place, and only the replaced
+    thirds and hashes travel again.
     """
     id_type = docs.schema[key].dataType
     source = docs.select(
@@ -159,18 +181,21 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     n = F.length("text")
     source = source.withColumn("n", n).withColumn("third", F.floor(n / 3).cast("int"))
     base = fingerprints(source, "text", "chosen", gram, window, characters,
-                        F.col("n") - F.col("third") if characters else None).repartition("no_id", "id")
+                        F.col("n") - F.col("third") if characters else None)
+    base = base.withColumns(packed("chosen", characters)).drop("chosen").repartition("no_id", "id")
 
-    # The last three follow from the text: naming them keeps both uses of ``base`` at one exchange.
-    first = Window.partitionBy("no_id", "id").orderBy("text", "n", "third", *[c for c in base.columns if c == "chosen_kept"])
+    # All but the text follow from it: naming them keeps both uses of ``base`` at one exchange.
+    first = Window.partitionBy("no_id", "id").orderBy(
+        "text", *[c for c in base.columns if c not in ("no_id", "id", "text", "_hash")])
     lent = (base.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
             .join(pairs, ["no_id", "id"])
             .select(F.col("to_no_id").alias("no_id"), F.col("to_id").alias("id"),
                     F.substring("text", F.lit(1), F.floor(F.col("length") / 3).cast("int")).alias("start"),
-                    hashes("chosen").alias("next_hashes")))
+                    F.array_distinct("_hash").alias("next_hashes")))
     both = base.join(lent, ["no_id", "id"]).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), F.col("n") - F.col("third")),
                            F.substring("start", F.lit(1), F.col("third"))))
+    both = both.withColumn("chosen", unpacked(characters))
     out = edited_fingerprints(both, gram, window, characters)
     out = out.withColumn("own", hashes("chosen")).withColumn("changed", hashes("edited_chosen"))
     return out.select(
