@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewell.operators import augmented as aa
+from tracewell.session import cut_lineage
 
 
 def facts(spark, n, dims, seed):
@@ -44,6 +45,30 @@ def test_twelve_dimensions_with_a_planted_driver(spark):
     assert aa.supported_drivers(df.filter("false"), "m", names, "label").count() == 0
 
 
+def test_combinations_that_agree_in_what_still_grows_become_one(spark, monkeypatch):
+    """Every row is a combination of its own, but only two values of two dimensions grow together."""
+    written = []
+
+    def noting(df):
+        out = cut_lineage(df)
+        written.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(aa, "cut_lineage", noting)
+    rng = random.Random(6)
+    names = [f"d{i}" for i in range(6)]
+    rows = [("a" if k % 10 < 8 else None, "x\x1fy" if k % 5 < 4 else "z", *[rng.choice("pqr") for _ in names[3:]], f"{k}",
+             k % 2 == 0, Decimal(rng.randrange(1, 9))) for k in range(600)]
+    df = spark.createDataFrame(rows, ", ".join(f"{d} string" for d in names) + ", label boolean, m decimal(18,4)")
+    for support in (0.1, 0.6):
+        grown = aa.supported_drivers(df, "m", names, "label", top_k=500, min_support=support).collect()
+        cube = aa.key_drivers(df, "m", names, "label", top_k=500, min_support=support).collect()
+        assert cube and sorted(map(tuple, grown), key=repr) == sorted(map(tuple, cube), key=repr)
+    # Beyond single values nothing but these two is left of a combination.
+    assert written[-1][1] == 1 and written[0][1] == 600
+    assert aa.supported_drivers(df, "m", [], "label").count() == 0
+
+
 def test_joint_seasons_recover_planted_components(spark):
     day = datetime.date(2020, 1, 1)
     weekly = [3.0, -1.0, 0.5, -2.5, 2.0, -4.0, 2.0]  # Sunday first

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -198,9 +198,6 @@ def trend(df: DataFrame, data_col: str, timestamp_col: str, horizon: int,
         F.when(is_future, line).otherwise(F.col("trend")).alias("trend"))
 
 
-BETWEEN = "\x1f"  # between the values of a segment's name
-
-
 def segment_report(segments: DataFrame, totals: Column, top_k: int, min_support: float) -> DataFrame:
     """Key figures of segments (drivers, metric_interest, metric_reference), the ``top_k`` that moved most."""
     mi, mr = F.col("metric_interest"), F.col("metric_reference")
@@ -254,12 +251,15 @@ def supported_drivers(df: DataFrame, metric_col: str, dimension_cols: Sequence[s
 
     Segments grow by one dimension a level, and only from segments with enough
     support: what a segment lacks, none inside it has. Support is bounded by the
-    absolute values of the metric, so that negative ones hide nothing. The work
-    of a level is, for each combination of all dimensions, the supported
-    segments it is in, whatever the number of dimensions; of one choice of
-    dimensions, at most 2 / ``min_support`` segments of a metric without
-    negative values are supported.
+    absolute values of the metric, so that negative ones hide nothing. Supported
+    values and segments have numbers; a combination of all dimensions is the
+    numbers of its values and of the segments it is in. After each level, values
+    and segments that no longer grow are left out, and combinations that agree in
+    the rest become one. Of one choice of dimensions, at most 2 / ``min_support``
+    segments of a metric without negative values are supported; those of a level
+    are read to the driver.
     """
+    spark = df.sparkSession
     metric, label = _metric(df, metric_col), F.col(interest_label_col)
     i, r = F.when(label, metric).otherwise(0), F.when(label, 0).otherwise(metric)
     sums = {"i": F.sum(i), "r": F.sum(r), "i_all": F.sum(F.abs(i)).cast("double"), "r_all": F.sum(F.abs(r)).cast("double")}
@@ -269,36 +269,67 @@ def supported_drivers(df: DataFrame, metric_col: str, dimension_cols: Sequence[s
     # A little less than asked for, as these sums are in doubles; the report decides exactly.
     enough = F.greatest(F.try_divide(F.sum("i_all"), F.lit(ti)), F.try_divide(F.sum("r_all"), F.lit(tr))) >= min_support * (1 - 1e-9)
 
-    def supported(segments: Column) -> DataFrame:
-        each = cells.select("i_all", "r_all", explode_once(segments).alias("segment")).filter("segment IS NOT NULL")
-        return cut_lineage(each.groupBy("segment").agg(enough.alias("enough")).filter("enough").select("segment"))
+    def supported(each: DataFrame, *by: str) -> list[tuple]:
+        return sorted(tuple(row) for row in each.groupBy(*by).agg(enough.alias("enough")).filter("enough").select(*by).collect())
+
+    def merged(columns: dict[str, Column]) -> DataFrame:
+        return cells.select(*[c.alias(n) for n, c in columns.items()], *sums).groupBy(*columns).agg(
+            *[F.sum(c).alias(c) for c in sums])
 
     names = F.array(*[_named(d) for d in dimension_cols])
-    level = supported(names)
-    # Cells that agree in their supported values are one.
-    items = F.array_intersect(names, level.agg(F.collect_list("segment")).scalar())
-    cells = cut_lineage(cells.withColumn("items", items).groupBy("items").agg(*[F.sum(c).alias(c) for c in sums])
-                        .withColumn("inside", F.col("items")))
-
-    def onward(segment: Column) -> Column:
-        """The segment with each of the cell's values after its last one."""
-        last = F.array_position("items", F.substring_index(segment, BETWEEN, -1)).cast("int")
-        return F.transform(F.slice("items", last + 1, F.size("items")), lambda value: F.concat(segment, F.lit(BETWEEN), value))
-
-    levels = [cells]
-    for _ in dimension_cols[1:]:
-        longer = F.flatten(F.transform("inside", onward))
-        level = supported(longer)
-        if level.isEmpty():
+    values = [value for value, in supported(
+        cells.select("i_all", "r_all", explode_once(names).alias("value")).filter("value IS NOT NULL"), "value")]
+    # Cells that agree in their supported values are one. A value's number is its place among all, from 0.
+    cells = merged({"items": F.array_distinct(F.array_compact(F.array(*[
+        _number(_named(d), [(v, n) for n, v in enumerate(values) if v.startswith(f"{d}=")]) for d in dimension_cols])))})
+    cells = cut_lineage(cells.filter(F.size("items") > 0).withColumn("inside", F.col("items")))
+    segments = [(n,) for n in range(len(values))]
+    named, levels = [], []
+    while segments:
+        named += [(len(levels), n, sorted(values[v] for v in segment)) for n, segment in enumerate(segments)]
+        levels.append(cells.select(F.lit(len(levels)).alias("level"), F.explode("inside").alias("segment"), "i", "r"))
+        if len(levels) == len(dimension_cols):
+            break
+        lasts = _int_array(segment[-1] for segment in segments)
+
+        def after(segment: Column, lasts: Column = lasts) -> Column:
+            """The cell's values after the segment's last one."""
+            at = F.array_position("items", F.get(lasts, segment)).cast("int")
+            return F.slice("items", at + 1, F.size("items"))
+
+        each = cells.select("i_all", "r_all", "items", F.explode("inside").alias("segment"))
+        pairs = supported(each.select("i_all", "r_all", "segment", F.explode(after(F.col("segment"))).alias("item")),
+                          "segment", "item")
+        if not pairs:
             break
-        cells = cut_lineage(cells.withColumn(
-            "inside", F.array_intersect(longer, level.agg(F.collect_list("segment")).scalar())).filter(F.size("inside") > 0))
-        levels.append(cells)
-    each = reduce(DataFrame.union, [c.select("i", "r", F.explode("inside").alias("segment")) for c in levels])
-    segments = each.groupBy("segment").agg(F.sum("i").alias("metric_interest"), F.sum("r").alias("metric_reference")).select(
-        F.array_sort(F.split("segment", BETWEEN)).alias("drivers"), "metric_interest", "metric_reference")
+        longer = [(*segments[segment], item) for segment, item in pairs]
+        growing = {"items": _int_array(sorted({v for segment in longer for v in segment})),
+                   "inside": _int_array(sorted({segment for segment, _ in pairs}))}
+        codes = F.lit([segment * len(values) + item for segment, item in pairs]).cast("array<bigint>")
+        cells = merged({c: F.array_intersect(c, kept) for c, kept in growing.items()}).filter(F.size("inside") > 0)
+        grown = F.flatten(F.transform("inside", lambda segment: F.transform(
+            after(segment), lambda item: F.array_position(codes, segment.cast("bigint") * len(values) + item))))
+        cells = cut_lineage(cells.withColumn("inside", F.transform(
+            F.filter(grown, lambda at: at > 0), lambda at: (at - 1).cast("int"))).filter(F.size("inside") > 0))
+        segments = longer
+    each = reduce(DataFrame.union, levels or [cells.select(
+        F.lit(0).alias("level"), F.explode("inside").alias("segment"), "i", "r")])
+    found = each.groupBy("level", "segment").agg(F.sum("i").alias("metric_interest"), F.sum("r").alias("metric_reference"))
+    drivers = spark.createDataFrame(named, "level int, segment int, drivers array<string>")
     totals = both.select(F.struct("i", "r")).scalar()
-    return segment_report(segments, totals, top_k, min_support)
+    return segment_report(found.join(drivers, ["level", "segment"]).drop("level", "segment"), totals, top_k, min_support)
+
+
+def _number(value: Column, numbers: list[tuple[str, int]]) -> Column:
+    """The number of a value among ``numbers``, NULL if it has none."""
+    if not numbers:
+        return F.lit(None).cast("int")
+    known, number = zip(*numbers)
+    return F.get(_int_array(number), (F.array_position(F.lit(list(known)), value) - 1).cast("int"))
+
+
+def _int_array(values: Iterable[int]) -> Column:
+    return F.lit(list(values)).cast("array<int>")
 
 
 def causal_effect(df: DataFrame, data_col: str, timestamp_col: str, intervention: Column,
