@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from tracewell.operators.graph import top_shared_pairs
+from tracewell.operators.graph import _shared_links, top_shared_pairs
 
 LINKS = "entity_type string, entity_id string, member long"
 
@@ -34,3 +34,9 @@ def test_three_thousand_members_under_three_hot_entities(spark):
     found = [(r.a, r.b, r.shared_entities) for r in top_shared_pairs(df, 6).collect()]
     assert found == [(1, b, 3) for b in (3, 5, 7, 9, 11)] + [(1, 13, 3)]
     assert (2998, 2999, 3) in {tuple(r) for r in top_shared_pairs(df.filter("entity_id <> 'h2'"), 1).collect()}
+
+
+def test_links_of_entities_with_one_member_are_left_out_before_any_other_step(spark):
+    rows = [("k", f"own{m}", m) for m in range(50)] * 2 + [("k", "both", 1), ("k", "both", 2), ("j", "own1", 2), ("k", None, 3)]
+    kept = _shared_links(spark.createDataFrame(rows, LINKS)).collect()
+    assert sorted(map(tuple, kept)) == [("k", "both", 1), ("k", "both", 2)]
