@@ -110,3 +110,51 @@ def test_similar_sets_meet_in_every_prefix(seed):
             for salt in (0, *jaccard.OTHER_ORDERS):
                 shared = np.isin(orders.prefix(a, salt), orders.prefix(b, salt)).sum()
                 assert shared >= jaccard.prefix_shared(min(len(a), len(b)))
+
+
+def test_few_pairs_of_a_group_that_shares_much_and_is_rarely_similar(spark, monkeypatch):
+    """150 texts of a passage with 25 of 146 shingles of their own, and copies of some that link with them alone."""
+    rng = random.Random(17)
+    base = fixture.words(rng, 150)
+    texts = []
+    for i in range(150):
+        copy = list(base)
+        for at in rng.sample(range(0, 150, 5), 5):
+            copy[at] = f"e{i}x{at}"
+        texts.append(" ".join(copy))
+        if i % 10 == 0:
+            texts.append(" ".join(copy[:-3]))
+    made, compared = [], jaccard.compared
+
+    def counted(pairs, sets):
+        made.append(pairs.count())
+        return compared(pairs, sets)
+
+    monkeypatch.setattr(jaccard, "compared", counted)
+    monkeypatch.setattr(jaccard, "PAIRS_PER_ROW", 1 << 20)  # all pairs at once
+    check(spark, list(enumerate(texts)))
+    assert 15 <= sum(made) < len(texts)
+
+
+def test_codes_of_frequent_shingles(spark, monkeypatch):
+    """Codes are counted by text, over slices and batches, and none is lost between two rows of its upper bits."""
+    monkeypatch.setattr(jaccard, "FLUSH_CODES", 50)
+    monkeypatch.setattr(jaccard, "SLICE_CHARS", 400)
+    texts = list(dict.fromkeys(near_copies(40, 8)))
+    docs = fixture.documents(spark, texts).select(F.col("doc_id").alias("doc"), "text").repartition(3)
+    codes, classes = jaccard.frequent_codes(docs)
+    counts = defaultdict(int)
+    for text in texts:
+        for code in set((jaccard.shingle_sets([text])[0] >> np.uint64(36)).tolist()):
+            counts[code] += 1
+    want = {code: n.bit_length() - 1 for code, n in counts.items() if n >= 2}
+    assert dict(zip(codes.tolist(), classes.tolist())) == want
+
+
+def test_rest_of_a_prefix(spark):
+    docs = fixture.documents(spark, near_copies(5, 9)).select(F.col("doc_id").alias("doc"), "text")
+    frequent = spark.sparkContext.broadcast(jaccard.frequent_codes(docs))
+    rows = jaccard.prefix_rows(docs, frequent).groupBy("class").agg(
+        F.min("rest").alias("last"), F.max("rest").alias("first"), F.first("n").alias("n"))
+    rows = rows.select("first", "last", "n", jaccard.after_prefix(F.col("n")).alias("after")).collect()
+    assert rows and all(r.first == r.n - 1 and r.last == r.after for r in rows)
