@@ -126,3 +126,10 @@ def _nodes(plan):
     yield plan
     for i in range(children.size()):
         yield from _nodes(children.apply(i))
+
+
+def test_likeness_takes_one_set_operation(spark):
+    rows = [([1, 2, 3], [2, 3, 4]), ([], []), ([1], [])]
+    out = spark.createDataFrame(rows, "a array<int>, b array<int>").select(w.likeness("a", "b").alias("x"))
+    assert [r.x for r in out.collect()] == [0.5, 1.0, 0.0]
+    assert "array_union" not in out._jdf.queryExecution().toString()

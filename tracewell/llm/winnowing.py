@@ -116,8 +116,11 @@ def printed(chosen: str, characters: bool = False) -> Column:
 
 def likeness(a: str, b: str) -> Column:
     """Jaccard index of two arrays of distinct hashes; 1 if both are empty."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+    def of(both):
+        union = F.size(a) + F.size(b) - both
+        return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
+
+    return _bound(F.size(F.array_intersect(a, b)), of)
 
 
 def edited_fingerprints(df: DataFrame, gram: int, window: int, characters: bool) -> DataFrame:
