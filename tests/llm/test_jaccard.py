@@ -160,3 +160,28 @@ def test_rest_of_a_prefix(spark):
         F.min("rest").alias("last"), F.max("rest").alias("first"), F.first("n").alias("n"))
     rows = rows.select("first", "last", "n", jaccard.after_prefix(F.col("n")).alias("after")).collect()
     assert rows and all(r.first == r.n - 1 and r.last == r.after for r in rows)
+
+
+def test_leaders_first_however_few_the_pairs(spark, monkeypatch):
+    """A small table takes the same rounds as a large one: 60 near copies are tied together before pairs are made."""
+    made, compared = [], jaccard.compared
+
+    def counted(pairs, sets):
+        made.append(pairs.count())
+        return compared(pairs, sets)
+
+    monkeypatch.setattr(jaccard, "compared", counted)
+    monkeypatch.setattr(jaccard, "PAIRS_PER_ROW", 1 << 20)
+    check(spark, list(enumerate(near_copies(60, 12))))
+    assert len(made) == 2 and 0 < made[0] < 60 * 59 // 4
+
+
+def test_rows_still_apart(spark):
+    rows = spark.createDataFrame(
+        [(1, 1, 1, 0), (1, 2, 1, 0), (1, 3, 1, 0), (2, 1, 1, 0), (2, 2, 1, 0), (3, 3, 1, 0), (3, 4, 1, 0), (4, 4, 80, 9)],
+        "shingle long, class long, n int, rest int")
+    component = spark.createDataFrame([(1, 1), (2, 1)], "class long, component long")
+    apart = jaccard.still_apart(rows, component)
+    got = sorted((r["shingle"], r["class"], r["component"]) for r in apart.collect())
+    assert got == [(1, 1, 1), (1, 2, 1), (1, 3, 3), (3, 3, 3), (3, 4, 4)]
+    assert {r["shingle"]: r["pairs"] for r in apart.groupBy("shingle").agg(F.sum("away").alias("pairs")).collect()} == {1: 2, 3: 1}
