@@ -124,3 +124,20 @@ def test_one_string_per_shard_gives_the_same(monkeypatch):
     whole = suffixes.smallest_documents(strings, sizes, docs)
     monkeypatch.setattr(suffixes, "SHARD_BYTES", 1)
     assert (suffixes.smallest_documents(strings, sizes, docs) == whole).all()
+
+
+def test_slices_fit_a_cache_and_change_nothing():
+    """Texts of a megabyte together are scanned in several slices, with the blocks and hashes of one."""
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 123, 1_000_000).astype(np.uint8)
+    offsets = np.arange(0, 1_000_001, 1_000)
+    whole, names = suffixes.find_blocks(data, offsets), suffixes.text_hashes(data, offsets)
+    parts, part_names = [], []
+    for start, stop in suffixes.byte_slices(offsets):
+        part, bounds = data[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start]
+        assert len(part) * 8 <= 4 << 20
+        parts.append(suffixes.find_blocks(part, bounds))
+        part_names += suffixes.text_hashes(part, bounds)
+    assert part_names == names
+    for field in ("seed", "code", "first", "last", "at"):
+        assert np.array_equal(np.concatenate([getattr(p, field) for p in parts]), getattr(whole, field))

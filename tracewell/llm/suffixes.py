@@ -31,7 +31,7 @@ from tracewell.session import cut_lineage, discard
 
 LENGTH = 50
 SEED = 16
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 300_000  # so that the arrays of a slice stay in the cache of a core
 SHARD_BYTES = 200_000
 MERGE_BYTES = 2_000_000
 LARGE_SEED = 50_000  # blocks of one seed from which its strings are grouped by Spark instead
