@@ -54,3 +54,16 @@ def test_vectors_longer_than_one(spark):
     vectors = {i: [rng.randint(-500 * 1024, 500 * 1024) for _ in range(2)] for i in range(500)}
     rows = [(i, [x / 1024 for x in v], 1, 2, "x") for i, v in vectors.items()]
     assert found(topk.top_k(table(spark, rows), F.col("vec_id") % 100 == 0, 10)) == brute(vectors, 10)
+
+
+def test_copies_of_queries_are_not_broadcast(spark, monkeypatch):
+    rng = random.Random(9)
+    vectors = {i: [rng.randint(-1000, 1000) for _ in range(3)] for i in range(700)}
+    rows = [(i, [x / 1024 for x in v], 1, 2, "x") for i, v in vectors.items()]
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(topk, "HELD_BLOCKS", 1, raising=False)
+    top = topk.top_k(table(spark, rows), F.col("vec_id") % 100 == 0, 10)
+    assert found(top) == brute(vectors, 10)
+    top.collect()
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [dim" in plan and not [x for x in plan.split("\n") if "BroadcastHashJoin [dim" in x and "slot" in x]

@@ -23,7 +23,8 @@ from tracewell.session import cut_lineage
 CELLS = 256
 QUERY_BLOCK = 1024
 VECTOR_BLOCK = 4096
-SPREAD = 256  # a block of queries is copied to so many join keys, a block of vectors goes to one
+SPREAD = 256  # a block of queries is copied to so many join keys at most, a block of vectors goes to one
+HELD_BLOCKS = 64  # blocks of queries whose counts a task holds at most, 2 MB each
 
 
 def whole_vectors(df: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
@@ -50,6 +51,20 @@ def _pack(ids: np.ndarray, lists: pa.Array) -> Iterator[tuple[int, np.ndarray, n
         yield dim, ids[rows], flat[starts[rows][:, None] + np.arange(dim)]
 
 
+def _narrow(data: np.ndarray) -> bytes:
+    """Whole numbers as bytes, each in as few as all of them allow."""
+    for kind in (np.int16, np.int32):
+        if not data.size or (np.iinfo(kind).min <= data.min() and data.max() <= np.iinfo(kind).max):
+            return data.astype(kind).tobytes()
+    return data.astype(np.int64).tobytes()
+
+
+def _wide(data: bytes, rows: int, dim: int) -> np.ndarray:
+    """The matrix that ``_narrow`` packed."""
+    kind = f"i{len(data) // (rows * dim)}" if rows * dim else "i8"
+    return np.frombuffer(data, kind).astype(np.int64).reshape(rows, dim)
+
+
 def vector_blocks(vectors: DataFrame) -> DataFrame:
     """Pack vectors into blocks: (dim, slot, ids, data)."""
 
@@ -61,14 +76,14 @@ def vector_blocks(vectors: DataFrame) -> DataFrame:
                     yield pa.record_batch(
                         [pa.array([dim], pa.int32()), pa.array([int(ids[0]) * 2654435761 % SPREAD], pa.int32()),
                          pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
-                         pa.array([data.astype(np.int64).tobytes()], pa.binary())],
+                         pa.array([_narrow(data)], pa.binary())],
                         names=["dim", "slot", "ids", "data"])
 
     return vectors.select("id", "v").mapInArrow(run, "dim int, slot int, ids binary, data binary")
 
 
-def query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
-    """Pack (id, v, lo, need) into blocks of about QUERY_BLOCK rows, one copy per slot."""
+def query_blocks(queries: DataFrame, blocks: int, slots: DataFrame) -> DataFrame:
+    """Pack (id, v, lo, need) into blocks of about QUERY_BLOCK rows, one copy per slot of their length in ``slots``."""
 
     def pack(group: pa.Table) -> pa.Table:
         batch = group.combine_chunks().sort_by("id")
@@ -77,7 +92,7 @@ def query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
         return pa.table({
             "dim": pa.array([batch.column("dim")[0].as_py()], pa.int32()),
             "q_ids": pa.array([ids.tobytes()], pa.binary()),
-            "q_data": pa.array([data.astype(np.int64).tobytes()], pa.binary()),
+            "q_data": pa.array([_narrow(data)], pa.binary()),
             "q_lo": pa.array([batch.column("lo").to_numpy().tobytes()], pa.binary()),
             "q_need": pa.array([batch.column("need").to_numpy().tobytes()], pa.binary()),
         })
@@ -86,7 +101,8 @@ def query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
                              F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
               .groupBy("dim", "block").applyInArrow(
                   pack, "dim int, q_ids binary, q_data binary, q_lo binary, q_need binary"))
-    return packed.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return packed.join(slots.groupBy("dim").agg(F.collect_set("slot").alias("slots")), "dim").withColumn(
+        "slot", F.explode("slots")).drop("slots")
 
 
 def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -108,29 +124,19 @@ def _scored(batches):
         for row in range(batch.num_rows):
             dim, ids, data, q_ids, q_data, q_lo, q_need = (c[row].as_py() for c in batch.columns)
             ids, q_ids = np.frombuffer(ids, np.int64), np.frombuffer(q_ids, np.int64)
-            scores = inner_products(np.frombuffer(q_data, np.int64).reshape(len(q_ids), dim),
-                                    np.frombuffer(data, np.int64).reshape(len(ids), dim))
+            scores = inner_products(_wide(q_data, len(q_ids), dim), _wide(data, len(ids), dim))
             yield q_ids, np.frombuffer(q_lo, np.int64), np.frombuffer(q_need, np.int64), ids, scores
 
 
 def histograms(pairs: DataFrame, width: int) -> DataFrame:
     """(query_id, cell, n): scores per cell of ``width`` from each query's ``lo``.
 
-    A task adds up all its blocks first. It leaves out cells below the one in
-    which its own count reaches what is needed: the kth score cannot lie there.
+    A task adds up its blocks first, for up to HELD_BLOCKS blocks of queries at a
+    time. It leaves out cells below the one in which its own count reaches what is
+    needed: the kth score cannot lie there.
     """
 
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, tuple] = {}
-        for q_ids, lo, need, ids, scores in _scored(batches):
-            name = q_ids.tobytes()
-            if name not in held:
-                held[name] = (q_ids, need, np.zeros(len(q_ids) * CELLS, np.int64))
-            # Scores and bounds stay within 2^62, so that differences fit.
-            cell = (scores - lo[:, None]) // width
-            inside = (cell >= 0) & (cell < CELLS) & (q_ids[:, None] != ids[None, :])
-            at = (np.arange(len(q_ids))[:, None] * CELLS + cell)[inside]
-            held[name][2][:] += np.bincount(at, minlength=len(q_ids) * CELLS)
+    def flush(held: dict[bytes, tuple]) -> Iterator[pa.RecordBatch]:
         for q_ids, need, counts in held.values():
             counts = counts.reshape(len(q_ids), CELLS)
             above = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1] - counts
@@ -138,6 +144,22 @@ def histograms(pairs: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch(
                 [pa.array(q_ids[rows]), pa.array(cells.astype(np.int32)), pa.array(counts[rows, cells])],
                 names=["query_id", "cell", "n"])
+        held.clear()
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, tuple] = {}
+        for q_ids, lo, need, ids, scores in _scored(batches):
+            name = q_ids.tobytes()
+            if name not in held:
+                if len(held) >= HELD_BLOCKS:
+                    yield from flush(held)
+                held[name] = (q_ids, need, np.zeros(len(q_ids) * CELLS, np.int64))
+            # Scores and bounds stay within 2^62, so that differences fit; a width is a power of two.
+            cell = (scores - lo[:, None]) >> (width.bit_length() - 1)
+            inside = (cell >= 0) & (cell < CELLS) & (q_ids[:, None] != ids[None, :])
+            at = np.flatnonzero(inside)
+            held[name][2][:] += np.bincount(at // len(ids) * CELLS + cell.ravel()[at], minlength=len(q_ids) * CELLS)
+        yield from flush(held)
 
     return pairs.mapInArrow(run, "query_id long, cell int, n long")
 
@@ -190,12 +212,14 @@ def top_k(df: DataFrame, is_query, k: int = 10, *, key: str = "vec_id", vector:
 
     Vectors are packed once, in blocks, and written. A round joins blocks of
     vectors with blocks of queries (about QUERY_BLOCK each) on a slot, so both
-    may be of any number and neither is broadcast by hand.
+    may be of any number and neither is broadcast: the copies of the queries
+    look as small as one of them where Spark would choose.
     """
     vectors = cut_lineage(whole_vectors(df, key, vector, scale))
     asked = df.filter(is_query).select(F.col(key).cast("long").alias("id")).distinct()
     queries = cut_lineage(vectors.join(asked, "id"))
     blocks = cut_lineage(vector_blocks(vectors))
+    slots = blocks.select("dim", "slot").distinct()
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     longest = vectors.agg(F.max(norm)).first()[0] or 0.0
     widest, n = queries.agg(F.max(norm), F.count(F.lit(1))).first()
@@ -207,8 +231,10 @@ def top_k(df: DataFrame, is_query, k: int = 10, *, key: str = "vec_id", vector:
     state = queries.select("id", F.lit(-bound).cast("long").alias("lo"), F.lit(k).cast("long").alias("need"))
 
     def pairs(state: DataFrame) -> DataFrame:
-        packed = query_blocks(queries.join(state, "id"), groups)
-        return blocks.join(packed, ["dim", "slot"]).select("dim", "ids", "data", "q_ids", "q_data", "q_lo", "q_need")
+        # Queries stream past the vectors of their slot, so a block of queries meets them one after another.
+        packed = query_blocks(queries.join(state, "id"), groups, slots)
+        return packed.join(blocks.hint("merge"), ["dim", "slot"]).select(
+            "dim", "ids", "data", "q_ids", "q_data", "q_lo", "q_need")
 
     while width >= 1:
         state = cut_lineage(narrowed(state, histograms(pairs(state), width), width))
