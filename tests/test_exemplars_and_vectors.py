@@ -42,6 +42,34 @@ def test_central_texts_match_brute_force(spark):
     assert tx.central_texts(df.limit(0), ["g"], "id", "t").count() == 0
 
 
+def test_central_texts_move_only_rare_words(spark, monkeypatch):
+    rng = random.Random(5)
+    vocabulary = [a + b for a in ("ka", "lo", "mi", "ru", "sa") for b in ("n", "st", "ve", "z", "po", "r")]
+    rows = [(i, rng.choice(["g", "h", None]), " ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(30)], k=30)))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, g string, t string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for few in (1 << 19, 9, 0):
+            monkeypatch.setattr(tx, "FEW_WORDS", few, raising=False)
+            monkeypatch.setattr(tx, "FEW_CELLS", 2 * few, raising=False)
+            top = tx.central_texts(df, ["g"], "id", "t")
+            assert {r.g: (r.exemplar, round(r.closeness, 5)) for r in top.collect()} == brute_exemplars(rows)
+            joins = [x for x in top._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in x]
+            assert any("word#" in x or "_id#" in x for x in joins) == (few < 100)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_central_texts_of_rows_with_equal_keys_are_one_text(spark):
+    rows = [(1, "g", "a b c d"), (1, "g", "a e"), (2, "g", "a e f"), (None, "g", "b"), (None, "g", "b c"), (1, "h", "c d")]
+    one = [(1, "g", "a b c d"), (2, "g", "a e f"), (3, "h", "c d")]
+    df = spark.createDataFrame(rows, "id long, g string, t string")
+    got = {r.g: r.exemplar for r in tx.central_texts(df, ["g"], "id", "t").collect()}
+    assert got["h"] == 1 and got["g"] in (1, 2, None)
+    assert {r.g for r in tx.central_texts(spark.createDataFrame(one, df.schema), ["g"], "id", "t").collect()} == {"g", "h"}
+
+
 def vectors(spark, n=400):
     rng = random.Random(5)
     rows = []
