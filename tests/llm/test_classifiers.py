@@ -1,5 +1,6 @@
 """Sharding, quality and toxicity."""
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -124,6 +125,23 @@ def test_toxicity_of_pairs_of_ordinary_words(spark):
     assert sum(rows[i][0].predicted == marks[i] for i in held) >= 0.97 * len(held)
 
 
+def test_toxicity_of_expressions_of_one_toxic_text(spark):
+    rng = random.Random(12)
+    texts = [f"only{i} once{i} single{i}" if i % 5 == 0 else " ".join(rng.choices(["red", "green", "blue", "grey"], k=6))
+             for i in range(300)]
+    crc = [zlib.crc32(str(i).encode()) for i in range(300)]
+    told = [i for i in range(300) if crc[i] % 3 != 1 and crc[i] % 12 >= 3]
+    counts = {mark: Counter(w for i in told if (i % 5 == 0) == mark for w in set(texts[i].split())) for mark in (True, False)}
+    freed = {mark: sum(min(n, toxicity.DISCOUNT) for n in c.values()) / sum(c.values()) for mark, c in counts.items()}
+    value = math.log1p(toxicity.SHARE / (1 - toxicity.SHARE) * (freed[True] / freed[False] - toxicity.EXCESS))
+    seen = [i for i in told if i % 5 == 0][:3]
+    known = labels(spark, [(i, 1, int(i % 5 == 0)) for i in range(300)])
+    docs = fixture.documents(spark, [*texts, "only%d once%d single%d" % tuple(seen), "red green blue"])
+    rows = fixture.collected(toxicity.classify(docs, known))
+    assert freed[True] > toxicity.EXCESS * freed[False]
+    assert abs(rows[300][0].difference - value) < 1e-6 and rows[301][0].difference == 0
+
+
 def test_toxicity_without_labels(spark):
     docs = fixture.documents(spark, ["some words", None])
     assert {r.predicted for r in toxicity.classify(docs, labels(spark, [])).collect()} == {0}
